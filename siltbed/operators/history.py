@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltbed.operators.merge import latest_per_key
+from siltbed.operators.merge import join_on, latest_per_key
 
 META = ["scd_id", "updated_at", "valid_from", "valid_to"]
 
@@ -31,7 +31,7 @@ def _open(df: DataFrame, keys: list[str], run_at: Column) -> DataFrame:
         version_id(keys, run_at).alias("scd_id"),
         run_at.alias("updated_at"),
         run_at.alias("valid_from"),
-        F.lit(None).cast(df.select(run_at.alias("t")).schema["t"].dataType).alias("valid_to"),
+        F.nullif(run_at, run_at).alias("valid_to"),
         *df.columns,
     )
 
@@ -78,7 +78,6 @@ def advance(
     )
     matched = [F.col(f"_ok_{k}") == F.col(f"_nk_{k}") for k in keys]
     both = old.join(new, matched, "full_outer")
-    # The run's own instant guards a repeated run: it has nothing to close.
     closing = F.col("_old").withField("valid_to", F.col("_new.valid_from"))
     versions = (
         F.when(F.col("_old").isNull(), F.array("_new"))
@@ -144,7 +143,7 @@ def replay(
         "_starts",
         F.min("_change_at").over(by_key.rowsBetween(1, Window.unboundedFollowing)).alias("_later"),
     )
-    versions = changes.join(linked, [*keys, "_bucket"]).filter((F.col("_no") > 1) | F.col("_starts"))
+    versions = join_on(changes, linked, [*keys, "_bucket"]).filter((F.col("_no") > 1) | F.col("_starts"))
     return versions.select(
         version_id(keys, F.col("valid_from")).alias("scd_id"),
         *keys,

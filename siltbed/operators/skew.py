@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltbed.operators.merge import join_on
+
 HOT_ROWS = 5_000_000
 MAX_HOT_GROUPS = 1_000
 
@@ -36,13 +38,13 @@ def attach_group_values(
     salt = F.pmod(
         F.xxhash64(F.spark_partition_id(), *rows.columns), F.coalesce("_salts", F.lit(1))
     ).cast("int")
-    salted_rows = rows.join(F.broadcast(salts), keys, "left").withColumn("_salt", salt).drop("_salts")
+    salted_rows = join_on(rows, F.broadcast(salts), keys, "left").withColumn("_salt", salt).drop("_salts")
     salted_groups = (
-        groups.join(F.broadcast(salts), keys, "left")
+        join_on(groups, F.broadcast(salts), keys, "left")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
         .drop("_salts")
     )
-    return salted_rows.join(salted_groups, [*keys, "_salt"]).drop("_salt")
+    return join_on(salted_rows, salted_groups, [*keys, "_salt"]).drop("_salt")
 
 
 def repeat_rows(df: DataFrame, times: str, block: int = 10_000) -> DataFrame:
