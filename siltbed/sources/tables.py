@@ -7,9 +7,10 @@ Layout of a table folder::
 
 The log row is written last, so a version exists only once its data does; what
 a lost job left behind is not in the log and gets overwritten by the next
-commit. A log row names the version its content starts from: an append keeps
-that of its parent, an overwrite starts a new one. Reading version v is reading
-the folders from that start to v, nothing else is listed or scanned.
+commit. A log row lists the data folders its content consists of: an append
+adds one to those of its parent, an overwrite starts anew, a delete replaces
+only the folders that hold matching rows, a change of schema keeps them all.
+Reading a version reads its folders and lists nothing else.
 
 One writer per table at a time.
 """
@@ -28,13 +29,14 @@ from pyspark.sql import types as T
 LOG_SCHEMA = T.StructType(
     [
         T.StructField("version", T.LongType(), False),
-        T.StructField("base_version", T.LongType(), False),
         T.StructField("parent_version", T.LongType(), True),
         T.StructField("committed_at", T.TimestampType(), False),
         T.StructField("operation", T.StringType(), False),
         T.StructField("summary", T.MapType(T.StringType(), T.StringType()), False),
         T.StructField("schema", T.StringType(), False),
         T.StructField("partition_by", T.ArrayType(T.StringType()), False),
+        T.StructField("split_by", T.StringType(), True),
+        T.StructField("parts", T.ArrayType(T.StringType()), False),
     ]
 )
 VERSION_COLUMN = "commit_version"
@@ -50,6 +52,10 @@ def _stored_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(_stored(f), f.dataType, True) for f in schema.fields])
 
 
+def _schema(entry: dict) -> T.StructType:
+    return T.StructType.fromJson(json.loads(entry["schema"]))
+
+
 @dataclass(frozen=True)
 class VersionedTable:
     spark: SparkSession
@@ -81,12 +87,14 @@ class VersionedTable:
             raise LookupError(f"{self.path} has no version {version}")
         return rows[0].asDict(recursive=True)
 
+    def _parent(self) -> dict | None:
+        return self.entry() if self.exists() else None
+
     def history(self) -> DataFrame:
         """Versions with their parent and the counts of their summary."""
         return self.log().select(
             "version",
             "parent_version",
-            "base_version",
             F.date_format("committed_at", "yyyy-MM-dd HH:mm:ss").alias("committed_at"),
             "operation",
             F.col("summary")["added-records"].cast("bigint").alias("added_records"),
@@ -97,25 +105,22 @@ class VersionedTable:
     # ---- read ------------------------------------------------------------
 
     def schema(self, version: int | None = None) -> T.StructType:
-        return T.StructType.fromJson(json.loads(self.entry(version)["schema"]))
+        return _schema(self.entry(version))
 
     def _scan(self, entry: dict) -> DataFrame:
-        schema = T.StructType.fromJson(json.loads(entry["schema"]))
-        stored = _stored_schema(schema).add(VERSION_COLUMN, T.LongType())
-        folders = [
-            f"{self.path}/data/{VERSION_COLUMN}={v}" for v in range(entry["base_version"], entry["version"] + 1)
-        ]
+        stored = _stored_schema(_schema(entry)).add(VERSION_COLUMN, T.LongType())
+        if not entry["parts"]:
+            return self.spark.createDataFrame([], stored)
         return (
             self.spark.read.schema(stored)
             .option("basePath", f"{self.path}/data")
-            .parquet(*folders)
+            .parquet(*[f"{self.path}/data/{part}" for part in entry["parts"]])
         )
 
     def read(self, version: int | None = None) -> DataFrame:
         """The table as of a version. Columns a file lacks are NULL."""
         entry = self.entry(version)
-        schema = T.StructType.fromJson(json.loads(entry["schema"]))
-        return self._scan(entry).select(*[F.col(f"`{_stored(f)}`").alias(f.name) for f in schema.fields])
+        return _named(self._scan(entry), _schema(entry))
 
     def files(self, version: int | None = None) -> DataFrame:
         """Data files of a version with row count and size."""
@@ -125,10 +130,10 @@ class VersionedTable:
 
     def append(self, df: DataFrame, partition_by: list[str] | None = None, **labels: str) -> int:
         """Add rows. Known columns are matched by name, missing ones are NULL."""
-        if not self.exists():
-            return self._commit(df, None, "append", partition_by or [], labels)
-        parent = self.entry()
-        schema = T.StructType.fromJson(json.loads(parent["schema"]))
+        parent = self._parent()
+        if parent is None:
+            return self._commit(None, "append", _plain(df.schema), df, partition_by or [], labels=labels)
+        schema = _schema(parent)
         unknown = [c for c in df.columns if c not in schema.names]
         if unknown:
             raise ValueError(f"columns {unknown} are not in the table, add them first")
@@ -138,104 +143,190 @@ class VersionedTable:
                 for f in schema.fields
             ]
         )
-        return self._commit(aligned, parent, "append", parent["partition_by"], labels, schema)
+        return self._commit(
+            parent, "append", schema, aligned, parent["partition_by"], parent["split_by"], parent["parts"], labels
+        )
 
     def overwrite(
-        self, df: DataFrame, operation: str = "overwrite", partition_by: list[str] | None = None, **labels: str
+        self,
+        df: DataFrame,
+        operation: str = "overwrite",
+        partition_by: list[str] | None = None,
+        split_by: str | None = None,
+        **labels: str,
     ) -> int:
-        """Replace the content; the frame may read this very table."""
-        parent = self.entry() if self.exists() else None
+        """Replace the content; the frame may read this very table.
+
+        A table with ``split_by``, a column of few values, can later replace
+        the rows of single values with ``replace_split``.
+        """
+        parent = self._parent()
         if partition_by is None:
             partition_by = parent["partition_by"] if parent else []
-        return self._commit(df, parent, operation, partition_by, labels)
+        return self._commit(parent, operation, _plain(df.schema), df, partition_by, split_by, labels=labels)
+
+    def replace_split(self, df: DataFrame, values: list, **labels: str) -> int:
+        """Replace the rows whose split column has one of the values, add all of the frame."""
+        parent = self.entry()
+        replaced = tuple(f"/{parent['split_by']}={_folder_value(v)}" for v in values)
+        kept = [part for part in parent["parts"] if not part.endswith(replaced)]
+        schema = _schema(parent)
+        return self._commit(
+            parent,
+            "overwrite",
+            schema,
+            df.select(*schema.names),
+            parent["partition_by"],
+            parent["split_by"],
+            kept,
+            labels,
+        )
 
     def delete_where(self, predicate: Column) -> int:
-        """Delete rows for which the predicate is true; NULL keeps the row."""
-        kept = self.read().filter(~F.coalesce(predicate, F.lit(False)))
-        return self.overwrite(kept, operation="delete")
+        """Delete rows for which the predicate is true; NULL keeps the row.
+
+        Only the parts that hold such rows are written again.
+        """
+        parent = self.entry()
+        schema = _schema(parent)
+        scan = self._scan(parent)
+        located = [VERSION_COLUMN] + ([parent["split_by"]] if parent["split_by"] else [])
+        names = [f"`{_stored(f)}`" for f in schema.fields]
+        rows = scan.select(
+            F.struct(*located).alias("_part"), *[F.col(n).alias(f.name) for n, f in zip(names, schema.fields)]
+        )
+        touched = [
+            "/".join(f"{c}={_folder_value(row[c])}" for c in located)
+            for row in rows.filter(predicate).select("_part.*").distinct().collect()
+        ]
+        kept_parts = [part for part in parent["parts"] if part not in touched]
+        if not touched:
+            return self._commit(
+                parent, "delete", schema, None, parent["partition_by"], parent["split_by"], kept_parts
+            )
+        kept_rows = _named(self._scan({**parent, "parts": touched}), schema).filter(
+            ~F.coalesce(predicate, F.lit(False))
+        )
+        return self._commit(
+            parent, "delete", schema, kept_rows, parent["partition_by"], parent["split_by"], kept_parts
+        )
 
     def recreate(self, schema: T.StructType, partition_by: list[str] | None = None) -> int:
         """Empty table of a new schema; earlier versions stay readable."""
-        return self.overwrite(self.spark.createDataFrame([], schema), "create", partition_by or [])
+        return self._commit(self._parent(), "create", _plain(schema), None, partition_by or [])
 
     def add_columns(self, columns: dict[str, str]) -> int:
         """Add columns that are not there yet, without rewriting a file."""
         parent = self.entry()
-        schema = T.StructType.fromJson(json.loads(parent["schema"]))
-        taken = {f.name for f in schema.fields} | {_stored(f) for f in schema.fields}
+        schema = _schema(parent)
         added = [(n, t) for n, t in columns.items() if n not in schema.names]
         if not added:
             return parent["version"]
+        taken = {_stored(f) for f in schema.fields}
         for name, data_type in added:
             stored = name if name not in taken else f"{name}_{parent['version'] + 1}"
             schema = schema.add(T.StructField(name, T.DataType.fromDDL(data_type), True, {STORED_NAME: stored}))
-        return self._commit(None, parent, "add-columns", parent["partition_by"], {}, schema)
+        return self._change_schema(parent, "add-columns", schema)
 
     def rename_column(self, old: str, new: str) -> int:
         """Rename a column without rewriting a file."""
         parent = self.entry()
-        schema = T.StructType.fromJson(json.loads(parent["schema"]))
-        if new in schema.names:
-            raise ValueError(f"column {new} exists already")
-        if old in parent["partition_by"]:
+        schema = _schema(parent)
+        if old not in schema.names or new in schema.names:
+            raise ValueError(f"cannot rename {old} to {new}")
+        if old in [*parent["partition_by"], parent["split_by"]]:
             raise ValueError(f"partition column {old} cannot be renamed")
         fields = [
             T.StructField(new, f.dataType, f.nullable, {STORED_NAME: _stored(f)}) if f.name == old else f
             for f in schema.fields
         ]
-        return self._commit(None, parent, "rename-column", parent["partition_by"], {}, T.StructType(fields))
+        return self._change_schema(parent, "rename-column", T.StructType(fields))
+
+    def _change_schema(self, parent: dict, operation: str, schema: T.StructType) -> int:
+        return self._commit(
+            parent, operation, schema, None, parent["partition_by"], parent["split_by"], parent["parts"]
+        )
 
     def _commit(
         self,
-        df: DataFrame | None,
         parent: dict | None,
         operation: str,
+        schema: T.StructType,
+        df: DataFrame | None,
         partition_by: list[str],
-        labels: dict[str, str],
-        schema: T.StructType | None = None,
+        split_by: str | None = None,
+        kept_parts: list[str] | None = None,
+        labels: dict[str, str] | None = None,
     ) -> int:
         version = parent["version"] + 1 if parent else 1
-        replaces = parent is None or (df is not None and operation != "append")
-        if schema is None:
-            schema = T.StructType([T.StructField(f.name, f.dataType, f.nullable) for f in df.schema.fields])
+        parts = list(kept_parts or [])
         added = {"records": 0, "files": 0, "bytes": 0}
-        folder = f"{self.path}/data/{VERSION_COLUMN}={version}"
-        if df is None:
-            # A change of schema only: an empty folder keeps versions contiguous.
-            df = self.spark.createDataFrame([], schema)
-        stored = df.select(*[F.col(f"`{f.name}`").alias(_stored(f)) for f in schema.fields])
-        stored.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
-        # Counted from the footers of what was really written.
-        written = data_files(self.spark.read.schema(_stored_schema(schema)).parquet(folder))
-        counts = written.agg(
-            F.coalesce(F.sum("record_count"), F.lit(0)).alias("records"),
-            F.count(F.lit(1)).alias("files"),
-            F.coalesce(F.sum("file_size_in_bytes"), F.lit(0)).alias("bytes"),
-        ).first()
-        added = counts.asDict()
-        before = 0 if replaces else int(parent["summary"]["total-records"])
+        if df is not None:
+            folder = f"{self.path}/data/{VERSION_COLUMN}={version}"
+            stored = df.select(*[F.col(f"`{f.name}`").alias(_stored(f)) for f in schema.fields])
+            folders = ([split_by] if split_by else []) + [c for c in partition_by if c != split_by]
+            stored.write.mode("overwrite").partitionBy(*folders).parquet(folder)
+            # Counted from the footers of what was really written.
+            written = self.spark.read.schema(_stored_schema(schema)).parquet(folder)
+            added = _totals(data_files(written))
+            if not split_by:
+                parts.append(f"{VERSION_COLUMN}={version}")
+            else:
+                values = [row[0] for row in written.select(split_by).distinct().collect()]
+                parts += [f"{VERSION_COLUMN}={version}/{split_by}={_folder_value(v)}" for v in sorted(values)]
+        total = added["records"]
+        if kept_parts:
+            if parent["parts"] == kept_parts:
+                total += int(parent["summary"]["total-records"])
+            else:
+                total += _totals(data_files(self._scan({**parent, "parts": kept_parts})))["records"]
         summary = {
             "added-records": str(added["records"]),
             "added-data-files": str(added["files"]),
             "added-files-size": str(added["bytes"]),
-            "total-records": str(before + added["records"]),
-            **labels,
+            "total-records": str(total),
+            **(labels or {}),
         }
         row = (
             version,
-            version if replaces else parent["base_version"],
             parent["version"] if parent else None,
             datetime.now(timezone.utc),
             operation,
             summary,
             schema.json(),
             partition_by,
+            split_by,
+            parts,
         )
         log_row = self.spark.createDataFrame([row], LOG_SCHEMA).coalesce(1)
         log_row.write.mode("error").json(f"{self.path}/log/{version}")
         return version
 
 
+def _plain(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, f.nullable) for f in schema.fields])
+
+
+def _named(scan: DataFrame, schema: T.StructType) -> DataFrame:
+    return scan.select(*[F.col(f"`{_stored(f)}`").alias(f.name) for f in schema.fields])
+
+
+def _folder_value(value) -> str:
+    return str(value).lower() if isinstance(value, bool) else str(value)
+
+
+def _totals(files: DataFrame) -> dict:
+    return (
+        files.agg(
+            F.coalesce(F.sum("record_count"), F.lit(0)).alias("records"),
+            F.count(F.lit(1)).alias("files"),
+            F.coalesce(F.sum("file_size_in_bytes"), F.lit(0)).alias("bytes"),
+        )
+        .first()
+        .asDict()
+    )
+
+
 # ---- frames about files, partitions and tables -----------------------------
 
 
