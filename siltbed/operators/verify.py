@@ -39,7 +39,7 @@ def verify_contents(raw: DataFrame, expected_format: str | None = None) -> DataF
 def csv_header(payload: str = "raw_payload") -> Column:
     """First line without byte order mark and carriage return."""
     first = F.substring_index(F.col(payload), "\n", 1)
-    return F.rtrim(F.ltrim(first, F.lit("﻿")), F.lit("\r"))
+    return F.rtrim(F.ltrim(first, F.lit("\ufeff")), F.lit("\r"))
 
 
 def verify_csv(raw: DataFrame, header: str, expected_rows: Column | int) -> DataFrame:

@@ -49,10 +49,9 @@ def promote(
             refresh()
         version = source.entry()["version"]
         validated = source.read(version)
-        # One row per expectation; pinned so that storing and judging run once.
-        rows = validate(validated, suite).collect()
-        spark = source.spark
-        results = spark.createDataFrame(rows, validate(validated, suite).schema)
+        verdict = validate(validated, suite)
+        # One row per expectation; pinned so that storing and judging scan once.
+        results = source.spark.createDataFrame(verdict.collect(), verdict.schema)
         if store is not None:
             store.append(
                 results.select(F.lit(run_name).alias("run_name"), F.lit(version).alias("validated_version"), "*")
