@@ -71,6 +71,24 @@ RAW_CHECKS = [
 ]
 RAW_CDP_CHECKS = [*RAW_CHECKS, AcceptedValues("source_file_format", ("csv",))]
 RAW_NZDPU_CHECKS = [*RAW_CHECKS, AcceptedValues("source_file_format", ("json",))]
+STAGED_CDP_CHECKS = [
+    NotNull("ingestion_id"),
+    NotNull("ingestion_timestamp"),
+    NotNull("source_file_hash"),
+    NotNull("row_number"),
+    NotNull("account_number"),
+    NotNull("reporting_year"),
+]
+STAGED_NZDPU_CHECKS = [
+    NotNull("ingestion_id"),
+    NotNull("ingestion_timestamp"),
+    NotNull("source_file_hash"),
+    NotNull("company_id"),
+    NotNull("company_name"),
+    NotNull("isin"),
+    NotNull("reporting_year"),
+    AcceptedValues("scope_1_unit", ("tCO2e",)),
+]
 COMPANY_CHECKS = [
     NotNull("isin"),
     Unique(("isin",)),

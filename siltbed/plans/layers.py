@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,36 +51,41 @@ class Layers:
         frames = [self.read(name) for name in model.inputs]
         return self.table(model.key).overwrite(model.build(*frames), partition_by=list(model.partition_by))
 
-    def build_to(self, models: list[Model], layer: str | None) -> None:
-        """Bring the layers to a state: rebuilt up to a layer, empty beyond it.
+    def build_to(self, models: list[Model], layer: str | None, rebuild: bool = True) -> None:
+        """Bring the layers to a state: built up to a layer, empty beyond it.
 
-        ``models`` come in the order of their inputs. ``None`` empties all.
-        Tables beyond the layer are emptied from the last one back, before
-        anything is rebuilt, so no table outlives the data it came from.
+        ``None`` empties all. Tables beyond the layer are emptied from the last
+        layer back, before anything is built, so no table outlives the data it
+        came from. Models of one layer do not depend on each other and are
+        built at the same time. With ``rebuild=False`` tables that hold rows
+        already are left as they are.
         """
         wanted = LAYERS[: LAYERS.index(layer) + 1] if layer else []
-        for model in reversed(models):
-            table = self.table(model.key)
-            if model.layer not in wanted and table.exists():
-                table.recreate(table.schema(), list(model.partition_by))
-        for model in models:
-            if model.layer in wanted:
-                self.build(model)
+        filled = dict(zip(models, self._totals(models)))
+        for name in reversed(LAYERS):
+            if name not in wanted:
+                _at_once(self._empty, [m for m in models if m.layer == name and filled[m] > 0])
+        for name in wanted:
+            _at_once(self.build, [m for m in models if m.layer == name and (rebuild or filled[m] == 0)])
+
+    def _empty(self, model: Model) -> None:
+        table = self.table(model.key)
+        table.recreate(table.schema(), list(model.partition_by))
+
+    def _totals(self, models: list[Model]) -> list[int]:
+        entries = _at_once(lambda model: self.table(model.key).newest(), models)
+        return [int(entry["summary"]["total-records"]) if entry else 0 for entry in entries]
 
     def row_counts(self, models: list[Model]) -> DataFrame:
         """Rows per table, 0 for one that was never built."""
-        counts = []
-        for model in models:
-            table = self.table(model.key)
-            total = int(table.entry()["summary"]["total-records"]) if table.exists() else 0
-            counts.append((model.layer, model.name, total))
+        counts = [(m.layer, m.name, total) for m, total in zip(models, self._totals(models))]
         return self.spark.createDataFrame(counts, "layer string, table_name string, row_count bigint")
 
     def test(self, models: list[Model]) -> DataFrame:
         """All declared checks of the models' tables as one report."""
-        parents = {m.key: self.read(m.key) for m in models if self.table(m.key).exists()}
+        frames = dict(zip([m.key for m in models], _at_once(self.read, [m.key for m in models])))
         reports = [
-            run_checks(parents[m.key], list(m.checks), parents).select(
+            run_checks(frames[m.key], list(m.checks), frames).select(
                 F.lit(m.layer).alias("layer"), F.lit(m.name).alias("table_name"), "*"
             )
             for m in models
@@ -91,9 +97,10 @@ class Layers:
         """Rows, data files, size and versions of every table."""
         frames = []
         for key in keys:
-            table = self.table(key)
+            entry = self.table(key).entry()
             frames.append(
-                table.files()
+                self.table(key)
+                .files(entry["version"])
                 .agg(
                     F.coalesce(F.sum("record_count"), F.lit(0)).alias("row_count"),
                     F.count(F.lit(1)).alias("file_count"),
@@ -102,7 +109,13 @@ class Layers:
                 .select(
                     F.lit(key).alias("table_name"),
                     "*",
-                    F.lit(table.entry()["version"]).cast("bigint").alias("version_count"),
+                    F.lit(entry["version"]).cast("bigint").alias("version_count"),
                 )
             )
         return union_all(frames)
+
+
+def _at_once(action: Callable, items: Iterable) -> list:
+    """Run an action that starts Spark jobs for several items, a few at a time."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        return list(pool.map(action, items))

@@ -18,12 +18,19 @@ def raw_model(
     return Model("raw", name, (), build, tuple(checks), ("ingestion_date",))
 
 
-def emission_models(spark: SparkSession, cdp_path: str, nzdpu_path: str, run: Run) -> list[Model]:
+def emission_models(
+    spark: SparkSession,
+    cdp_path: str,
+    nzdpu_path: str,
+    run: Run,
+    cdp_glob: str = "*.csv",
+    nzdpu_glob: str = "*.json",
+) -> list[Model]:
     return [
-        raw_model(spark, "cdp", cdp_path, "*.csv", emissions.CDP_FILES, run, emissions.RAW_CDP_CHECKS),
-        raw_model(spark, "nzdpu", nzdpu_path, "*.json", emissions.NZDPU_FILES, run, emissions.RAW_NZDPU_CHECKS),
-        Model("staging", "cdp", ("raw.cdp",), emissions.stage_cdp),
-        Model("staging", "nzdpu", ("raw.nzdpu",), emissions.stage_nzdpu),
+        raw_model(spark, "cdp", cdp_path, cdp_glob, emissions.CDP_FILES, run, emissions.RAW_CDP_CHECKS),
+        raw_model(spark, "nzdpu", nzdpu_path, nzdpu_glob, emissions.NZDPU_FILES, run, emissions.RAW_NZDPU_CHECKS),
+        Model("staging", "cdp", ("raw.cdp",), emissions.stage_cdp, tuple(emissions.STAGED_CDP_CHECKS)),
+        Model("staging", "nzdpu", ("raw.nzdpu",), emissions.stage_nzdpu, tuple(emissions.STAGED_NZDPU_CHECKS)),
         Model(
             "curated",
             "companies",

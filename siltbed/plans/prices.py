@@ -53,7 +53,7 @@ STAGING_CHECKS = [
     NotNull("business_date"),
     NotNull("nav"),
     NotNull("currency"),
-    AcceptedValues("currency", ("EUR", "USD", "CHF", "GBP")),
+    AcceptedValues("currency", ("EUR", "USD")),
     NotNull("ingestion_id"),
 ]
 HISTORY_CHECKS = [
@@ -93,10 +93,11 @@ def record_history(
     open versions only; those closed by earlier runs stay where they are.
     """
     is_open = F.col("valid_to").isNull().alias("is_open")
-    if not table.exists():
+    newest = table.newest()
+    if newest is None:
         first = history.first_load(source, keys, run_at)
         return table.overwrite(first.select("*", is_open), split_by="is_open", **labels)
-    open_rows = table.read().filter("is_open").drop("is_open")
+    open_rows = table.read_entry(newest).filter("is_open").drop("is_open")
     moved = history.advance(open_rows, source, keys, checks, run_at)
     return table.replace_split(moved.select("*", is_open), [True], **labels)
 

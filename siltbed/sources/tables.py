@@ -67,28 +67,29 @@ class VersionedTable:
         """One row per version: when, what, how many rows and files."""
         return self.spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true").json(f"{self.path}/log")
 
-    def exists(self) -> bool:
+    def _logged(self, version: int | None) -> dict | None:
+        rows = self.log() if version is None else self.log().filter(F.col("version") == version)
+        found = rows.orderBy(F.desc("version")).limit(1).collect()
+        return found[0].asDict(recursive=True) if found else None
+
+    def newest(self) -> dict | None:
+        """Log row of the newest version, None for a table that was never written."""
         try:
-            return not self.log().isEmpty()
+            return self._logged(None)
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                return False
+                return None
             raise
 
+    def exists(self) -> bool:
+        return self.newest() is not None
+
     def entry(self, version: int | None = None) -> dict:
         """Log row of a version, by default the newest; an unknown version raises."""
-        if not self.exists():
-            raise LookupError(f"no table at {self.path}")
-        log = self.log()
-        rows = (
-            log.orderBy(F.desc("version")).limit(1) if version is None else log.filter(F.col("version") == version)
-        ).collect()
-        if not rows:
-            raise LookupError(f"{self.path} has no version {version}")
-        return rows[0].asDict(recursive=True)
-
-    def _parent(self) -> dict | None:
-        return self.entry() if self.exists() else None
+        found = self.newest() if version is None else self._logged(version)
+        if found is None:
+            raise LookupError(f"{self.path} has no version {'at all' if version is None else version}")
+        return found
 
     def history(self) -> DataFrame:
         """Versions with their parent and the counts of their summary."""
@@ -119,7 +120,10 @@ class VersionedTable:
 
     def read(self, version: int | None = None) -> DataFrame:
         """The table as of a version. Columns a file lacks are NULL."""
-        entry = self.entry(version)
+        return self.read_entry(self.entry(version))
+
+    def read_entry(self, entry: dict) -> DataFrame:
+        """The content a log row stands for."""
         return _named(self._scan(entry), _schema(entry))
 
     def files(self, version: int | None = None) -> DataFrame:
@@ -130,7 +134,7 @@ class VersionedTable:
 
     def append(self, df: DataFrame, partition_by: list[str] | None = None, **labels: str) -> int:
         """Add rows. Known columns are matched by name, missing ones are NULL."""
-        parent = self._parent()
+        parent = self.newest()
         if parent is None:
             return self._commit(None, "append", _plain(df.schema), df, partition_by or [], labels=labels)
         schema = _schema(parent)
@@ -160,7 +164,7 @@ class VersionedTable:
         A table with ``split_by``, a column of few values, can later replace
         the rows of single values with ``replace_split``.
         """
-        parent = self._parent()
+        parent = self.newest()
         if partition_by is None:
             partition_by = parent["partition_by"] if parent else []
         return self._commit(parent, operation, _plain(df.schema), df, partition_by, split_by, labels=labels)
@@ -213,7 +217,7 @@ class VersionedTable:
 
     def recreate(self, schema: T.StructType, partition_by: list[str] | None = None) -> int:
         """Empty table of a new schema; earlier versions stay readable."""
-        return self._commit(self._parent(), "create", _plain(schema), None, partition_by or [])
+        return self._commit(self.newest(), "create", _plain(schema), None, partition_by or [])
 
     def add_columns(self, columns: dict[str, str]) -> int:
         """Add columns that are not there yet, without rewriting a file."""
@@ -268,7 +272,7 @@ class VersionedTable:
             stored.write.mode("overwrite").partitionBy(*folders).parquet(folder)
             # Counted from the footers of what was really written.
             written = self.spark.read.schema(_stored_schema(schema)).parquet(folder)
-            added = _totals(data_files(written))
+            added = _totals(written)
             if not split_by:
                 parts.append(f"{VERSION_COLUMN}={version}")
             else:
@@ -279,7 +283,7 @@ class VersionedTable:
             if parent["parts"] == kept_parts:
                 total += int(parent["summary"]["total-records"])
             else:
-                total += _totals(data_files(self._scan({**parent, "parts": kept_parts})))["records"]
+                total += _totals(self._scan({**parent, "parts": kept_parts}))["records"]
         summary = {
             "added-records": str(added["records"]),
             "added-data-files": str(added["files"]),
@@ -287,19 +291,19 @@ class VersionedTable:
             "total-records": str(total),
             **(labels or {}),
         }
-        row = (
-            version,
-            parent["version"] if parent else None,
-            datetime.now(timezone.utc),
-            operation,
-            summary,
-            schema.json(),
-            partition_by,
-            split_by,
-            parts,
-        )
-        log_row = self.spark.createDataFrame([row], LOG_SCHEMA).coalesce(1)
-        log_row.write.mode("error").json(f"{self.path}/log/{version}")
+        row = {
+            "version": version,
+            "parent_version": parent["version"] if parent else None,
+            "committed_at": datetime.now(timezone.utc).isoformat(),
+            "operation": operation,
+            "summary": summary,
+            "schema": schema.json(),
+            "partition_by": partition_by,
+            "split_by": split_by,
+            "parts": parts,
+        }
+        log_row = self.spark.range(0, 1, 1, 1).select(F.lit(json.dumps(row)).alias("value"))
+        log_row.write.mode("error").text(f"{self.path}/log/{version}")
         return version
 
 
@@ -315,12 +319,14 @@ def _folder_value(value) -> str:
     return str(value).lower() if isinstance(value, bool) else str(value)
 
 
-def _totals(files: DataFrame) -> dict:
+def _totals(scan: DataFrame) -> dict:
+    """Rows, non-empty files and their bytes, in one aggregate that reads no column."""
+    is_first = F.col("_metadata.row_index") == 0
     return (
-        files.agg(
-            F.coalesce(F.sum("record_count"), F.lit(0)).alias("records"),
-            F.count(F.lit(1)).alias("files"),
-            F.coalesce(F.sum("file_size_in_bytes"), F.lit(0)).alias("bytes"),
+        scan.agg(
+            F.count(F.lit(1)).alias("records"),
+            F.count_if(is_first).alias("files"),
+            F.coalesce(F.sum(F.when(is_first, F.col("_metadata.file_size"))), F.lit(0)).alias("bytes"),
         )
         .first()
         .asDict()

@@ -12,6 +12,7 @@ from siltbed.sources.files import Run, Source, ingest
 from siltbed.sources.tables import VersionedTable
 
 BATCH_LABEL = "batch-id"
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def already_applied(table: VersionedTable, batch_id: int) -> bool:
@@ -25,6 +26,7 @@ def already_applied(table: VersionedTable, batch_id: int) -> bool:
 def file_stream(spark: SparkSession, folder: str, glob: str, files_per_batch: int = 1000) -> DataFrame:
     return (
         spark.readStream.format("binaryFile")
+        .schema(FILE_SCHEMA)
         .option("pathGlobFilter", glob)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(folder)
