@@ -1,0 +1,16 @@
+"""Using all cores on inputs that Spark would read with a few tasks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def use_all_cores(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a small scan out to all cores, leave a large one alone.
+
+    A file with a single row group, or a handful of files, is read by as few
+    tasks, and parsing payloads is CPU work. Only for scans and what follows
+    them without a shuffle: the partitions are counted by planning, not running.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

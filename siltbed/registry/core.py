@@ -9,6 +9,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltbed.operators.spread import use_all_cores
 from siltbed.session import ensure_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +60,11 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def payload_rows(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a given table that payloads are made of, for CPU-heavy work on them."""
+    return use_all_cores(given(spark, sf_dir, name).select(*columns))
+
+
 def instant(text: str):
     """A UTC instant as a literal column."""
     return F.to_timestamp(F.lit(text))

@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siltbed.operators.expand import expand_csv, expand_lines, expand_nested_records, expand_records
-from siltbed.registry.core import given, query
+from siltbed.registry.core import payload_rows, query
 
 
 @query(
@@ -28,7 +28,8 @@ def json_expand_single(spark, sf_dir):
         .when(F.col("o_orderstatus") == "F", F.array(listed))
         .alias("records")
     )
-    raw = given(spark, sf_dir, "orders").select(
+    rows = payload_rows(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_orderdate", "o_totalprice")
+    raw = rows.select(
         "o_orderkey", F.to_json(F.struct(F.lit("shop").alias("source_system"), records)).alias("raw_payload")
     )
     fields = {"kind": ("kind", "string"), "business_date": ("day", "date"), "nav": ("price", "double")}
@@ -45,7 +46,22 @@ def json_expand_single(spark, sf_dir):
 def json_filter_scalar(spark, sf_dir):
     """Rows chosen by a value inside their JSON payload."""
     k = F.from_json("props", "k string")["k"].cast("int")
-    return given(spark, sf_dir, "events").select("user_id", "event_id", k.alias("k")).filter("k > 50")
+    events = payload_rows(spark, sf_dir, "events", "user_id", "event_id", "props")
+    return events.select("user_id", "event_id", k.alias("k")).filter("k > 50")
+
+
+LINE_COLUMNS = [
+    "l_orderkey",
+    "l_linenumber",
+    "l_partkey",
+    "l_shipdate",
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+    "l_returnflag",
+    "l_linestatus",
+]
 
 
 @query(
@@ -82,7 +98,8 @@ def json_expand_double(spark, sf_dir):
         .when(F.col("l_quantity") != 50, periods)
         .alias("periods"),
     )
-    raw = given(spark, sf_dir, "lineitem").select(
+    rows = payload_rows(spark, sf_dir, "lineitem", *LINE_COLUMNS)
+    raw = rows.select(
         "l_orderkey", "l_linenumber", F.to_json(F.struct(F.array(item).alias("data"))).alias("raw_payload")
     )
     return expand_nested_records(
@@ -104,6 +121,7 @@ def _order_csv(quote: str):
     return F.concat_ws("\n", F.lit("account,label,price,day"), F.concat(first, F.lit("\r")), F.lit(" \t"), second, F.lit(""))
 
 
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_totalprice", "o_orderdate"]
 CSV_COLUMNS = {"account": "bigint", "label": "string", "price": "double", "day": "date"}
 CSV_SQL = """
     SELECT o_orderkey, CAST(2 AS BIGINT) AS row_number, o_custkey AS account,
@@ -118,14 +136,14 @@ CSV_SQL = """
 @query("csv_expand", CSV_SQL.format(sep=","))
 def csv_expand(spark, sf_dir):
     """CSV payloads with quoted commas, carriage returns, blank lines and short lines."""
-    raw = given(spark, sf_dir, "orders").select("o_orderkey", _order_csv('"').alias("raw_payload"))
+    raw = payload_rows(spark, sf_dir, "orders", *ORDER_COLUMNS).select("o_orderkey", _order_csv('"').alias("raw_payload"))
     return expand_csv(raw, CSV_COLUMNS, ["o_orderkey"])
 
 
 @query("csv_expand_plain", CSV_SQL.format(sep=";"))
 def csv_expand_plain(spark, sf_dir):
     """The same with every comma a separator."""
-    raw = given(spark, sf_dir, "orders").select("o_orderkey", _order_csv("").alias("raw_payload"))
+    raw = payload_rows(spark, sf_dir, "orders", *ORDER_COLUMNS).select("o_orderkey", _order_csv("").alias("raw_payload"))
     return expand_csv(raw, CSV_COLUMNS, ["o_orderkey"], quoted=False)
 
 
@@ -139,7 +157,7 @@ def csv_expand_plain(spark, sf_dir):
     """,
 )
 def lines_ordinality(spark, sf_dir):
-    lines = expand_lines(given(spark, sf_dir, "documents"), ["doc_id"], "text")
+    lines = expand_lines(payload_rows(spark, sf_dir, "documents", "doc_id", "text"), ["doc_id"], "text")
     return lines.select(
         "doc_id",
         "row_number",

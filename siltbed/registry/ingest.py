@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from siltbed.functions.digests import byte_size
 from siltbed.operators.expand import expand_csv, expand_records
 from siltbed.operators.reshape import wrap_records
-from siltbed.registry.core import given, plain_time, query
+from siltbed.registry.core import given, payload_rows, plain_time, query
 from siltbed.registry.landing import block_of, land_csv, land_payloads
 from siltbed.session import work_dir
 from siltbed.sources.files import (
@@ -40,13 +40,12 @@ ORDER_DDL = ", ".join(f"{name} {data_type}" for name, data_type in ORDER_CSV.ite
 
 def as_payloads(df: DataFrame, path, text) -> DataFrame:
     """Rows in the shape of a file scan: path, length, content."""
-    content = F.encode(text, "UTF-8")
-    return df.select(path.alias("path"), byte_size(content).alias("length"), content.alias("content"))
+    return df.select(path.alias("path"), byte_size(text).alias("length"), text.cast("binary").alias("content"))
 
 
 def documents_as_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_payloads(
-        given(spark, sf_dir, "documents"), F.format_string("doc/%d", F.col("doc_id")), F.col("text")
+        payload_rows(spark, sf_dir, "documents", "doc_id", "text"), F.format_string("doc/%d", F.col("doc_id")), F.col("text")
     )
 
 
@@ -76,7 +75,7 @@ def raw_ingest_provenance(spark, sf_dir):
 )
 def raw_file_ingest(spark, sf_dir):
     """Orders as CSV files on disk, each ingested whole into a raw table, then expanded."""
-    files = land_csv(given(spark, sf_dir, "orders").select(*ORDER_CSV), "orders-csv")
+    files = land_csv(payload_rows(spark, sf_dir, "orders", *ORDER_CSV), "orders-csv")
     raw = ingest(read_files(spark, files, "*.csv"), Source("csv", "shop"), RUN)
     table = VersionedTable(spark, work_dir(spark, "raw-orders"))
     table.append(with_ingestion_date(raw), partition_by=["ingestion_date"])
@@ -126,14 +125,15 @@ def raw_envelope_metadata(spark, sf_dir):
 )
 def ingest_reject_split(spark, sf_dir):
     """Event payloads, those of some types damaged: stored or rejected with a reason."""
-    content = F.encode("props", "UTF-8")
+    content = F.col("props").cast("binary")
     damaged = (
-        F.when(F.col("event_type") == "click", F.encode(F.expr("left(props, length(props) - 1)"), "UTF-8"))
-        .when(F.col("event_type") == "view", F.encode(F.concat(F.lit("["), "props", F.lit("]")), "UTF-8"))
+        F.when(F.col("event_type") == "click", F.expr("left(props, length(props) - 1)").cast("binary"))
+        .when(F.col("event_type") == "view", F.concat(F.lit("["), "props", F.lit("]")).cast("binary"))
         .when(F.col("event_type") == "signup", F.concat(content, F.unhex(F.lit("FF"))))
         .otherwise(content)
     )
-    files = given(spark, sf_dir, "events").select(
+    events = payload_rows(spark, sf_dir, "events", "event_id", "event_type", "props")
+    files = events.select(
         F.col("event_id").cast("string").alias("path"), byte_size(damaged).alias("length"), damaged.alias("content")
     )
     accepted, rejected = split_rejects(files, Source("json", "web", object_required=True), RUN)
@@ -152,7 +152,7 @@ def ingest_reject_split(spark, sf_dir):
     """,
 )
 def ingest_dedup_by_hash(spark, sf_dir):
-    return first_of_each_content(given(spark, sf_dir, "documents"), "text", "doc_id")
+    return first_of_each_content(payload_rows(spark, sf_dir, "documents", "doc_id", "text"), "text", "doc_id")
 
 
 @query(
@@ -187,11 +187,11 @@ def scan_csv_typed(spark, sf_dir):
     "SELECT o_orderpriority, o_orderkey, o_totalprice, o_orderdate FROM orders",
 )
 def scan_json_documents(spark, sf_dir):
-    """JSON documents of up to a thousand orders, one per file, read and unnested."""
+    """JSON documents of up to five thousand orders, one per file, read and unnested."""
     envelopes = wrap_records(
         given(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey", "o_totalprice", "o_orderdate"),
         ["o_orderpriority"],
-        block_of("o_orderkey"),
+        block_of("o_orderkey", 5_000),
         ["o_orderdate", "o_orderkey"],
         {"source_system": F.lit("shop"), "priority": F.col("o_orderpriority")},
     )

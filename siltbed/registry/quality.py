@@ -9,8 +9,8 @@ from siltbed.operators.expectations import statistics, validate
 from siltbed.operators.merge import union_all
 from siltbed.operators.verify import summarize, verify_contents, verify_counts, verify_csv, verify_json
 from siltbed.plans.gate import promote
-from siltbed.registry.core import given, query
-from siltbed.registry.ingest import DOCUMENTS, RUN, documents_as_payloads
+from siltbed.registry.core import given, payload_rows, query
+from siltbed.registry.ingest import DOCUMENTS, RUN, as_payloads, documents_as_payloads
 from siltbed.session import work_dir
 from siltbed.sources.files import Run, Source, ingest, label_payloads
 from siltbed.sources.tables import VersionedTable
@@ -368,7 +368,9 @@ def _order_payloads(spark, sf_dir):
         F.lit("shop").alias("source"),
         F.array(entry).alias("data"),
     )
-    orders = given(spark, sf_dir, "orders")
+    orders = payload_rows(
+        spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice"
+    )
     path = F.col("o_orderkey").cast("string")
     csv = F.concat_ws(
         "\n",
@@ -380,9 +382,7 @@ def _order_payloads(spark, sf_dir):
     )
 
     def raw(text, source):
-        content = F.encode(text, "UTF-8")
-        files = orders.select(path.alias("path"), F.octet_length(content).alias("length"), content.alias("content"))
-        return label_payloads(files, source, RUN)
+        return label_payloads(as_payloads(orders, path, text), source, RUN)
 
     return raw(F.to_json(wrapper), Source("json", "shop")), raw(csv, Source("csv", "shop"))
 

@@ -70,7 +70,10 @@ class Source:
 
 
 def read_files(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
-    """All files under a path as (path, length, content), read on the executors."""
+    """All files under a path as (path, length, content), read on the executors.
+
+    Spark's file scans skip files of zero bytes, so these give no row.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
