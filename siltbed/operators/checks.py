@@ -59,8 +59,10 @@ def _row_checks(df: DataFrame, checks: list[Check]) -> list[DataFrame]:
             measures += [F.count(F.lit(1)).alias(f"e{n}"), F.count_if(column.isNull()).alias(f"f{n}")]
             outcomes.append(_outcome("not_null", check.column, F.col(f"e{n}"), F.col(f"f{n}")))
         else:
+            # Rows evaluated; the failures of these checks come in frames of their own.
+            name = "accepted_values" if isinstance(check, AcceptedValues) else "relationships"
             measures.append(F.count(column).alias(f"e{n}"))
-            outcomes.append(_outcome("accepted_values", check.column, F.col(f"e{n}"), F.lit(0)))
+            outcomes.append(_outcome(name, check.column, F.col(f"e{n}"), F.lit(0)))
     if not measures:
         return []
     return [df.agg(*measures).select(F.inline(F.array(*outcomes)))]
@@ -113,16 +115,11 @@ def orphans(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -
     return values.join(keys, F.col(column) == F.col("_parent"), "left_anti")
 
 
-def _relationship(df: DataFrame, check: Relationship, parents: dict[str, DataFrame]) -> list[DataFrame]:
+def _lost(df: DataFrame, check: Relationship, parents: dict[str, DataFrame]) -> DataFrame:
     lost = orphans(df, check.column, parents[check.parent], check.parent_column)
-    return [
-        df.agg(F.count(check.column).alias("e")).select(
-            F.inline(F.array(_outcome("relationships", check.column, F.col("e"), F.lit(0))))
-        ),
-        lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("f")).select(
-            F.inline(F.array(_outcome("relationships", check.column, F.lit(0), F.col("f"))))
-        ),
-    ]
+    return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("f")).select(
+        F.inline(F.array(_outcome("relationships", check.column, F.lit(0), F.col("f"))))
+    )
 
 
 def run_checks(df: DataFrame, checks: list[Check], parents: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -131,13 +128,10 @@ def run_checks(df: DataFrame, checks: list[Check], parents: dict[str, DataFrame]
     Failures are rows for not_null and relationships, distinct unexpected
     values for accepted_values, and repeated keys for uniqueness.
     """
-    by_row = [c for c in checks if isinstance(c, NotNull | AcceptedValues)]
-    frames = _row_checks(df, by_row)
+    frames = _row_checks(df, [c for c in checks if not isinstance(c, Unique)])
     frames += _unexpected_values(df, [c for c in checks if isinstance(c, AcceptedValues)])
     frames += [_uniqueness(df, c) for c in checks if isinstance(c, Unique)]
-    for check in checks:
-        if isinstance(check, Relationship):
-            frames += _relationship(df, check, parents or {})
+    frames += [_lost(df, c, parents or {}) for c in checks if isinstance(c, Relationship)]
     return (
         union_all(frames)
         .groupBy("check", "column")

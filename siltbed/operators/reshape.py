@@ -112,25 +112,21 @@ def weights_to_100(
         F.max(F.when(F.col("_is_last"), F.col("weight_pct"))).alias("weight_pct"),
         F.count_if("_is_last").alias("_copies"),
     )
-    names = [*order, value]
-    columns = [*keys, *names, "weight_pct"]
+    columns = [*keys, *order, value, "weight_pct"]
     inner = weighted.filter(~F.col("_is_last")).select(*columns)
-    closing = lasts.select(
-        *keys,
-        *[F.col("_last")[c].alias(c) for c in names],
-        (100 - F.col("_sum") + F.col("weight_pct")).cast(share).alias("weight_pct"),
-    )
-    # Exact copies of the last row keep their plain share, all but one.
-    copies = repeat_rows(
+    # One copy of the last row takes the rest, further exact copies keep their share.
+    closing = repeat_rows(
         lasts.select(
             *keys,
-            *[F.col("_last")[c].alias(c) for c in names],
+            *[F.col("_last")[c].alias(c) for c in [*order, value]],
             "weight_pct",
-            (F.col("_copies") - 1).alias("_times"),
+            (100 - F.col("_sum") + F.col("weight_pct")).cast(share).alias("_rest"),
+            "_copies",
         ),
-        "_times",
-    ).select(*columns)
-    return inner.unionByName(copies).unionByName(closing)
+        "_copies",
+        "_copy",
+    ).withColumn("weight_pct", F.when(F.col("_copy") == 1, F.col("_rest")).otherwise(F.col("weight_pct")))
+    return inner.unionByName(closing.select(*columns))
 
 
 def is_weekday(day: Column) -> Column:

@@ -47,13 +47,16 @@ def attach_group_values(
     return join_on(salted_rows, salted_groups, [*keys, "_salt"]).drop("_salt")
 
 
-def repeat_rows(df: DataFrame, times: str, block: int = 10_000) -> DataFrame:
-    """Each row as often as its ``times`` column says, in blocks of bounded size."""
+def repeat_rows(df: DataFrame, times: str, number: str, block: int = 10_000) -> DataFrame:
+    """Each row as often as its ``times`` column says, numbered from 1.
+
+    Two steps of bounded size, so that no array grows with the count.
+    """
     # sequence() would count downwards from 0 to -1.
     blocks = df.filter(F.col(times) > 0).withColumn(
-        "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(times) - 1) / block)))
-    )
-    left = F.least(F.lit(block).cast("bigint"), F.col(times) - F.col("_block") * block)
-    return blocks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), left))).drop(
-        "_block", "_copy", times
+        "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"({times} - 1) DIV {block}")))
     )
+    first = F.col("_block") * block + 1
+    return blocks.withColumn(
+        number, F.explode(F.sequence(first, F.least(first + block - 1, F.col(times))))
+    ).drop("_block", times)

@@ -16,9 +16,16 @@ from siltbed.sources.tables import VersionedTable
 LAYERS = ["raw", "staging", "curated", "trusted"]
 
 
+INPUT_LABEL = "input-version:"
+
+
 @dataclass(frozen=True)
 class Model:
-    """A table of a layer, built from the tables it names as inputs."""
+    """A table of a layer, built from the tables it names as inputs.
+
+    ``row_wise`` says that every input row gives its output rows on its own, so
+    that new input rows can be added without building all others again.
+    """
 
     layer: str
     name: str
@@ -26,6 +33,7 @@ class Model:
     build: Callable[..., DataFrame]
     checks: tuple[Check, ...] = field(default=())
     partition_by: tuple[str, ...] = field(default=())
+    row_wise: bool = False
 
     @property
     def key(self) -> str:
@@ -48,8 +56,30 @@ class Layers:
 
     def build(self, model: Model) -> int:
         """Build a model from its inputs' newest versions and replace its table."""
-        frames = [self.read(name) for name in model.inputs]
-        return self.table(model.key).overwrite(model.build(*frames), partition_by=list(model.partition_by))
+        entries = [self.table(name).entry() for name in model.inputs]
+        frames = [self.table(name).read_entry(entry) for name, entry in zip(model.inputs, entries)]
+        return self.table(model.key).overwrite(
+            model.build(*frames), partition_by=list(model.partition_by), **_input_versions(model, entries)
+        )
+
+    def extend(self, model: Model) -> int:
+        """Bring a row-wise model of one input up to date by its new input rows only.
+
+        The last build noted which input version it read. If rows of that
+        version were replaced or deleted since, the model is built anew.
+        """
+        table, source = self.table(model.key), self.table(model.inputs[0])
+        built = table.newest()
+        seen = built and built["summary"].get(INPUT_LABEL + model.inputs[0])
+        if not model.row_wise or len(model.inputs) != 1 or not seen:
+            return self.build(model)
+        entry = source.entry()
+        if entry["version"] == int(seen):
+            return built["version"]
+        added = source.added_since(int(seen))
+        if added is None:
+            return self.build(model)
+        return table.append(model.build(added), **_input_versions(model, [entry]))
 
     def build_to(self, models: list[Model], layer: str | None, rebuild: bool = True) -> None:
         """Bring the layers to a state: built up to a layer, empty beyond it.
@@ -115,6 +145,10 @@ class Layers:
         return union_all(frames)
 
 
+def _input_versions(model: Model, entries: list[dict]) -> dict[str, str]:
+    return {INPUT_LABEL + name: str(entry["version"]) for name, entry in zip(model.inputs, entries)}
+
+
 def _at_once(action: Callable, items: Iterable) -> list:
     """Run an action that starts Spark jobs for several items, a few at a time."""
     with ThreadPoolExecutor(max_workers=4) as pool:

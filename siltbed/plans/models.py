@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from siltbed.plans import emissions, prices
@@ -18,6 +20,10 @@ def raw_model(
     return Model("raw", name, (), build, tuple(checks), ("ingestion_date",))
 
 
+def staging_model(name: str, build: Callable[[DataFrame], DataFrame], checks: list) -> Model:
+    return Model("staging", name, (f"raw.{name}",), build, tuple(checks), row_wise=True)
+
+
 def emission_models(
     spark: SparkSession,
     cdp_path: str,
@@ -29,8 +35,8 @@ def emission_models(
     return [
         raw_model(spark, "cdp", cdp_path, cdp_glob, emissions.CDP_FILES, run, emissions.RAW_CDP_CHECKS),
         raw_model(spark, "nzdpu", nzdpu_path, nzdpu_glob, emissions.NZDPU_FILES, run, emissions.RAW_NZDPU_CHECKS),
-        Model("staging", "cdp", ("raw.cdp",), emissions.stage_cdp, tuple(emissions.STAGED_CDP_CHECKS)),
-        Model("staging", "nzdpu", ("raw.nzdpu",), emissions.stage_nzdpu, tuple(emissions.STAGED_NZDPU_CHECKS)),
+        staging_model("cdp", emissions.stage_cdp, emissions.STAGED_CDP_CHECKS),
+        staging_model("nzdpu", emissions.stage_nzdpu, emissions.STAGED_NZDPU_CHECKS),
         Model(
             "curated",
             "companies",
@@ -58,5 +64,5 @@ def emission_models(
 def price_models(spark: SparkSession, path: str, run: Run) -> list[Model]:
     return [
         raw_model(spark, "prices", path, "*.json", prices.PRICE_FILES, run, prices.RAW_CHECKS),
-        Model("staging", "prices", ("raw.prices",), prices.stage_prices, tuple(prices.STAGING_CHECKS)),
+        staging_model("prices", prices.stage_prices, prices.STAGING_CHECKS),
     ]

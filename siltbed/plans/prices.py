@@ -29,6 +29,7 @@ PRICE_FIELDS = {
 }
 KEYS = ["isin", "business_date"]
 CHECKS = ["nav", "currency"]
+PART = "history_part"
 HISTORY_COLUMNS = [
     "isin",
     "business_date",
@@ -85,22 +86,44 @@ def record_history(
     run_at: Column,
     keys: list[str] = KEYS,
     checks: list[str] = CHECKS,
+    slice_by: Column | None = None,
+    slices_from: DataFrame | None = None,
     **labels: str,
 ) -> int:
     """Bring a stored history up to date with a source that is unique per key.
 
-    The table is split into open and closed versions. A run reads and writes
-    open versions only; those closed by earlier runs stay where they are.
+    The table is split into open and closed versions, and these by a coarse
+    slice of the key, such as its month. A run reads and writes the open
+    versions of the slices its source touches; closed versions and other
+    slices stay where they are. ``slice_by`` must follow from the key alone;
+    the slices are looked up in ``slices_from``, rows with the same keys that
+    cost less to read than the source.
     """
-    is_open = F.col("valid_to").isNull().alias("is_open")
+    slice_label = F.lit("all") if slice_by is None else F.coalesce(slice_by.cast("string"), F.lit("none"))
+    state = F.when(F.col("valid_to").isNull(), "open").otherwise("closed")
+    part = F.concat_ws("_", state, slice_label).alias(PART)
     newest = table.newest()
     if newest is None:
         first = history.first_load(source, keys, run_at)
-        return table.overwrite(first.select("*", is_open), split_by="is_open", **labels)
-    open_rows = table.read_entry(newest).filter("is_open").drop("is_open")
+        return table.overwrite(first.select("*", part), split_by=PART, **labels)
+    parts = ["open_all"]
+    if slice_by is not None:
+        touched = source if slices_from is None else slices_from
+        labelled = touched.select(F.concat_ws("_", F.lit("open"), slice_label).alias(PART))
+        parts = [row[PART] for row in labelled.distinct().collect()]
+    open_rows = table.read_entry(newest).filter(F.col(PART).isin(parts)).drop(PART)
     moved = history.advance(open_rows, source, keys, checks, run_at)
-    return table.replace_split(moved.select("*", is_open), [True], **labels)
+    return table.replace_split(moved.select("*", part), parts, **labels)
+
+
+def record_prices(table: VersionedTable, staged: DataFrame, run_at: Column) -> int:
+    """Price history by business month; corrections mostly concern recent ones.
+
+    Staged records of new loads alone are enough, since keys without one stay open.
+    """
+    month = F.date_format("business_date", "yyyy-MM")
+    return record_history(table, newest_prices(staged), run_at, slice_by=month, slices_from=staged)
 
 
 def read_history(table: VersionedTable, version: int | None = None) -> DataFrame:
-    return table.read(version).drop("is_open")
+    return table.read(version).drop(PART)

@@ -164,11 +164,11 @@ def ingest_dedup_by_hash(spark, sf_dir):
 )
 def ingest_skip_known(spark, sf_dir):
     """All documents come in again; those that are labelled were stored before."""
-    documents = given(spark, sf_dir, "documents")
-    before = documents.join(given(spark, sf_dir, "labels"), "doc_id", "left_semi")
-    path = F.format_string("doc/%d", F.col("doc_id"))
-    stored = label_payloads(as_payloads(before, path, F.col("text")), DOCUMENTS, RUN)
     incoming = label_payloads(documents_as_payloads(spark, sf_dir), DOCUMENTS, RUN)
+    labelled = given(spark, sf_dir, "labels").select(
+        F.format_string("doc/%d", F.col("doc_id")).alias("source_file_path")
+    )
+    stored = incoming.join(labelled, "source_file_path", "left_semi")
     return skip_known(incoming, stored).select("source_file_path", "source_file_hash")
 
 

@@ -329,12 +329,15 @@ def verified_sql(check: str, evaluated: str, passed: str) -> str:
 
 def _damaged_documents(spark, sf_dir):
     """Documents as raw rows; those of one language changed after they were stored."""
-    raw = ingest(documents_as_payloads(spark, sf_dir), DOCUMENTS, RUN)
-    german = given(spark, sf_dir, "documents").filter("lang = 'de'")
-    paths = german.select(F.format_string("doc/%d", F.col("doc_id")).alias("source_file_path"), F.lit(True).alias("_de"))
-    return raw.join(paths, "source_file_path", "left").withColumn(
-        "raw_payload", F.when(F.col("_de"), F.concat(F.reverse("raw_payload"), F.lit("!"))).otherwise(F.col("raw_payload"))
-    )
+    documents = payload_rows(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    path = F.format_string("doc/%d", F.col("doc_id"))
+
+    def raw(rows):
+        return ingest(as_payloads(rows, path, F.col("text")), DOCUMENTS, RUN)
+
+    changed = F.concat(F.reverse("raw_payload"), F.lit("!"))
+    german = raw(documents.filter("lang = 'de'")).withColumn("raw_payload", changed)
+    return raw(documents.filter("lang <> 'de'")).unionByName(german)
 
 
 ALL_DOCUMENTS = "SELECT count(*) FROM documents"

@@ -126,6 +126,13 @@ class VersionedTable:
         """The content a log row stands for."""
         return _named(self._scan(entry), _schema(entry))
 
+    def added_since(self, version: int) -> DataFrame | None:
+        """Rows added after a version; None if that version's data is not all there any more."""
+        newest, older = self.entry(), self.entry(version)
+        if not set(older["parts"]) <= set(newest["parts"]):
+            return None
+        return self.read_entry({**newest, "parts": [p for p in newest["parts"] if p not in older["parts"]]})
+
     def files(self, version: int | None = None) -> DataFrame:
         """Data files of a version with row count and size."""
         return data_files(self._scan(self.entry(version)))

@@ -109,19 +109,27 @@ def test_stored_history_equals_the_frame_and_keeps_closed_files(spark, tmp_path)
         source = history.latest_load(staged(spark, *rows), KEYS, "at", CHECKS).drop("at")
         record_history(table, source, F.lit(at(day)), KEYS, CHECKS)
     assert shown(read_history(table)) == shown(expected)
-    closed = [part for part in table.entry()["parts"] if part.endswith("is_open=false")]
-    assert closed == ["commit_version=2/is_open=false", "commit_version=3/is_open=false"]
+    closed = [part for part in table.entry()["parts"] if "closed" in part]
+    assert closed == [f"commit_version={n}/history_part=closed_all" for n in (2, 3)]
     assert shown(read_history(table, 1)) == [("a", 127.49, "EUR", 1, None), ("b", 1.0, "EUR", 1, None)]
 
 
-def test_joins_open_rows_only(spark, tmp_path, plan):
+def test_a_run_touches_open_rows_of_its_slices_only(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "history"))
-    source = staged(spark, *LOAD_1).drop("at")
-    record_history(table, source, F.lit(at(1)), KEYS, CHECKS)
-    moved = history.advance(
-        table.read().filter("is_open").drop("is_open"), source, KEYS, CHECKS, F.lit(at(2))
-    )
-    assert "is_open" in plan(moved).split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    first = staged(spark, ("a1", 1.0, "x", at(1)), ("b1", 2.0, "x", at(1)), ("b2", 3.0, "x", at(1))).drop("at")
+    by_letter = F.substring("k", 1, 1)
+    record_history(table, first, F.lit(at(1)), KEYS, CHECKS, by_letter)
+    correction = staged(spark, ("b2", 4.0, "x", at(2)), ("c1", 5.0, "x", at(2))).drop("at")
+    record_history(table, correction, F.lit(at(2)), KEYS, CHECKS, by_letter)
+    parts = {f"commit_version={p}" for p in ("1/history_part=open_a", "2/history_part=open_b", "2/history_part=open_c", "2/history_part=closed_b")}
+    assert set(table.entry()["parts"]) == parts
+    assert shown(read_history(table)) == [
+        ("a1", 1.0, "x", 1, None),
+        ("b1", 2.0, "x", 1, None),
+        ("b2", 3.0, "x", 1, 2),
+        ("b2", 4.0, "x", 2, None),
+        ("c1", 5.0, "x", 2, None),
+    ]
 
 
 def brute_force(rows):

@@ -22,9 +22,9 @@ def test_hot_key_is_reduced_before_the_shuffle(spark, plan):
     df = spark.range(1000).withColumn("k", F.when(F.col("id") > 10, 1).otherwise(0))
     found = first_per_key(df, ["k"], [F.desc("id")])
     assert sorted(r["id"] for r in found.collect()) == [10, 999]
-    text = plan(found)
+    text = plan(first_per_key(df, ["k"], [F.desc("id")]))
     assert text.count("WindowGroupLimit") == 2
-    assert text.index("Final") < text.index("Exchange") < text.index("Partial")
+    assert text.index("1, Final") < text.index("Exchange") < text.index("1, Partial")
 
 
 def test_union_requires_equal_columns(spark):
@@ -65,8 +65,8 @@ def test_attach_group_values_salts_hot_groups_and_loses_nothing(spark, plan):
 
 def test_repeat_rows(spark):
     df = spark.createDataFrame([("a", 0), ("b", 1), ("c", 25)], "k string, times bigint")
-    counts = {r["k"]: r["count"] for r in repeat_rows(df, "times", block=10).groupBy("k").count().collect()}
-    assert counts == {"b": 1, "c": 25}
+    repeated = sorted(tuple(r) for r in repeat_rows(df, "times", "n", block=10).collect())
+    assert repeated == [("b", 1)] + [("c", n) for n in range(1, 26)]
 
 
 @pytest.mark.parametrize("hot_rows", [10**9, 20])

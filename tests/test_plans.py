@@ -145,7 +145,7 @@ def test_fund_prices_with_a_correction(spark, tmp_path):
     assert (layers.read("raw.prices").count(), staged.count()) == (1, 450)
 
     table = layers.table("curated.prices_history")
-    prices.record_history(table, prices.newest_prices(staged), F.lit("2026-05-01 07:00:00").cast("timestamp"))
+    prices.record_prices(table, staged, F.lit("2026-05-01 07:00:00").cast("timestamp"))
     assert prices.read_history(table).count() == 450
 
     # The correction arrives as a second file of a later run.
@@ -158,11 +158,15 @@ def test_fund_prices_with_a_correction(spark, tmp_path):
     later = price_models(spark, str(second), Run("r2", "2026-05-02T06:00:00Z"))[0].build()
     raw.append(later)
     assert [raw.read(v).count() for v in (1, 2)] == [1, 2]
-    layers.build(first_run[1])
+    before = layers.table("staging.prices").entry()
+    layers.extend(first_run[1])
+    entry = layers.table("staging.prices").entry()
+    assert (entry["operation"], entry["summary"]["added-records"], entry["parts"][:1]) == ("append", "1", before["parts"])
+    assert layers.extend(first_run[1]) == entry["version"]
     staged = layers.read("staging.prices")
     assert staged.count() == 451
     for run_at in ("2026-05-02 07:00:00", "2026-05-03 07:00:00", "2026-05-04 07:00:00"):
-        prices.record_history(table, prices.newest_prices(staged), F.lit(run_at).cast("timestamp"))
+        prices.record_prices(table, staged, F.lit(run_at).cast("timestamp"))
     found = prices.read_history(table)
     assert (found.count(), found.filter("valid_to IS NULL").count()) == (451, 450)
     corrected = found.filter("isin = 'F0' AND business_date = '2026-04-20'").orderBy("valid_from").collect()
@@ -170,6 +174,13 @@ def test_fund_prices_with_a_correction(spark, tmp_path):
     assert run_checks(found, prices.HISTORY_CHECKS).filter("not success").count() == 0
     assert run_checks(staged, prices.STAGING_CHECKS).filter("not success").count() == 0
     assert len(prices.HISTORY_CHECKS) == 7
+    fresh = layers.table("staging.prices").added_since(before["version"])
+    assert fresh.count() == 1
+    prices.record_prices(table, fresh, F.lit("2026-05-05 07:00:00").cast("timestamp"))
+    assert prices.read_history(table).count() == 451
+    raw.delete_where(F.col("ingestion_id") == "r2")
+    layers.extend(first_run[1])
+    assert layers.read("staging.prices").count() == 450
 
     # Back to the first load: a new history starts from it.
     layers.build_to(first_run, "staging")
