@@ -276,21 +276,22 @@ class VersionedTable:
             folder = f"{self.path}/data/{VERSION_COLUMN}={version}"
             stored = df.select(*[F.col(f"`{f.name}`").alias(_stored(f)) for f in schema.fields])
             folders = ([split_by] if split_by else []) + [c for c in partition_by if c != split_by]
+            if folders:
+                # Few files per folder; AQE splits a folder too large for one task.
+                stored = stored.hint("rebalance", *folders)
             stored.write.mode("overwrite").partitionBy(*folders).parquet(folder)
             # Counted from the footers of what was really written.
             written = self.spark.read.schema(_stored_schema(schema)).parquet(folder)
-            added = _totals(written)
-            if not split_by:
-                parts.append(f"{VERSION_COLUMN}={version}")
-            else:
-                values = [row[0] for row in written.select(split_by).distinct().collect()]
-                parts += [f"{VERSION_COLUMN}={version}/{split_by}={_folder_value(v)}" for v in sorted(values)]
+            by_value = _totals(written, split_by)
+            added = {name: sum(totals[name] for totals in by_value.values()) for name in added}
+            own = f"{VERSION_COLUMN}={version}"
+            parts += [f"{own}/{split_by}={_folder_value(v)}" for v in sorted(by_value)] if split_by else [own]
         total = added["records"]
         if kept_parts:
             if parent["parts"] == kept_parts:
                 total += int(parent["summary"]["total-records"])
             else:
-                total += _totals(self._scan({**parent, "parts": kept_parts}))["records"]
+                total += _totals(self._scan({**parent, "parts": kept_parts}))[None]["records"]
         summary = {
             "added-records": str(added["records"]),
             "added-data-files": str(added["files"]),
@@ -326,18 +327,20 @@ def _folder_value(value) -> str:
     return str(value).lower() if isinstance(value, bool) else str(value)
 
 
-def _totals(scan: DataFrame) -> dict:
-    """Rows, non-empty files and their bytes, in one aggregate that reads no column."""
+def _totals(scan: DataFrame, split_by: str | None = None) -> dict:
+    """Rows, non-empty files and bytes per split value, in one aggregate that reads no other column."""
     is_first = F.col("_metadata.row_index") == 0
-    return (
-        scan.agg(
+    rows = (
+        scan.groupBy((F.col(split_by) if split_by else F.lit(None)).alias("value"))
+        .agg(
             F.count(F.lit(1)).alias("records"),
             F.count_if(is_first).alias("files"),
             F.coalesce(F.sum(F.when(is_first, F.col("_metadata.file_size"))), F.lit(0)).alias("bytes"),
         )
-        .first()
-        .asDict()
+        .collect()
     )
+    found = {row["value"]: row.asDict() for row in rows}
+    return found if found or split_by else {None: {"records": 0, "files": 0, "bytes": 0}}
 
 
 # ---- frames about files, partitions and tables -----------------------------
