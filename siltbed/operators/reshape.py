@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltbed.operators.skew import HOT_ROWS, attach_group_values, repeat_rows
+from siltbed.operators.skew import HOT_ROWS, attach_group_values, bounded_blocks, repeat_rows
 
 
 def flatten(df: DataFrame, separator: str = ".") -> DataFrame:
@@ -53,22 +53,26 @@ def wrap_records(
     block: Column,
     order: list[str],
     envelope: dict[str, Column],
+    max_records: int = 1_000,
 ) -> DataFrame:
     """JSON envelopes ``{labels…, record_count, records: […]}``, records in order.
 
     An envelope is one value, so it must stay small: ``block`` divides every
-    key's records into envelopes of bounded size, for instance
-    ``id DIV 1000`` for a unique integer id.
+    key's records into envelopes of up to ``max_records``, for instance
+    ``id DIV 1000`` for a unique integer id. Larger blocks are split further.
     """
     rest = [c for c in df.columns if c not in keys]
     record = F.struct(*order, *[c for c in rest if c not in order])
-    grouped = df.groupBy(*keys, block.alias("block_no")).agg(
-        F.array_sort(F.collect_list(record)).alias("_records")
+    grouped = (
+        bounded_blocks(df, keys, block, max_records)
+        .groupBy(*keys, "block_no", "part_no")
+        .agg(F.array_sort(F.collect_list(record)).alias("_records"))
     )
     labels = [column.alias(name) for name, column in envelope.items()]
     return grouped.select(
         *keys,
         "block_no",
+        "part_no",
         F.size("_records").cast("bigint").alias("record_count"),
         F.to_json(
             F.struct(*labels, F.size("_records").alias("record_count"), F.col("_records").alias("records"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltbed.operators.merge import join_on
@@ -60,3 +60,26 @@ def repeat_rows(df: DataFrame, times: str, number: str, block: int = 10_000) ->
     return blocks.withColumn(
         number, F.explode(F.sequence(first, F.least(first + block - 1, F.col(times))))
     ).drop("_block", times)
+
+
+def bounded_blocks(df: DataFrame, keys: list[str], block: Column, max_rows: int) -> DataFrame:
+    """Rows with ``block_no`` and ``part_no``, such that a group of keys, block and part stays small.
+
+    The block sizes are counted first, in an aggregate that combines map-side.
+    Where ``block`` keeps them within ``max_rows``, as a division of a unique
+    id does, there is one part per block. Otherwise, say because one id is
+    repeated a billion times, exact copies are counted and numbered, and rows
+    are spread by hash over as many parts as their block needs.
+    """
+    blocked = df.withColumn("block_no", block)
+    group = [*keys, "block_no"]
+    largest = blocked.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    if largest is None or largest <= max_rows:
+        return blocked.withColumn("part_no", F.lit(0))
+    copies = blocked.groupBy(*blocked.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    numbered = repeat_rows(copies, "_copies", "_copy")
+    sizes = blocked.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
+    sized = attach_group_values(numbered, sizes, group, "_size")
+    parts = F.ceil(2 * F.col("_size") / max_rows)
+    part = F.when(F.col("_size") > max_rows, F.pmod(F.xxhash64(*df.columns, "_copy"), parts)).otherwise(0)
+    return sized.withColumn("part_no", part.cast("int")).select(*df.columns, "block_no", "part_no")

@@ -6,16 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siltbed.operators.checks import enforce_not_null
 from siltbed.plans import emissions, prices
 from siltbed.plans.layers import Model
-from siltbed.sources.files import Run, Source, ingest, read_files, with_ingestion_date
+from siltbed.sources.files import RAW_SCHEMA, Run, Source, ingest, read_files, with_ingestion_date
 
 
 def raw_model(
     spark: SparkSession, name: str, path: str, glob: str, source: Source, run: Run, checks: list
 ) -> Model:
+    required = [f.name for f in RAW_SCHEMA.fields if not f.nullable]
+
     def build() -> DataFrame:
-        return with_ingestion_date(ingest(read_files(spark, path, glob), source, run))
+        raw = enforce_not_null(ingest(read_files(spark, path, glob), source, run), required)
+        return with_ingestion_date(raw)
 
     return Model("raw", name, (), build, tuple(checks), ("ingestion_date",))
 
@@ -61,8 +65,8 @@ def emission_models(
     ]
 
 
-def price_models(spark: SparkSession, path: str, run: Run) -> list[Model]:
+def price_models(spark: SparkSession, path: str, run: Run, glob: str = "*.json") -> list[Model]:
     return [
-        raw_model(spark, "prices", path, "*.json", prices.PRICE_FILES, run, prices.RAW_CHECKS),
+        raw_model(spark, "prices", path, glob, prices.PRICE_FILES, run, prices.RAW_CHECKS),
         staging_model("prices", prices.stage_prices, prices.STAGING_CHECKS),
     ]

@@ -194,6 +194,7 @@ def scan_json_documents(spark, sf_dir):
         block_of("o_orderkey", 5_000),
         ["o_orderdate", "o_orderkey"],
         {"source_system": F.lit("shop"), "priority": F.col("o_orderpriority")},
+        5_000,
     )
     files = land_payloads(envelopes, "raw_payload", "orders-json")
     documents = read_json_documents(

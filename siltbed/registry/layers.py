@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 from siltbed.functions.check_digits import check_digit
 from siltbed.operators.merge import union_all
 from siltbed.operators.reshape import wrap_records
+from siltbed.operators.skew import bounded_blocks
 from siltbed.plans.emissions import CDP_HEADER
 from siltbed.plans.layers import Layers
-from siltbed.plans.models import emission_models
-from siltbed.registry.core import given, query
+from siltbed.plans.models import emission_models, price_models
+from siltbed.plans.prices import read_history, record_prices
+from siltbed.registry.core import given, instant, plain_time, query
 from siltbed.registry.landing import block_of, land_payloads
 from siltbed.session import work_dir
 from siltbed.sources.files import Run
@@ -53,6 +55,7 @@ def land_json_companies(spark, sf_dir) -> str:
         block_of("c_custkey", 500),
         ["c_custkey"],
         {"status": F.lit("ok"), "source": F.col("source")},
+        500,
     )
     renamed = envelopes.withColumn(
         "raw_payload",
@@ -82,8 +85,8 @@ def land_csv_companies(spark, sf_dir) -> str:
         F.lit("Yes"),
     ]
     lines = given(spark, sf_dir, "supplier").select("s_suppkey", F.concat_ws(",", *cells).alias("line"))
-    # Blocks of an integer key are bounded, so a file is one value of bounded size.
-    blocks = lines.groupBy(block_of("s_suppkey", 500).alias("block_no")).agg(
+    bounded = bounded_blocks(lines, [], block_of("s_suppkey", 500), 500)
+    blocks = bounded.groupBy("block_no", "part_no").agg(
         F.array_sort(F.collect_list(F.struct("s_suppkey", "line"))).alias("lines")
     )
     payload = F.concat(F.lit(CDP_HEADER + "\n"), F.array_join(F.col("lines")["line"], "\n"))
@@ -195,3 +198,64 @@ def trusted_emissions(spark, sf_dir):
             F.count_distinct("primary_sector").alias("sectors"),
         )
     )
+
+
+def land_prices(spark, sf_dir, correction: bool) -> str:
+    """Parts as funds with one price each, in JSON load files; or corrected prices of some."""
+    parts = given(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.concat(F.lit("P"), "p_partkey").alias("isin"),
+        F.col("p_name").alias("fund_name"),
+        F.date_add(F.lit("2026-01-05").cast("date"), F.col("p_size")).cast("string").alias("business_date"),
+        F.col("p_retailprice").alias("nav"),
+        F.lit("EUR").alias("currency"),
+        F.lit("pricing").alias("source_system"),
+        F.col("p_type"),
+    )
+    if correction:
+        parts = parts.filter("p_type = 'PROMO' AND business_date >= '2026-02-01'").withColumn("nav", F.col("nav") - 1)
+    envelopes = wrap_records(
+        parts.drop("p_type"),
+        ["source_system"],
+        block_of("p_partkey"),
+        ["business_date", "isin"],
+        {"source_system": F.col("source_system"), "source_version": F.lit("correction" if correction else "v1")},
+    )
+    return land_payloads(envelopes, "raw_payload", "prices-json")
+
+
+@query(
+    "fund_price_history",
+    """
+    WITH prices AS (
+        SELECT 'P' || p_partkey AS isin, p_name AS fund_name, DATE '2026-01-05' + p_size AS business_date,
+               p_retailprice AS nav, p_type = 'PROMO' AND DATE '2026-01-05' + p_size >= DATE '2026-02-01' AS corrected
+        FROM part)
+    SELECT isin, business_date, nav, fund_name, 'run-0001' AS ingestion_id, 'v1' AS source_version,
+           TIMESTAMP '2026-03-01 08:00:00' AS valid_from,
+           CASE WHEN corrected THEN TIMESTAMP '2026-03-02 08:00:00' END AS valid_to
+    FROM prices
+    UNION ALL
+    SELECT isin, business_date, nav - 1, fund_name, 'run-0002', 'correction', TIMESTAMP '2026-03-02 08:00:00', NULL
+    FROM prices WHERE corrected
+    """,
+)
+def fund_price_history(spark, sf_dir):
+    """Price files to typed prices to history; the second load adds only its own rows."""
+    layers = Layers(spark, work_dir(spark, "price-layers"))
+    first = price_models(
+        spark, land_prices(spark, sf_dir, False), Run("run-0001", "2026-03-01T06:00:00Z"), "*.txt"
+    )
+    layers.build_to(first, "staging")
+    history, staged = layers.table("curated.price_history"), layers.table("staging.prices")
+    record_prices(history, staged.read(), instant("2026-03-01T08:00:00Z"))
+
+    seen = staged.entry()["version"]
+    second = price_models(
+        spark, land_prices(spark, sf_dir, True), Run("run-0002", "2026-03-02T06:00:00Z"), "*.txt"
+    )
+    layers.table("raw.prices").append(second[0].build())
+    layers.extend(first[1])
+    record_prices(history, staged.added_since(seen), instant("2026-03-02T08:00:00Z"))
+    columns = ["isin", "business_date", "nav", "fund_name", "ingestion_id", "source_version", "valid_from", "valid_to"]
+    return plain_time(read_history(history), "valid_from", "valid_to").select(*columns)

@@ -94,7 +94,7 @@ def flatten_generic(spark, sf_dir):
 @query(
     "reshape_to_envelope",
     """
-    SELECT o_orderpriority, o_orderkey // 1000 AS block_no, count(*) AS record_count,
+    SELECT o_orderpriority, o_orderkey // 1000 AS block_no, 0 AS part_no, count(*) AS record_count,
            'shop' AS source_system,
            arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS first_key,
            arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS last_key
@@ -116,6 +116,7 @@ def reshape_to_envelope(spark, sf_dir):
     return parsed.select(
         "o_orderpriority",
         "block_no",
+        "part_no",
         "record_count",
         F.col("_p.source_system"),
         F.element_at("_p.records", 1)["o_orderkey"].alias("first_key"),

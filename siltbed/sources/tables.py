@@ -330,17 +330,14 @@ def _folder_value(value) -> str:
 def _totals(scan: DataFrame, split_by: str | None = None) -> dict:
     """Rows, non-empty files and bytes per split value, in one aggregate that reads no other column."""
     is_first = F.col("_metadata.row_index") == 0
-    rows = (
-        scan.groupBy((F.col(split_by) if split_by else F.lit(None)).alias("value"))
-        .agg(
-            F.count(F.lit(1)).alias("records"),
-            F.count_if(is_first).alias("files"),
-            F.coalesce(F.sum(F.when(is_first, F.col("_metadata.file_size"))), F.lit(0)).alias("bytes"),
-        )
-        .collect()
-    )
-    found = {row["value"]: row.asDict() for row in rows}
-    return found if found or split_by else {None: {"records": 0, "files": 0, "bytes": 0}}
+    measures = [
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(is_first).alias("files"),
+        F.coalesce(F.sum(F.when(is_first, F.col("_metadata.file_size"))), F.lit(0)).alias("bytes"),
+    ]
+    if split_by is None:
+        return {None: scan.agg(*measures).first().asDict()}
+    return {row[split_by]: row.asDict() for row in scan.groupBy(split_by).agg(*measures).collect()}
 
 
 # ---- frames about files, partitions and tables -----------------------------

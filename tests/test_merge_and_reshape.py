@@ -119,6 +119,18 @@ def test_envelopes_are_bounded_and_sorted(spark):
     assert rows[0]["raw_payload"].startswith('{"source_system":"x","record_count":1000,"records":[{"rank":-999,"id":999}')
 
 
+def test_oversized_blocks_are_split_without_losing_copies(spark):
+    rows = [("x", 1, "same")] * 700 + [("x", 1, f"v{i}") for i in range(700)] + [("y", 2, "one")]
+    df = spark.createDataFrame(rows, "source string, id bigint, v string")
+    block = F.floor(F.col("id") / 100).cast("bigint")
+    wrapped = wrap_records(df, ["source"], block, ["id", "v"], {"s": F.col("source")}, max_records=100).cache()
+    counts = [r["record_count"] for r in wrapped.collect()]
+    assert sum(counts) == len(rows) and max(counts) <= 100
+    schema = "records array<struct<id: bigint, v: string>>"
+    back = wrapped.select("source", F.from_json("raw_payload", schema)["records"].alias("r")).select("source", F.inline("r"))
+    assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
+
+
 def test_use_all_cores_leaves_wide_scans_alone(spark):
     assert use_all_cores(spark.range(0, 100, 1, 2)).rdd.getNumPartitions() == 8
     assert use_all_cores(spark.range(0, 100, 1, 20)).rdd.getNumPartitions() == 20
