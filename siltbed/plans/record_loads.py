@@ -1,4 +1,4 @@
-"""Record-level loads of reference tables that no model refines further."""
+"""Record-level loads of tables that no model refines further."""
 
 from __future__ import annotations
 

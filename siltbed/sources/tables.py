@@ -135,7 +135,10 @@ class VersionedTable:
 
     def files(self, version: int | None = None) -> DataFrame:
         """Data files of a version with row count and size."""
-        return data_files(self._scan(self.entry(version)))
+        entry = self.entry(version)
+        if not entry["parts"]:
+            return self.spark.createDataFrame([], "file_path string, file_size_in_bytes bigint, record_count bigint")
+        return data_files(self._scan(entry))
 
     # ---- write -----------------------------------------------------------
 

@@ -12,7 +12,7 @@ from siltbed.operators.merge import compare_sources
 from siltbed.plans import emissions, prices
 from siltbed.plans.layers import Layers
 from siltbed.plans.models import emission_models, price_models
-from siltbed.plans.reference_loads import load_country_emissions, load_fund_master, load_fund_positions
+from siltbed.plans.record_loads import load_country_emissions, load_fund_master, load_fund_positions
 from siltbed.sources.files import PROVENANCE, Run, ingest, read_files
 from siltbed.sources.tables import VersionedTable, partition_stats
 
@@ -187,7 +187,7 @@ def test_fund_prices_with_a_correction(spark, tmp_path):
     assert layers.read("staging.prices").count() == 450
 
 
-def test_reference_loads(spark, tmp_path):
+def test_record_loads(spark, tmp_path):
     (tmp_path / "m.csv").write_text(
         "fund_isin,fund_wkn,fund_name,fund_type,currency,inception_date,domicile\nDE1,W,Fund,Equity,EUR,2001-02-03,DE\n"
     )

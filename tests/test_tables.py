@@ -66,6 +66,7 @@ def test_recreate_with_another_schema(spark, table):
     table.recreate(spark.sql("SELECT 'x' AS name").schema)
     assert table.read().count() == 0
     assert table.read().columns == ["name"]
+    assert table.files().count() == 0
     table.append(spark.sql("SELECT 'x' AS name"))
     assert ids(table.read(1)) == [0, 1]
 
@@ -140,3 +141,15 @@ def test_empty_partitioned_table(spark, table):
     assert table.read().count() == 0
     table.append(spark.range(2).withColumn("p", F.lit(1)))
     assert table.read().count() == 2
+
+
+def test_rows_added_since_a_version(spark, table):
+    table.append(spark.range(2))
+    table.append(spark.range(2, 4))
+    table.add_columns({"note": "string"})
+    table.append(spark.range(4, 6))
+    assert ids(table.added_since(1)) == [2, 3, 4, 5]
+    assert ids(table.added_since(4)) == []
+    table.delete_where(F.col("id") == 0)
+    assert table.added_since(1) is None
+    assert ids(table.added_since(5)) == []
