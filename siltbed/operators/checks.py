@@ -23,7 +23,10 @@ class AcceptedValues:
 
 @dataclass(frozen=True)
 class Unique:
-    """No non-NULL combination of the columns occurs twice, among the rows of ``where``."""
+    """No value, or combination of values, occurs twice among the rows of ``where``.
+
+    NULL in a single column is no value; in a combination it is one like others.
+    """
 
     columns: tuple[str, ...]
     where: str | None = None
@@ -92,32 +95,38 @@ def _unexpected_values(df: DataFrame, checks: list[AcceptedValues]) -> list[Data
     ]
 
 
+def _key_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    keyed = df.select(*columns)
+    if len(columns) == 1:
+        keyed = keyed.filter(F.col(columns[0]).isNotNull())
+    return keyed.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows"))
+
+
 def duplicate_groups(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Key combinations that occur more than once, with how often; NULL keys are left out."""
-    keyed = df.select(*columns).dropna(subset=list(columns))
-    return keyed.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    """Keys that occur more than once, with how often."""
+    return _key_counts(df, columns).filter("_rows > 1")
 
 
 def _uniqueness(df: DataFrame, check: Unique) -> DataFrame:
     rows = df.filter(check.where) if check.where else df
     columns = list(check.columns)
-    per_key = rows.select(*columns).dropna(subset=columns).groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
     name = "unique" if len(columns) == 1 else "unique_combination"
-    return per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("e"), F.count_if(F.col("n") > 1).alias("f")).select(
-        F.inline(F.array(_outcome(name, ", ".join(columns), F.col("e"), F.col("f"))))
+    sums = _key_counts(rows, columns).agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("e"), F.count_if(F.col("_rows") > 1).alias("f")
     )
+    return sums.select(F.inline(F.array(_outcome(name, ", ".join(columns), F.col("e"), F.col("f")))))
 
 
 def orphans(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Values without a parent and their number of rows; counted before the join."""
-    values = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    values = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
     keys = parent.select(F.col(parent_column).alias("_parent"))
     return values.join(keys, F.col(column) == F.col("_parent"), "left_anti")
 
 
 def _lost(df: DataFrame, check: Relationship, parents: dict[str, DataFrame]) -> DataFrame:
     lost = orphans(df, check.column, parents[check.parent], check.parent_column)
-    return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("f")).select(
+    return lost.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("f")).select(
         F.inline(F.array(_outcome("relationships", check.column, F.lit(0), F.col("f"))))
     )
 

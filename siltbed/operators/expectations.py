@@ -114,11 +114,15 @@ def _row_level(df: DataFrame, suite: list[Expectation]) -> list[DataFrame]:
 
 
 def _compound(df: DataFrame, e: CompoundUnique) -> DataFrame:
-    """All rows of a repeated key are unexpected. One map-side combined grouping."""
-    per_key = df.groupBy(*e.columns).agg(F.count(F.lit(1)).alias("k"))
+    """All rows of a repeated key are unexpected; rows without any key value are left out.
+
+    One grouping that combines map-side.
+    """
+    keyed = df.select(*e.columns).dropna("all")
+    per_key = keyed.groupBy(*e.columns).agg(F.count(F.lit(1)).alias("_rows"))
     sums = per_key.agg(
-        F.coalesce(F.sum("k"), F.lit(0)).alias("n"),
-        F.coalesce(F.sum(F.when(F.col("k") > 1, F.col("k"))), F.lit(0)).alias("u"),
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("n"),
+        F.coalesce(F.sum(F.when(F.col("_rows") > 1, F.col("_rows"))), F.lit(0)).alias("u"),
     )
     return sums.select(F.inline(F.array(_outcome(e, F.col("n"), F.col("u"), F.col("u") == 0))))
 

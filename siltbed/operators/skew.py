@@ -73,7 +73,7 @@ def bounded_blocks(df: DataFrame, keys: list[str], block: Column, max_rows: int)
     """
     blocked = df.withColumn("block_no", block)
     group = [*keys, "block_no"]
-    largest = blocked.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    largest = blocked.groupBy(*group).agg(F.count(F.lit(1)).alias("_size")).agg(F.max("_size")).first()[0]
     if largest is None or largest <= max_rows:
         return blocked.withColumn("part_no", F.lit(0))
     copies = blocked.groupBy(*blocked.columns).agg(F.count(F.lit(1)).alias("_copies"))

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltbed.operators import expectations as expect
-from siltbed.operators.checks import AcceptedValues, NotNull, Relationship, Unique, enforce_not_null, orphans, run_checks
+from siltbed.operators.checks import AcceptedValues, NotNull, Relationship, Unique, duplicate_groups, enforce_not_null, orphans, run_checks
 from siltbed.operators.expectations import statistics, validate
 from siltbed.operators.profile import column_profile, completeness
 from siltbed.plans.gate import promote
@@ -36,9 +36,10 @@ def test_checks(spark, rows):
         ("accepted_values", "v"): (5, 1, False),
         ("accepted_values", "k"): (5, 2, False),
         ("unique", "id"): (4, 1, False),
-        ("unique_combination", "id, k"): (3, 0, True),
+        ("unique_combination", "id, k"): (6, 1, False),
         ("relationships", "k"): (5, 1, False),
     }
+    assert [tuple(r) for r in duplicate_groups(rows, ["id", "k"]).collect()] == [(None, "c", 2)]
     assert [tuple(r) for r in orphans(rows, "k", parents, "k").collect()] == [("b", 1)]
 
 
@@ -102,7 +103,9 @@ def test_suite_of_an_empty_table(spark):
 
 def test_every_copy_of_a_repeated_key_is_unexpected(spark, rows):
     found = validate(rows, [expect.CompoundUnique(("id",))]).first()
-    assert (found["evaluated"], found["unexpected"], found["success"]) == (6, 4, False)
+    assert (found["evaluated"], found["unexpected"], found["success"]) == (4, 2, False)
+    found = validate(rows, [expect.CompoundUnique(("id", "k"))]).first()
+    assert (found["evaluated"], found["unexpected"], found["success"]) == (6, 2, False)
 
 
 @pytest.fixture
