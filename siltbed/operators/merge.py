@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda left, right: left.unionByName(right), frames)
+    """UNION ALL by name, joined pairwise: every union analyses all it holds once more."""
+    if len(frames) == 1:
+        return frames[0]
+    half = len(frames) // 2
+    return union_all(frames[:half]).unionByName(union_all(frames[half:]))
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

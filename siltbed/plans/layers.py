@@ -114,14 +114,14 @@ class Layers:
     def test(self, models: list[Model]) -> DataFrame:
         """All declared checks of the models' tables as one report."""
         frames = dict(zip([m.key for m in models], _at_once(self.read, [m.key for m in models])))
-        reports = [
-            run_checks(frames[m.key], list(m.checks), frames).select(
-                F.lit(m.layer).alias("layer"), F.lit(m.name).alias("table_name"), "*"
-            )
-            for m in models
-            if m.checks
-        ]
-        return union_all(reports)
+        tested = [m for m in models if m.checks]
+        reports = _at_once(lambda m: run_checks(frames[m.key], list(m.checks), frames), tested)
+        return union_all(
+            [
+                report.select(F.lit(m.layer).alias("layer"), F.lit(m.name).alias("table_name"), "*")
+                for m, report in zip(tested, reports)
+            ]
+        )
 
     def inventory(self, keys: list[str]) -> DataFrame:
         """Rows, data files, size and versions of every table."""
