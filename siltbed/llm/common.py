@@ -103,3 +103,28 @@ def power_of_two(count: float) -> int:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def text_digest(column: str = "text") -> Column:
+    """SHA-256 of the whole text; NULL counts as empty."""
+    return F.unhex(F.sha2(whole_text(column).cast("binary"), 256))
+
+
+def keep_rows(docs: DataFrame, chosen: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose id and text digest are in ``chosen`` (doc_id, digest, twins), one of each.
+
+    ``twins`` is the number of rows that agree in both; they may differ elsewhere,
+    and the smallest row stays.
+    """
+    here, id_, digest, twins = (free_name(docs.columns, f"_{x}") for x in ("here", "id", "digest", "twins"))
+    small = chosen.select(F.col("doc_id").alias(id_), F.col("digest").alias(digest), F.col("twins").alias(twins))
+    marked = docs.withColumn(here, text_digest(column))
+    met = marked.join(
+        small.hint("shuffle_hash"), marked[here].eqNullSafe(small[digest]) & marked[key].eqNullSafe(small[id_])
+    )
+    single = met.filter(F.col(twins) == 1).select(*docs.columns)
+    if chosen.filter(F.col("twins") > 1).isEmpty():
+        return single
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = met.filter(F.col(twins) > 1).groupBy(id_, digest).agg(F.min(row).alias("_row"))
+    return single.unionByName(one.select("_row.*"))

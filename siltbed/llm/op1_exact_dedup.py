@@ -17,16 +17,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltbed.llm.common import free_name, whole_text, written
+from siltbed.llm.common import keep_rows, text_digest, written
 
 #: Share of all rows from which a digest counts as frequent; the broadcast has at most 1 / SUPPORT rows.
 SUPPORT = 0.001
 
 
-def text_digest(column: str = "text"):
-    return F.unhex(F.sha2(whole_text(column).cast("binary"), 256))
-
-
 def frequent_winners(digests: DataFrame, support: float = SUPPORT) -> DataFrame:
     """Digest, row count and winning row of every digest that holds ``support`` of all rows; 1 / support rows at most."""
     candidates = digests.select(F.hex("digest").alias("d")).freqItems(["d"], support)
@@ -73,23 +69,11 @@ def exact_groups(docs: DataFrame, support: float = SUPPORT, key: str = "doc_id",
 def drop_copies(docs: DataFrame, support: float = SUPPORT, key: str = "doc_id", column: str = "text") -> DataFrame:
     """The documents with all their columns, one row per different text."""
     groups = exact_groups(docs, support, key, column)
-    stays, digest, id_, twins = (free_name(docs.columns, f"_{x}") for x in ("stays", "digest", "id", "twins"))
     decided = written(
-        groups.groupBy("doc_id", "digest").agg(F.bool_or("kept").alias(stays), F.count(F.lit(1)).alias(twins)),
+        groups.groupBy("doc_id", "digest").agg(F.bool_or("kept").alias("stays"), F.count(F.lit(1)).alias("twins")),
         "op1-decided",
-    ).filter(stays).select(F.col("doc_id").alias(id_), F.col("digest").alias(digest), twins)
-    here = docs.withColumn(digest + "_", text_digest(column))
-    met = here.join(
-        decided.hint("shuffle_hash"),
-        here[digest + "_"].eqNullSafe(decided[digest]) & here[key].eqNullSafe(decided[id_]),
     )
-    single = met.filter(F.col(twins) == 1).select(*docs.columns)
-    if decided.filter(F.col(twins) > 1).isEmpty():
-        return single
-    # Rows that agree in id and text may differ elsewhere; the smallest one stays.
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    one = met.filter(F.col(twins) > 1).groupBy(id_, digest).agg(F.min(row).alias("_row"))
-    return single.unionByName(one.select("_row.*"))
+    return keep_rows(docs, decided.filter("stays"), key, column)
 
 
 def digest_columns(groups: DataFrame) -> DataFrame:

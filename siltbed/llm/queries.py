@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltbed.llm import op1_exact_dedup, op2_mixing, op3_packing, op5_sharding, op7_quality_rules
+from siltbed.llm import op1_exact_dedup, op2_mixing, op3_packing, op5_sharding, op7_quality_rules, op9_near_dedup
 from siltbed.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,8 @@ def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_quality_rules", op7_quality_rules.SQL)
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_quality_rules.rule_columns(op7_quality_rules.ledger(table(spark, sf_dir, "documents")))
+
+
+@query("op9_near_dedup")
+def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_near_dedup.group_columns(op9_near_dedup.near_groups(table(spark, sf_dir, "documents")))
