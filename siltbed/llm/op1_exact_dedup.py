@@ -32,11 +32,7 @@ def frequent_winners(digests: DataFrame, support: float = SUPPORT) -> DataFrame:
         .groupBy("digest")
         .agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "row_no")).alias("winner"))
     )
-    total = digests.agg(F.count(F.lit(1)).alias("total"))
-    return (
-        counted.join(F.broadcast(total), F.col("group_size") >= support * F.col("total"))
-        .select("digest", "group_size", "winner")
-    )
+    return counted.filter(F.col("group_size") >= support * digests.count()).select("digest", "group_size", "winner")
 
 
 def exact_groups(docs: DataFrame, support: float = SUPPORT, key: str = "doc_id", column: str = "text") -> DataFrame:

@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltbed.llm import op1_exact_dedup, op2_mixing, op3_packing, op5_sharding, op7_quality_rules, op9_near_dedup
+from siltbed.llm import (
+    op1_exact_dedup,
+    op2_mixing,
+    op3_packing,
+    op5_sharding,
+    op6_toxicity,
+    op7_quality_rules,
+    op9_near_dedup,
+    op10_quality_classifier,
+)
 from siltbed.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +52,11 @@ def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_sharding.place(table(spark, sf_dir, "documents").select("doc_id"))
 
 
+@query("op6_toxicity")
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op7_quality_rules", op7_quality_rules.SQL)
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_quality_rules.rule_columns(op7_quality_rules.ledger(table(spark, sf_dir, "documents")))
@@ -51,3 +65,8 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_near_dedup")
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_near_dedup.group_columns(op9_near_dedup.near_groups(table(spark, sf_dir, "documents")))
+
+
+@query("op10_quality_classifier")
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
