@@ -13,6 +13,7 @@ from siltbed.llm import (
     op5_sharding,
     op6_toxicity,
     op7_quality_rules,
+    op8_lm_scoring,
     op9_near_dedup,
     op10_quality_classifier,
 )
@@ -62,6 +63,11 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_quality_rules.rule_columns(op7_quality_rules.ledger(table(spark, sf_dir, "documents")))
 
 
+@query("op8_lm_scoring")
+def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_lm_scoring.scores(table(spark, sf_dir, "documents"))
+
+
 @query("op9_near_dedup")
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_near_dedup.group_columns(op9_near_dedup.near_groups(table(spark, sf_dir, "documents")))
