@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltbed.llm import op1_exact_dedup, op2_mixing, op3_packing, op7_quality_rules
+from siltbed.llm import op1_exact_dedup, op2_mixing, op3_packing, op7_quality_rules, op9_near_dedup
 from siltbed.llm.common import table, written
 
 
@@ -20,6 +20,10 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return op1_exact_dedup.drop_copies(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return op9_near_dedup.drop_near_copies(docs)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return op2_mixing.mixed_documents(docs)
 
@@ -31,6 +35,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality rules", quality_rules),
     ("exact dedup", exact_dedup),
+    ("near dedup", near_dedup),
     ("mixing", mixing),
     ("packing", packing),
 ]

@@ -10,6 +10,7 @@ from siltbed.llm import (
     op1_exact_dedup,
     op2_mixing,
     op3_packing,
+    op4_pii,
     op5_sharding,
     op6_toxicity,
     op7_quality_rules,
@@ -48,6 +49,11 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_packing.piece_columns(op3_packing.pack(table(spark, sf_dir, "documents")))
 
 
+@query("op4_pii")
+def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_pii.search(table(spark, sf_dir, "documents"))
+
+
 @query("op5_sharding")
 def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_sharding.place(table(spark, sf_dir, "documents").select("doc_id"))
