@@ -1 +1 @@
-"""Operators: ``DataFrame -> DataFrame``, without I/O; lazy, but for a size check in ``bounded_blocks``."""
+"""Operators: ``DataFrame -> DataFrame``, without I/O, lazy."""

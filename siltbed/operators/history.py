@@ -62,36 +62,52 @@ def as_of(history: DataFrame, at: Column) -> DataFrame:
 
 
 def advance(
-    open_rows: DataFrame, source: DataFrame, keys: list[str], checks: list[str], run_at: Column
+    open_rows: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    checks: list[str],
+    run_at: Column,
+    loaded_at: str | None = None,
 ) -> DataFrame:
     """Open versions after a run, together with those the run closes.
 
     ``source`` holds one row per key. A key with a changed check column gives
     two rows, the closed and the new version; every other key gives one. Keys
     missing from the source stay open. One join on the key; both sides are
-    unique in it, so no key is hot.
+    unique in it, so no key is hot. A NULL in a key is a value like any other.
+
+    With ``loaded_at``, the column that dates a record, an older record than the
+    open version's is a late arrival and changes nothing.
     """
     names = source.columns
     old = open_rows.select(F.struct(*META, *names).alias("_old"), *[F.col(k).alias(f"_ok_{k}") for k in keys])
     new = _open(source, keys, run_at).select(
         F.struct(*META, *names).alias("_new"), *[F.col(k).alias(f"_nk_{k}") for k in keys]
     )
-    matched = [F.col(f"_ok_{k}") == F.col(f"_nk_{k}") for k in keys]
+    matched = [F.col(f"_ok_{k}").eqNullSafe(F.col(f"_nk_{k}")) for k in keys]
     both = old.join(new, matched, "full_outer")
+    late = F.lit(False)
+    if loaded_at is not None:
+        late = F.coalesce(F.col(f"_new.{loaded_at}") < F.col(f"_old.{loaded_at}"), F.lit(False))
     closing = F.col("_old").withField("valid_to", F.col("_new.valid_from"))
     versions = (
         F.when(F.col("_old").isNull(), F.array("_new"))
-        .when(F.col("_new").isNull() | ~_is_different(checks), F.array("_old"))
+        .when(F.col("_new").isNull() | ~_is_different(checks) | late, F.array("_old"))
         .otherwise(F.array(closing, F.col("_new")))
     )
     return both.select(F.inline(versions)).select(*META, *names)
 
 
 def apply_changes(
-    history: DataFrame, source: DataFrame, keys: list[str], checks: list[str], run_at: Column
+    history: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    checks: list[str],
+    run_at: Column,
+    loaded_at: str | None = None,
 ) -> DataFrame:
     """Whole history after one run: closed versions pass through untouched."""
-    moved = advance(current(history), source, keys, checks, run_at)
+    moved = advance(current(history), source, keys, checks, run_at, loaded_at)
     return closed(history).select(*moved.columns).unionByName(moved)
 
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltbed.operators.merge import join_on
 
 HOT_ROWS = 5_000_000
-MAX_HOT_GROUPS = 1_000
+SUBRANGES = 64
 
 
 def attach_group_values(
@@ -22,16 +22,11 @@ def attach_group_values(
 
     A plain join would send all rows of a group to one task. Here the groups
     with more than ``hot_rows`` rows get several salts, and their one value row
-    is repeated per salt. The list of hot groups is broadcast; it never has
-    more than ``MAX_HOT_GROUPS`` entries, and a group that is not among the
-    largest ``MAX_HOT_GROUPS`` cannot hold more than that share of the rows.
+    is repeated per salt. The list of hot groups is broadcast; there cannot be
+    more of them than rows / ``hot_rows``, a few megabytes at 1e12 rows.
     """
-    salts = (
-        groups.select(*keys, F.col(count).alias("_n"))
-        .orderBy(F.desc("_n"))
-        .limit(MAX_HOT_GROUPS)
-        .filter(F.col("_n") > hot_rows)
-        .select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
+    salts = groups.filter(F.col(count) > hot_rows).select(
+        *keys, F.ceil(F.col(count) / hot_rows).cast("int").alias("_salts")
     )
     # The partition id spreads exact copies of a row too, and is the same when
     # a lost task runs again.
@@ -65,21 +60,32 @@ def repeat_rows(df: DataFrame, times: str, number: str, block: int = 10_000) ->
 def bounded_blocks(df: DataFrame, keys: list[str], block: Column, max_rows: int) -> DataFrame:
     """Rows with ``block_no`` and ``part_no``, such that a group of keys, block and part stays small.
 
-    The block sizes are counted first, in an aggregate that combines map-side.
-    Where ``block`` keeps them within ``max_rows``, as a division of a unique
-    id does, there is one part per block. Otherwise, say because one id is
-    repeated a billion times, exact copies are counted and numbered, and rows
-    are spread by hash over as many parts as their block needs.
+    Rows are numbered inside their block and the number is divided by
+    ``max_rows``, so parts are full but for the last. Exact copies are counted
+    first, map-side; a block is numbered in 64 ranges by hash, whose sums are
+    added up beforehand, and copies are spread at the end. So neither a block
+    nor a row that is repeated a billion times meets in one task.
     """
-    blocked = df.withColumn("block_no", block)
     group = [*keys, "block_no"]
-    largest = blocked.groupBy(*group).agg(F.count(F.lit(1)).alias("_size")).agg(F.max("_size")).first()[0]
-    if largest is None or largest <= max_rows:
-        return blocked.withColumn("part_no", F.lit(0))
-    copies = blocked.groupBy(*blocked.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    numbered = repeat_rows(copies, "_copies", "_copy")
-    sizes = blocked.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
-    sized = attach_group_values(numbered, sizes, group, "_size")
-    parts = F.ceil(2 * F.col("_size") / max_rows)
-    part = F.when(F.col("_size") > max_rows, F.pmod(F.xxhash64(*df.columns, "_copy"), parts)).otherwise(0)
-    return sized.withColumn("part_no", part.cast("int")).select(*df.columns, "block_no", "part_no")
+    blocked = df.withColumn("block_no", block)
+    copies = (
+        blocked.groupBy(*blocked.columns)
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .withColumn("_sub", F.pmod(F.xxhash64(*df.columns), F.lit(SUBRANGES)))
+    )
+    above = Window.partitionBy(*group).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        copies.groupBy(*group, "_sub")
+        .agg(F.sum("_copies").alias("_n"))
+        .select(*group, "_sub", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_start"))
+    )
+    inside = Window.partitionBy(*group, "_sub").orderBy(*df.columns).rowsBetween(Window.unboundedPreceding, -1)
+    numbered = join_on(copies, starts, [*group, "_sub"]).withColumn(
+        "_first", F.col("_start") + F.coalesce(F.sum("_copies").over(inside), F.lit(0))
+    )
+    part = F.floor((F.col("_first") + F.col("_copy") - 1) / max_rows).cast("int")
+    return (
+        repeat_rows(numbered, "_copies", "_copy")
+        .withColumn("part_no", part)
+        .select(*df.columns, "block_no", "part_no")
+    )

@@ -61,4 +61,7 @@ def promote(
         return GateResult("error", None, None, None, str(error))
     if not green:
         return GateResult("blocked", results, version, None)
-    return GateResult("promoted", results, version, target.overwrite(model(validated)))
+    try:
+        return GateResult("promoted", results, version, target.overwrite(model(validated)))
+    except Exception as error:  # the target keeps its version, as a commit shows only once complete
+        return GateResult("error", results, version, None, str(error))

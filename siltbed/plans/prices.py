@@ -17,6 +17,7 @@ PRICE_FILES = Source(
     version=None,
     system_field="source_system",
     version_field="source_version",
+    object_required=True,
 )
 
 # output column -> (path in the JSON record, type)
@@ -88,6 +89,7 @@ def record_history(
     checks: list[str] = CHECKS,
     slice_by: Column | None = None,
     slices_from: DataFrame | None = None,
+    loaded_at: str | None = None,
     **labels: str,
 ) -> int:
     """Bring a stored history up to date with a source that is unique per key.
@@ -97,7 +99,8 @@ def record_history(
     versions of the slices its source touches; closed versions and other
     slices stay where they are. ``slice_by`` must follow from the key alone;
     the slices are looked up in ``slices_from``, rows with the same keys that
-    cost less to read than the source.
+    cost less to read than the source. A record whose ``loaded_at`` is older
+    than that of the open version changes nothing, whenever its load arrives.
     """
     slice_label = F.lit("all") if slice_by is None else F.coalesce(slice_by.cast("string"), F.lit("none"))
     state = F.when(F.col("valid_to").isNull(), "open").otherwise("closed")
@@ -112,7 +115,7 @@ def record_history(
         labelled = touched.select(F.concat_ws("_", F.lit("open"), slice_label).alias(PART))
         parts = [row[PART] for row in labelled.distinct().collect()]
     open_rows = table.read_entry(newest).filter(F.col(PART).isin(parts)).drop(PART)
-    moved = history.advance(open_rows, source, keys, checks, run_at)
+    moved = history.advance(open_rows, source, keys, checks, run_at, loaded_at)
     return table.replace_split(moved.select("*", part), parts, **labels)
 
 
@@ -122,7 +125,9 @@ def record_prices(table: VersionedTable, staged: DataFrame, run_at: Column) -> i
     Staged records of new loads alone are enough, since keys without one stay open.
     """
     month = F.date_format("business_date", "yyyy-MM")
-    return record_history(table, newest_prices(staged), run_at, slice_by=month, slices_from=staged)
+    return record_history(
+        table, newest_prices(staged), run_at, slice_by=month, slices_from=staged, loaded_at="ingestion_timestamp"
+    )
 
 
 def read_history(table: VersionedTable, version: int | None = None) -> DataFrame:

@@ -9,7 +9,6 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.operators.spread import use_all_cores
 from siltbed.session import ensure_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,8 +60,8 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def payload_rows(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Columns of a given table that payloads are made of, for CPU-heavy work on them."""
-    return use_all_cores(given(spark, sf_dir, name).select(*columns))
+    """Columns of a given table that payloads are made of; how many tasks read them is a session setting."""
+    return given(spark, sf_dir, name).select(*columns)
 
 
 def instant(text: str):

@@ -95,6 +95,16 @@ def scd2_rerun_idempotent(spark, sf_dir):
     return shown(again)
 
 
+@query("scd2_late_load", VERSIONS + "SELECT * FROM history")
+def scd2_late_load(spark, sf_dir):
+    """The first load arrives again after the corrections; its older records reopen nothing."""
+    late = staged(spark, sf_dir, FIRST)
+    again = history.apply_changes(
+        two_runs(spark, sf_dir), late, KEYS, CHECKS, instant(THIRD), "ingestion_timestamp"
+    )
+    return shown(again)
+
+
 @query("scd2_current", VERSIONS + "SELECT * FROM history WHERE valid_to IS NULL")
 def scd2_current(spark, sf_dir):
     return shown(history.current(two_runs(spark, sf_dir)))

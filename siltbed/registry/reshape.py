@@ -152,8 +152,9 @@ def weights_to_100_query(spark, sf_dir):
 @query(
     "calendar_gaps",
     """
-    WITH days AS (SELECT CAST(day AS DATE) AS day FROM range(DATE '1995-01-01', DATE '2001-08-02', INTERVAL 1 DAY) AS r(day)
-                  WHERE isodow(day) < 6),
+    WITH bounds AS (SELECT CAST(min(o_orderdate) AS DATE) AS first, CAST(max(o_orderdate) AS DATE) AS last FROM orders),
+         all_days AS (SELECT unnest(range(first, last + 1, INTERVAL 1 DAY)) AS day FROM bounds),
+         days AS (SELECT CAST(day AS DATE) AS day FROM all_days WHERE isodow(day) < 6),
          keys AS (SELECT DISTINCT o_orderpriority, o_orderstatus FROM orders),
          seen AS (SELECT DISTINCT o_orderpriority, o_orderstatus, CAST(o_orderdate AS DATE) AS day FROM orders)
     SELECT o_orderpriority, o_orderstatus, day AS missing_day
@@ -161,9 +162,11 @@ def weights_to_100_query(spark, sf_dir):
     """,
 )
 def calendar_gaps(spark, sf_dir):
-    start, end = (F.lit(day).cast("date") for day in ("1995-01-01", "2001-08-01"))
+    orders = given(spark, sf_dir, "orders")
+    first, last = orders.agg(F.to_date(F.min("o_orderdate")), F.to_date(F.max("o_orderdate"))).first()
+    start, end = F.lit(first), F.lit(last)
     return missing_weekdays(
-        given(spark, sf_dir, "orders"), ["o_orderpriority", "o_orderstatus"], "o_orderdate", start, end
+        orders, ["o_orderpriority", "o_orderstatus"], "o_orderdate", start, end
     )
 
 

@@ -19,16 +19,21 @@ MICROS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 @query("stream_raw_ingest", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_raw_ingest(spark, sf_dir):
-    """Event files ingested by a stream that starts twice; no file comes in twice."""
+    """Event files of two folders, each ingested by a stream that starts twice; every file comes in once."""
     events = given(spark, sf_dir, "events")
-    folder = land_lines(events, F.to_json(F.struct(*events.columns), MICROS), "event-files")
     table = VersionedTable(spark, work_dir(spark, "raw-event-files"))
-    checkpoint = work_dir(spark, "raw-event-checkpoint")
-    for _ in range(2):
-        files = file_stream(spark, folder, "*.txt")
-        ingest_stream(
-            files, table, Source("jsonl", "web"), checkpoint, lambda: Run("run-0001", "2026-01-05T08:00:00Z")
-        ).awaitTermination()
+    odd = F.coalesce(F.col("event_id") % 2 == 1, F.lit(False))
+    for number, half in enumerate((events.filter(odd), events.filter(~odd))):
+        folder = land_lines(half, F.to_json(F.struct(*events.columns), MICROS), f"event-files-{number}")
+        checkpoint = work_dir(spark, f"raw-event-checkpoint-{number}")
+        for _ in range(2):
+            ingest_stream(
+                file_stream(spark, folder, "*.txt"),
+                table,
+                Source("jsonl", "web"),
+                checkpoint,
+                lambda: Run("run-0001", "2026-01-05T08:00:00Z"),
+            ).awaitTermination()
     lines = expand_lines(table.read(), ["source_file_path"]).filter("line <> ''")
     return lines.select(F.from_json("line", events.schema, MICROS).alias("e")).select("e.*")
 

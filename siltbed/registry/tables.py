@@ -8,9 +8,6 @@ from siltbed.registry.core import given, query
 from siltbed.session import work_dir
 from siltbed.sources.tables import VersionedTable, compare_versions, file_stats, partition_stats
 
-YEARS = range(1995, 2002)
-
-
 def new_table(spark, label: str) -> VersionedTable:
     return VersionedTable(spark, work_dir(spark, label))
 
@@ -19,16 +16,21 @@ def orders_by_year(spark, sf_dir) -> VersionedTable:
     """One append per order year, as loads that follow each other."""
     table = new_table(spark, "orders-by-year")
     orders = given(spark, sf_dir, "orders")
-    for year in YEARS:
-        table.append(orders.filter(F.year("o_orderdate") == year))
+    first, last = orders.agg(F.year(F.min("o_orderdate")), F.year(F.max("o_orderdate"))).first()
+    for year in range(first, last + 1):
+        # A range of the column itself is pushed to the scan, a function of it is not.
+        start, end = (F.lit(f"{y:04d}-01-01 00:00:00").cast("timestamp_ntz") for y in (year, year + 1))
+        table.append(orders.filter((F.col("o_orderdate") >= start) & (F.col("o_orderdate") < end)))
     return table
 
 
 @query(
     "time_travel_counts",
     """
-    SELECT CAST(y - 1994 AS BIGINT) AS version, count(o_orderkey) AS row_count, max(o_orderdate) AS newest
-    FROM range(1995, 2002) AS years(y) JOIN orders ON year(o_orderdate) <= y GROUP BY y
+    WITH bounds AS (SELECT min(year(o_orderdate)) AS first, max(year(o_orderdate)) AS last FROM orders),
+         years AS (SELECT unnest(range(first, last + 1)) AS y, first FROM bounds)
+    SELECT CAST(y - first + 1 AS BIGINT) AS version, count(o_orderkey) AS row_count, max(o_orderdate) AS newest
+    FROM years JOIN orders ON year(o_orderdate) <= y GROUP BY y, first
     """,
 )
 def time_travel_counts(spark, sf_dir):
@@ -38,7 +40,7 @@ def time_travel_counts(spark, sf_dir):
             table.read(version)
             .agg(F.count(F.lit(1)).alias("row_count"), F.max("o_orderdate").alias("newest"))
             .select(F.lit(version).cast("bigint").alias("version"), "*")
-            for version in range(1, len(YEARS) + 1)
+            for version in range(1, table.entry()["version"] + 1)
         ]
     )
 
@@ -46,10 +48,12 @@ def time_travel_counts(spark, sf_dir):
 @query(
     "snapshot_log",
     """
-    WITH loads AS (SELECT y, count(o_orderkey) AS n FROM range(1995, 2002) AS years(y)
-                   LEFT JOIN orders ON year(o_orderdate) = y GROUP BY y)
-    SELECT CAST(y - 1994 AS BIGINT) AS version,
-           CASE WHEN y > 1995 THEN CAST(y - 1995 AS BIGINT) END AS parent_version,
+    WITH bounds AS (SELECT min(year(o_orderdate)) AS first, max(year(o_orderdate)) AS last FROM orders),
+         years AS (SELECT unnest(range(first, last + 1)) AS y, first FROM bounds),
+         loads AS (SELECT y, first, count(o_orderkey) AS n FROM years
+                   LEFT JOIN orders ON year(o_orderdate) = y GROUP BY y, first)
+    SELECT CAST(y - first + 1 AS BIGINT) AS version,
+           CASE WHEN y > first THEN CAST(y - first AS BIGINT) END AS parent_version,
            'append' AS operation, n AS added_records, CAST(sum(n) OVER (ORDER BY y) AS BIGINT) AS total_records,
            count(*) OVER () AS version_count
     FROM loads
@@ -95,7 +99,7 @@ def schema_evolution_append(spark, sf_dir):
     """Columns added between two loads; rows of the first load have NULL in them."""
     part = given(spark, sf_dir, "part")
     table = new_table(spark, "part-evolving")
-    table.append(part.filter("p_retailprice < 950").select("p_partkey", "p_name"))
+    table.append(part.filter("NOT coalesce(p_retailprice >= 950, false)").select("p_partkey", "p_name"))
     table.add_columns({"p_size": "int", "p_weight": "double"})
     table.add_columns({"p_size": "int"})
     table.append(part.filter("p_retailprice >= 950").select("p_size", "p_name", "p_partkey"))
@@ -110,7 +114,7 @@ def schema_rename(spark, sf_dir):
     """A column renamed between two loads, without rewriting the first."""
     part = given(spark, sf_dir, "part").select("p_partkey", "p_name", F.col("p_retailprice").alias("price"))
     table = new_table(spark, "part-renamed")
-    table.append(part.filter("price < 950"))
+    table.append(part.filter("NOT coalesce(price >= 950, false)"))
     table.rename_column("p_name", "product_name")
     table.append(part.filter("price >= 950").withColumnRenamed("p_name", "product_name"))
     return table.read()

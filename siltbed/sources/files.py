@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltbed.functions.digests import sha256_label
-from siltbed.functions.json_fields import is_json, is_json_object
+from siltbed.functions.json_fields import is_json, starts_like_object
 
 PROVENANCE = [
     "ingestion_id",
@@ -22,6 +22,7 @@ PROVENANCE = [
     "source_file_hash",
 ]
 
+# Names and types of the raw layer's columns.
 RAW_SCHEMA = T.StructType(
     [
         T.StructField("ingestion_id", T.StringType(), False),
@@ -72,12 +73,29 @@ class Source:
 def read_files(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
     """All files under a path as (path, length, content), read on the executors.
 
-    Spark's file scans skip files of zero bytes, so these give no row.
+    Spark's file scans skip files of zero bytes; these are found by comparing
+    the listing with the scan. A path or glob without any file raises.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path).select("path", "length", "content")
+    scan = reader.load(path)
+    listed = scan.inputFiles()
+    if not listed:
+        raise FileNotFoundError(f"no file at {path}" + (f" matches {glob}" if glob else ""))
+    names = spark.createDataFrame([(name,) for name in listed], "name string")
+    read = scan.select(_one_slash(F.col("_metadata.file_path")).alias("name"))
+    empty = names.select(_one_slash(F.col("name")).alias("name")).join(read, "name", "left_anti")
+    # A plus sign is no blank in a path.
+    path_of = F.url_decode(F.replace("name", F.lit("+"), F.lit("%2B")))
+    return scan.select("path", "length", "content").unionByName(
+        empty.select(path_of.alias("path"), F.lit(0).cast("bigint").alias("length"), F.lit(b"").alias("content"))
+    )
+
+
+def _one_slash(name: Column) -> Column:
+    """``file:///x`` and ``file:/x`` are one file."""
+    return F.regexp_replace(name, "^([A-Za-z0-9+.-]+:)/+", "$1/")
 
 
 def reject_reason(content: Column, source: Source) -> Column:
@@ -87,7 +105,8 @@ def reject_reason(content: Column, source: Source) -> Column:
     if source.file_format == "json":
         reason = reason.when(~is_json(text), "malformed_json")
         if source.object_required:
-            reason = reason.when(~is_json_object(text), "not_an_object")
+            # What gets here is JSON.
+            reason = reason.when(~starts_like_object(text), "not_an_object")
     return reason
 
 
@@ -144,7 +163,10 @@ def skip_known(raw: DataFrame, existing: DataFrame) -> DataFrame:
     checkpoint knows the finished files without reading them again.
     """
     identity = ["source_file_path", "source_file_hash"]
-    return raw.join(existing.select(*identity), identity, "left_anti")
+    # Known files are those that come in again, so their distinct identities are
+    # the smaller side of the join, whatever the table holds.
+    known = existing.select(*identity).join(raw.select(*identity), identity, "left_semi").distinct()
+    return raw.join(known, identity, "left_anti")
 
 
 def first_of_each_content(rows: DataFrame, content: str, order: str) -> DataFrame:

@@ -2,15 +2,17 @@
 
 Layout of a table folder::
 
-    data/commit_version=<n>/…     the files version n added
-    log/<n>/                      one JSON row per version
-
-The log row is written last, so a version exists only once its data does; what
-a lost job left behind is not in the log and gets overwritten by the next
-commit. A log row lists the data folders its content consists of: an append
-adds one to those of its parent, an overwrite starts anew, a delete replaces
-only the folders that hold matching rows, a change of schema keeps them all.
-Reading a version reads its folders and lists nothing else.
+    data/commit_version=<n>/attempt=<id>/…    the files version n added
+    log/<n>/                                  one JSON row per version
+
+The log row is written last, so a version exists only once its data does. Every
+attempt at a commit has a folder of its own: what a lost job left behind is in
+no log row, and a writer that lags behind fails on the log row without touching
+what others committed. A log row lists the data folders its content consists
+of, with their row counts: an append adds one to those of its parent, an
+overwrite starts anew, a delete replaces only the folders that hold matching
+rows, a change of schema keeps them all. Reading a version reads its folders
+and lists nothing else.
 
 One writer per table at a time.
 """
@@ -18,6 +20,7 @@ One writer per table at a time.
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -37,9 +40,11 @@ LOG_SCHEMA = T.StructType(
         T.StructField("partition_by", T.ArrayType(T.StringType()), False),
         T.StructField("split_by", T.StringType(), True),
         T.StructField("parts", T.ArrayType(T.StringType()), False),
+        T.StructField("part_records", T.ArrayType(T.LongType()), False),
     ]
 )
 VERSION_COLUMN = "commit_version"
+ATTEMPT_COLUMN = "attempt"
 STORED_NAME = "stored_name"
 
 
@@ -109,7 +114,9 @@ class VersionedTable:
         return _schema(self.entry(version))
 
     def _scan(self, entry: dict) -> DataFrame:
-        stored = _stored_schema(_schema(entry)).add(VERSION_COLUMN, T.LongType())
+        stored = (
+            _stored_schema(_schema(entry)).add(VERSION_COLUMN, T.LongType()).add(ATTEMPT_COLUMN, T.StringType())
+        )
         if not entry["parts"]:
             return self.spark.createDataFrame([], stored)
         return (
@@ -204,7 +211,7 @@ class VersionedTable:
         parent = self.entry()
         schema = _schema(parent)
         scan = self._scan(parent)
-        located = [VERSION_COLUMN] + ([parent["split_by"]] if parent["split_by"] else [])
+        located = [VERSION_COLUMN, ATTEMPT_COLUMN] + ([parent["split_by"]] if parent["split_by"] else [])
         names = [f"`{_stored(f)}`" for f in schema.fields]
         rows = scan.select(
             F.struct(*located).alias("_part"), *[F.col(n).alias(f.name) for n, f in zip(names, schema.fields)]
@@ -274,32 +281,31 @@ class VersionedTable:
     ) -> int:
         version = parent["version"] + 1 if parent else 1
         parts = list(kept_parts or [])
+        counted = dict(zip(parent["parts"], parent["part_records"])) if parts else {}
         added = {"records": 0, "files": 0, "bytes": 0}
         if df is not None:
-            folder = f"{self.path}/data/{VERSION_COLUMN}={version}"
+            own = f"{VERSION_COLUMN}={version}/{ATTEMPT_COLUMN}=a{uuid.uuid4().hex}"
+            folder = f"{self.path}/data/{own}"
             stored = df.select(*[F.col(f"`{f.name}`").alias(_stored(f)) for f in schema.fields])
             folders = ([split_by] if split_by else []) + [c for c in partition_by if c != split_by]
             if folders:
                 # Few files per folder; AQE splits a folder too large for one task.
                 stored = stored.hint("rebalance", *folders)
-            stored.write.mode("overwrite").partitionBy(*folders).parquet(folder)
+            stored.write.mode("error").partitionBy(*folders).parquet(folder)
             # Counted from the footers of what was really written.
             written = self.spark.read.schema(_stored_schema(schema)).parquet(folder)
             by_value = _totals(written, split_by)
             added = {name: sum(totals[name] for totals in by_value.values()) for name in added}
-            own = f"{VERSION_COLUMN}={version}"
-            parts += [f"{own}/{split_by}={_folder_value(v)}" for v in sorted(by_value)] if split_by else [own]
-        total = added["records"]
-        if kept_parts:
-            if parent["parts"] == kept_parts:
-                total += int(parent["summary"]["total-records"])
-            else:
-                total += _totals(self._scan({**parent, "parts": kept_parts}))[None]["records"]
+            for value, totals in sorted(by_value.items(), key=lambda item: str(item[0])):
+                part = f"{own}/{split_by}={_folder_value(value)}" if split_by else own
+                parts.append(part)
+                counted[part] = totals["records"]
+        part_records = [counted[part] for part in parts]
         summary = {
             "added-records": str(added["records"]),
             "added-data-files": str(added["files"]),
             "added-files-size": str(added["bytes"]),
-            "total-records": str(total),
+            "total-records": str(sum(part_records)),
             **(labels or {}),
         }
         row = {
@@ -312,6 +318,7 @@ class VersionedTable:
             "partition_by": partition_by,
             "split_by": split_by,
             "parts": parts,
+            "part_records": part_records,
         }
         log_row = self.spark.range(0, 1, 1, 1).select(F.lit(json.dumps(row)).alias("value"))
         log_row.write.mode("error").text(f"{self.path}/log/{version}")
@@ -326,8 +333,17 @@ def _named(scan: DataFrame, schema: T.StructType) -> DataFrame:
     return scan.select(*[F.col(f"`{_stored(f)}`").alias(f.name) for f in schema.fields])
 
 
+# What Spark's writer calls the folder of NULL, and the characters it escapes in folder names.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+ESCAPED = set("\"#%'*/:=?\\\x7f{[]^") | {chr(code) for code in range(1, 32)}
+
+
 def _folder_value(value) -> str:
-    return str(value).lower() if isinstance(value, bool) else str(value)
+    """A partition value as the writer names its folder."""
+    text = str(value).lower() if isinstance(value, bool) else str(value)
+    if value is None or text == "":
+        return NULL_FOLDER
+    return "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in text)
 
 
 def _totals(scan: DataFrame, split_by: str | None = None) -> dict:
@@ -380,13 +396,27 @@ def partition_stats(scan: DataFrame, partition_by: list[str]) -> DataFrame:
 def compare_versions(table: VersionedTable, left: int, right: int) -> DataFrame:
     """Rows that only one of two versions holds, with how often.
 
-    Each side is counted before the shuffle, so a row that is repeated a
+    Columns are the same if they are stored as the same, whatever their name:
+    a renamed one has its name in the right version, and one that a version
+    lacks is NULL there. Each side is counted before the shuffle, so a row that is repeated a
     billion times costs one record per task.
     """
-    names = [c for c in table.schema(right).names if c in table.schema(left).names]
-    sides = table.read(left).select(*names, F.lit(-1).alias("_sign")).unionByName(
-        table.read(right).select(*names, F.lit(1).alias("_sign"))
-    )
+    fields = [{_stored(f): f for f in table.schema(version).fields} for version in (left, right)]
+    shown = {stored: f.name for stored, f in fields[1].items()}
+    for stored, f in fields[0].items():
+        if stored not in shown:
+            shown[stored] = f.name if f.name not in shown.values() else f"{f.name}_before"
+    kinds = {stored: f.dataType for side in fields for stored, f in side.items()}
+    names = list(shown.values())
+
+    def side(version: int, own: dict, sign: int) -> DataFrame:
+        columns = [
+            (F.col(f"`{own[stored].name}`") if stored in own else F.lit(None)).cast(kinds[stored]).alias(name)
+            for stored, name in shown.items()
+        ]
+        return table.read(version).select(*columns, F.lit(sign).alias("_sign"))
+
+    sides = side(left, fields[0], -1).unionByName(side(right, fields[1], 1))
     balance = sides.groupBy(*names).agg(F.sum("_sign").alias("_balance")).filter("_balance <> 0")
     return balance.select(
         F.when(F.col("_balance") > 0, "added").otherwise("removed").alias("change"),

@@ -1,4 +1,5 @@
 import os
+import re
 import sys
 
 import pytest
@@ -19,6 +20,12 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture
+def folders():
+    """Data folders of a log row, without the id of the attempt that wrote them."""
+    return lambda entry: [re.sub("/attempt=a[0-9a-f]+", "", part) for part in entry["parts"]]
+
+
 @pytest.fixture
 def plan():
     """Physical plan of a frame as text."""

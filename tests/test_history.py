@@ -100,7 +100,7 @@ def test_no_overlaps_and_one_open_version_under_random_loads(spark):
     assert len(by_key) == len({k for k, *_ in rows})
 
 
-def test_stored_history_equals_the_frame_and_keeps_closed_files(spark, tmp_path):
+def test_stored_history_equals_the_frame_and_keeps_closed_files(spark, tmp_path, folders):
     table = VersionedTable(spark, str(tmp_path / "history"))
     expected, rows = None, []
     for day, load in enumerate([LOAD_1, LOAD_2, [("a", 1.0, "EUR", at(3)), ("c", 5.0, "USD", at(3))]], start=1):
@@ -109,12 +109,12 @@ def test_stored_history_equals_the_frame_and_keeps_closed_files(spark, tmp_path)
         source = history.latest_load(staged(spark, *rows), KEYS, "at", CHECKS).drop("at")
         record_history(table, source, F.lit(at(day)), KEYS, CHECKS)
     assert shown(read_history(table)) == shown(expected)
-    closed = [part for part in table.entry()["parts"] if "closed" in part]
+    closed = [part for part in folders(table.entry()) if "closed" in part]
     assert closed == [f"commit_version={n}/history_part=closed_all" for n in (2, 3)]
     assert shown(read_history(table, 1)) == [("a", 127.49, "EUR", 1, None), ("b", 1.0, "EUR", 1, None)]
 
 
-def test_a_run_touches_open_rows_of_its_slices_only(spark, tmp_path):
+def test_a_run_touches_open_rows_of_its_slices_only(spark, tmp_path, folders):
     table = VersionedTable(spark, str(tmp_path / "history"))
     first = staged(spark, ("a1", 1.0, "x", at(1)), ("b1", 2.0, "x", at(1)), ("b2", 3.0, "x", at(1))).drop("at")
     by_letter = F.substring("k", 1, 1)
@@ -122,7 +122,7 @@ def test_a_run_touches_open_rows_of_its_slices_only(spark, tmp_path):
     correction = staged(spark, ("b2", 4.0, "x", at(2)), ("c1", 5.0, "x", at(2))).drop("at")
     record_history(table, correction, F.lit(at(2)), KEYS, CHECKS, by_letter)
     parts = {f"commit_version={p}" for p in ("1/history_part=open_a", "2/history_part=open_b", "2/history_part=open_c", "2/history_part=closed_b")}
-    assert set(table.entry()["parts"]) == parts
+    assert set(folders(table.entry())) == parts
     assert shown(read_history(table)) == [
         ("a1", 1.0, "x", 1, None),
         ("b1", 2.0, "x", 1, None),
@@ -166,3 +166,36 @@ def test_replay_equals_brute_force(spark, bucket):
     replayed = history.replay(staged(spark, *rows), KEYS, CHECKS, "at", bucket)
     found = [(r.k, r.v, r.w, r.valid_from, r.valid_to) for r in replayed.collect()]
     assert sorted(found, key=str) == brute_force(rows)
+
+
+def test_a_late_load_changes_nothing(spark):
+    """The load of the second day runs before that of the first."""
+    second, first = (staged(spark, ("a", nav, "EUR", at(day))) for nav, day in ((2.0, 2), (1.0, 1)))
+    opened = history.first_load(second, KEYS, F.lit(at(3)))
+    late = history.apply_changes(opened, first, KEYS, CHECKS, F.lit(at(4)), "at")
+    assert [(r[CHECKS[0]], r["valid_to"]) for r in late.collect()] == [(2.0, None)]
+    newer = history.apply_changes(opened, staged(spark, ("a", 3.0, "EUR", at(3))), KEYS, CHECKS, F.lit(at(4)), "at")
+    assert sorted((r[CHECKS[0]], r["valid_to"] is None) for r in newer.collect()) == [(2.0, False), (3.0, True)]
+
+
+def test_null_keys_stay_one_version(spark, plan):
+    load = staged(spark, (None, 1.0, "EUR", at(1))).drop("at")
+    versions = history.first_load(load, KEYS, F.lit(at(1)))
+    for day in (2, 3):
+        versions = history.apply_changes(versions, load, KEYS, CHECKS, F.lit(at(day)))
+    assert versions.count() == 1
+    assert "NestedLoop" not in plan(versions)
+
+
+def test_slices_may_hold_any_text(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "history"))
+    keys = ["a:b", "c/d", "100%", "", None]
+    load = staged(spark, *[(k, 1.0, "x", at(1)) for k in keys]).drop("at")
+    for day in (1, 2):
+        record_history(table, load, F.lit(at(day)), KEYS, CHECKS, F.col("k"))
+    assert read_history(table).count() == len(keys)
+    plain = VersionedTable(spark, str(tmp_path / "plain"))
+    plain.overwrite(load, split_by="k")
+    plain.replace_split(load.filter("k IS NULL OR k = 'a:b'"), [None, "a:b"])
+    # As in any partition column, an empty text is stored as NULL.
+    assert sorted(str(r["k"]) for r in plain.read().collect()) == ["100%", "None", "a:b", "c/d"]

@@ -2,7 +2,9 @@ import hashlib
 
 import pytest
 from fixtures import price, prices_json, write_csv_source, write_json_source
+from pyspark.sql import functions as F
 
+from siltbed.functions.json_fields import is_json, is_json_object
 from siltbed.operators.verify import summarize, verify_contents, verify_counts, verify_csv, verify_json
 from siltbed.plans.emissions import CDP_FILES, CDP_HEADER, NZDPU_FILES, NZDPU_WRAPPER
 from siltbed.plans.prices import PRICE_FILES
@@ -48,7 +50,7 @@ def test_empty_source_takes_the_fallback(spark, tmp_path):
 
 @pytest.mark.parametrize(
     ("content", "reason"),
-    [(b'{"data": [', "malformed_json"), (b"[1, 2]", "not_an_object"), (b'{"a": "\xff"}', "not_utf8")],
+    [(b'{"data": [', "malformed_json"), (b'{"data": []} x', "malformed_json"), (b"[1, 2]", "not_an_object"), (b'{"a": "\xff"}', "not_utf8")],
 )
 def test_bad_files_are_rejected_or_fail(spark, tmp_path, content, reason):
     (tmp_path / "good.json").write_text('{"source": "x", "data": []}')
@@ -121,3 +123,31 @@ def test_plain_text_source(spark, tmp_path):
     (tmp_path / "a.txt").write_text("größe\n")
     row = ingest(read_files(spark, str(tmp_path)), Source("text", "x", None), RUN).first()
     assert (row["raw_payload"], row["source_file_size_bytes"], row["source_version"]) == ("größe\n", 8, None)
+
+
+def test_empty_files_and_missing_files(spark, tmp_path):
+    (tmp_path / "full +1.json").write_text('{"source": "x", "data": []}')
+    (tmp_path / "empty +1.json").write_text("")
+    accepted, rejected = split_rejects(read_files(spark, str(tmp_path)), NZDPU_FILES, RUN)
+    assert [r["source_file_path"][-12:] for r in accepted.collect()] == ["full +1.json"]
+    assert [(r["path"][-13:], r["length"], r["reject_reason"]) for r in rejected.collect()] == [("empty +1.json", 0, "malformed_json")]
+    stored = ingest(read_files(spark, str(tmp_path), "empty*"), CDP_FILES, RUN).first()
+    assert (stored["raw_payload"], stored["source_file_size_bytes"]) == ("", 0)
+    with pytest.raises(FileNotFoundError):
+        read_files(spark, str(tmp_path), "*.csv")
+
+
+def test_large_json_and_repeated_keys_are_json(spark):
+    texts = spark.range(1).select(
+        F.explode(
+            F.array(
+                F.concat(F.lit('{"a":"'), F.expr("repeat('x', 140000000)"), F.lit('"}')),
+                F.lit('{"a": 1, "a": 2}'),
+                F.lit('{"a": 1} and more'),
+                F.lit("1, 2"),
+                F.lit(" [1, {}] "),
+            )
+        ).alias("t")
+    )
+    assert [r[0] for r in texts.select(is_json(F.col("t"))).collect()] == [True, True, False, False, True]
+    assert [r[0] for r in texts.select(is_json_object(F.col("t"))).collect()] == [True, True, False, False, False]

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from siltbed.operators.merge import compare_sources, first_per_key, join_on, merge_entities, union_labelled
 from siltbed.operators.reshape import flatten, missing_weekdays, weights_to_100, wrap_records
-from siltbed.operators.skew import attach_group_values, repeat_rows
-from siltbed.operators.spread import use_all_cores
+from siltbed.operators.skew import attach_group_values, bounded_blocks, repeat_rows
 
 
 def test_priority_beats_order_and_ties_are_stable(spark):
@@ -131,6 +130,17 @@ def test_oversized_blocks_are_split_without_losing_copies(spark):
     assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
 
 
-def test_use_all_cores_leaves_wide_scans_alone(spark):
-    assert use_all_cores(spark.range(0, 100, 1, 2)).rdd.getNumPartitions() == 8
-    assert use_all_cores(spark.range(0, 100, 1, 20)).rdd.getNumPartitions() == 20
+def test_blocks_are_bounded_and_full(spark):
+    """One block with distinct rows, one with a row repeated often, one with a NULL key."""
+    df = (
+        spark.range(95).selectExpr("'a' AS k", "id", "0 AS b")
+        .unionAll(spark.range(1000).selectExpr("'a'", "7L", "1"))
+        .unionAll(spark.range(7).selectExpr("CAST(NULL AS STRING)", "id", "0"))
+    )
+    parts = bounded_blocks(df, ["k"], F.col("b"), 10).groupBy("k", "block_no", "part_no").count().collect()
+    sizes = {}
+    for r in parts:
+        sizes.setdefault((r["k"], r["block_no"]), []).append(r["count"])
+    assert {k: sorted(v) for k, v in sizes.items()} == {
+        ("a", 0): [5] + [10] * 9, ("a", 1): [10] * 100, (None, 0): [7]
+    }

@@ -155,3 +155,13 @@ def test_profiles(spark, rows):
         assert (profile["id"]["row_count"], profile["id"]["null_count"], profile["id"]["distinct_count"]) == (6, 2, 3)
         assert (profile["k"]["min_value"], profile["k"]["max_value"], profile["k"]["data_type"]) == ("a", "c", "string")
     assert column_profile("t", rows.filter("false")).filter("distinct_count = 0").count() == 3
+
+
+def test_gate_reports_a_failing_promotion(spark, tables):
+    curated, trusted, _ = tables
+    curated.overwrite(emissions(spark, 150))
+    trusted.overwrite(emissions(spark, 3))
+    before = trusted.entry()["version"]
+    failed = promote(curated, trusted, SUITE, lambda df: df.select("no_such_column"))
+    assert (failed.outcome, failed.exit_code, failed.target_version) == ("error", 2, None)
+    assert "no_such_column" in failed.message and trusted.entry()["version"] == before

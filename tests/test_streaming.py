@@ -55,8 +55,33 @@ def test_a_repeated_batch_is_skipped(spark, tmp_path):
         ).awaitTermination()
 
     advance("checkpoint")
-    # A checkpoint that was lost runs batch 0 again.
-    advance("another")
-    assert table.entry()["version"] == 1
     assert table.entry()["summary"][BATCH_LABEL] == "0"
+    # The stream's own note of batch 0 is lost, its commit is not.
+    (tmp_path / "checkpoint" / "commits" / "0").unlink()
+    (tmp_path / "checkpoint" / "commits" / ".0.crc").unlink(missing_ok=True)
+    advance("checkpoint")
+    assert table.entry()["version"] == 1
+    # Another checkpoint is another stream; the same values open no version.
+    advance("another")
     assert prices.read_history(table).count() == 1
+
+
+def test_two_streams_feed_one_table(spark, tmp_path):
+    table, rejects = (VersionedTable(spark, str(tmp_path / name)) for name in ("raw", "rejects"))
+    for name in ("a", "b"):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "1.json").write_text(prices_json([price(name, "2026-01-05", 1.0)]))
+        (folder / "2.json").write_text("[1, 2]")
+        for _ in range(2):
+            ingest_stream(
+                file_stream(spark, str(folder), "*.json"),
+                table,
+                prices.PRICE_FILES,
+                str(tmp_path / f"checkpoint-{name}"),
+                lambda: Run("r", "2026-01-05T08:00:00Z"),
+                rejects,
+            ).awaitTermination()
+    assert sorted(r["isin"] for r in prices.stage_prices(table.read()).collect()) == ["a", "b"]
+    assert [r["reject_reason"] for r in rejects.read().collect()] == ["not_an_object"] * 2
+    assert table.entry()["partition_by"] == ["ingestion_date"]

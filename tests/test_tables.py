@@ -50,12 +50,12 @@ def test_overwrite_may_read_itself(spark, table):
     assert ids(table.read()) == [0, 2]
 
 
-def test_delete_keeps_rows_where_the_predicate_is_null_and_untouched_parts(spark, table):
+def test_delete_keeps_rows_where_the_predicate_is_null_and_untouched_parts(spark, table, folders):
     table.append(spark.sql("SELECT 1 AS id, 'a' AS k UNION ALL SELECT 2, NULL"))
     table.append(spark.sql("SELECT 3 AS id, 'b' AS k"))
     table.delete_where(F.col("k") == "a")
     assert ids(table.read()) == [2, 3]
-    assert table.entry()["parts"] == ["commit_version=2", "commit_version=3"]
+    assert folders(table.entry()) == ["commit_version=2", "commit_version=3"]
     assert table.entry()["summary"]["total-records"] == "2"
     table.delete_where(F.col("k") == "zzz")
     assert ids(table.read()) == [2, 3]
@@ -125,15 +125,15 @@ def test_compare_versions_counts_repeated_rows(spark, table):
     assert changes == {("removed", 1, 1), ("removed", 2, 1), ("added", 3, 2)}
 
 
-def test_replace_split_leaves_other_values_in_place(spark, table):
+def test_replace_split_leaves_other_values_in_place(spark, table, folders):
     table.overwrite(spark.range(6).withColumn("open", F.col("id") > 2), split_by="open")
-    before = table.entry()["parts"]
+    before = folders(table.entry())
     table.replace_split(spark.range(10, 12).withColumn("open", F.lit(True)), [True])
     assert ids(table.read()) == [0, 1, 2, 10, 11]
-    assert "commit_version=1/open=false" in before and "commit_version=1/open=false" in table.entry()["parts"]
+    assert "commit_version=1/open=false" in before and "commit_version=1/open=false" in folders(table.entry())
     table.delete_where(F.col("id") == 1)
     assert ids(table.read()) == [0, 2, 10, 11]
-    assert "commit_version=2/open=true" in table.entry()["parts"]
+    assert "commit_version=2/open=true" in folders(table.entry())
 
 
 def test_empty_partitioned_table(spark, table):
@@ -153,3 +153,30 @@ def test_rows_added_since_a_version(spark, table):
     table.delete_where(F.col("id") == 0)
     assert table.added_since(1) is None
     assert ids(table.added_since(5)) == []
+
+
+def test_a_stale_writer_fails_and_damages_nothing(spark, table):
+    table.append(spark.range(3))
+    stale = table.entry()
+    table.append(spark.range(10, 15))
+    with pytest.raises(Exception):
+        table._commit(stale, "append", table.schema(), spark.range(100, 101), [], None, stale["parts"])
+    assert ids(table.read()) == [0, 1, 2, 10, 11, 12, 13, 14]
+
+
+def test_row_counts_come_from_the_log(spark, table):
+    table.append(spark.range(3))
+    table.append(spark.range(10, 15))
+    table.delete_where(F.col("id") == 11)
+    entry = table.entry()
+    assert entry["part_records"] == [3, 4] and entry["summary"]["total-records"] == "7"
+
+
+def test_compare_across_a_rename_and_an_added_column(spark, table):
+    table.append(spark.sql("SELECT 1 AS id, 'x' AS old UNION ALL SELECT 2, 'y'"))
+    table.rename_column("old", "new")
+    table.add_columns({"extra": "int"})
+    table.append(spark.sql("SELECT 3 AS id, 'z' AS new, 9 AS extra"))
+    table.delete_where(F.col("id") == 2)
+    found = {tuple(r[c] for c in ("change", "id", "new", "extra")) for r in compare_versions(table, 1, 5).collect()}
+    assert found == {("removed", 2, "y", None), ("added", 3, "z", 9)}
