@@ -66,8 +66,9 @@ def shingler(width: int = WIDTH) -> Callable[[bytes], np.ndarray]:
             return np.array([xxhash.xxh3_64_intdigest(b" ".join(words))], np.uint64)
         if len(known) > REMEMBERED:
             known.clear()
-        for w in set(words) - known.keys():
-            known[w] = xxhash.xxh3_64_intdigest(w)
+        for w in words:
+            if w not in known:
+                known[w] = xxhash.xxh3_64_intdigest(w)
         hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         count = len(words) - width + 1
         mixed = hashes[:count].copy()
