@@ -8,7 +8,7 @@ training document in five is left out of the estimates and scored by them.
 
 No count table ever meets a broadcast or the driver:
 
-1. A task turns its texts into chunks of about 16 MB. A chunk knows its distinct
+1. A task turns its texts into chunks of about 32 MB. A chunk knows its distinct
    words and bigrams and sends their hashed keys, with its own counts, to key
    ranges; the token numbers of its texts go along.
 2. Each key range adds up counts over all chunks, and answers every chunk with the
@@ -18,7 +18,7 @@ No count table ever meets a broadcast or the driver:
    depends on the logarithm of the counts, and EM runs on it.
 4. Texts are scored from the stored chunks.
 
-A frequent word is one key of each chunk, so ranges are even. Words have 64-bit
+A frequent word is one key of each chunk, so ranges are even. Words have 56-bit
 keys; bigram keys have 40 bits beside those of the range, of which there is one
 per million keys: one lookup in a million meets another bigram's count.
 
@@ -48,7 +48,7 @@ from siltbed.llm.common import crc_fold, power_of_two, whole_text, written
 FOLDS, HELD_OUT = 7, 2
 #: Within the training rows, one in so many is deleted from the estimates.
 DELETED_FOLDS = 5
-CHUNK_BYTES = 16_000_000
+CHUNK_BYTES = 32_000_000
 KEYS_A_RANGE = 1_000_000
 ROUNDS = 40
 #: Tokens that no word can be, since words hold no space.
@@ -105,11 +105,11 @@ class _Chunk:
     def rows(self, number: int, bits: int) -> Iterator[tuple]:
         tokens = np.concatenate(self.tokens)
         lengths = np.array([len(t) for t in self.tokens])
-        hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in self.words], np.uint64)
+        hashes = np.array([word_hash(w) for w in self.words], np.uint64)
         roles = np.array(self.roles)
         role = np.repeat(roles, lengths)
         both = packed(np.concatenate([lengths, roles]))
-        yield number & ((1 << bits) - 1), number, _TEXTS, self.ids, packed(tokens), both, hashes.tobytes(), None
+        yield number & ((1 << bits) - 1), number, _TEXTS, self.ids, packed(tokens), both, _narrow(hashes, 7), None
         pairs, place = np.unique(_bigrams(tokens, lengths, 0, len(hashes)), return_inverse=True)
         keys = bigram_keys(hashes[pairs // len(hashes)], hashes[pairs % len(hashes)])
         word_counts = [np.bincount(tokens[role == r], minlength=len(hashes)) for r in (_KEPT, _DELETED)]
@@ -123,13 +123,29 @@ class _Chunk:
             w = of_words[word_cuts[part] : word_cuts[part + 1]]
             p = of_pairs[pair_cuts[part] : pair_cuts[part + 1]]
             if len(w) or len(p):
-                low = (keys[p] << np.uint64(bits)).astype(">u8").view(np.uint8).reshape(-1, 8)[:, :5]
                 yield (
-                    part, number, _KEYS, None, hashes[w].tobytes(), packed(np.concatenate([c[w] for c in word_counts])),
-                    low.tobytes(), packed(np.concatenate([c[p] for c in pair_counts])),
+                    part, number, _KEYS, None,
+                    _narrow(hashes[w], 7), packed(np.concatenate([c[w] for c in word_counts])),
+                    _narrow(keys[p] << np.uint64(bits), 5), packed(np.concatenate([c[p] for c in pair_counts])),
                 )
 
 
+def word_hash(word: bytes) -> int:
+    """56 bits, the highest ones of 64."""
+    return xxhash.xxh3_64_intdigest(word) & ~0xFF
+
+
+def _narrow(keys: np.ndarray, size: int) -> bytes:
+    """The highest bytes of every key."""
+    return keys.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
+
+
+def _wide(blob: bytes, size: int) -> np.ndarray:
+    wide = np.zeros((len(blob) // size, 8), np.uint8)
+    wide[:, :size] = np.frombuffer(blob, np.uint8).reshape(-1, size)
+    return wide.view(">u8").ravel().astype(np.uint64)
+
+
 def _range_cuts(ordered: np.ndarray, bits: int) -> np.ndarray:
     if not bits:
         return np.array([0, len(ordered)])
@@ -180,11 +196,11 @@ def _add_up(table: pa.Table) -> pa.Table:
     asked = table.filter(pc.equal(table.column("kind"), _KEYS)).to_pylist()
     if not asked:
         return texts
-    words = [np.frombuffer(r["a"], np.uint64) for r in asked]
-    pairs = [_five_bytes(r["c"]) for r in asked]
+    words = [_wide(r["a"], 7) for r in asked]
+    pairs = [_wide(r["c"], 5) for r in asked]
     word_totals, known = _totals(words, [unpacked(r["b"]) for r in asked])
     pair_totals, _ = _totals(pairs, [unpacked(r["d"]) for r in asked])
-    start = np.uint64(xxhash.xxh3_64_intdigest(START))
+    start = np.uint64(word_hash(START))
     trained = known[0] != start
     sizes = np.array([known[1][trained].sum(), known[2][trained].sum(), np.count_nonzero((known[1] + known[2])[trained])])
     route = asked[0]["route"]
@@ -193,12 +209,6 @@ def _add_up(table: pa.Table) -> pa.Table:
     return pa.concat_tables([texts, pa.Table.from_batches([_frame(rows, schema)])])
 
 
-def _five_bytes(blob: bytes) -> np.ndarray:
-    wide = np.zeros((len(blob) // 5, 8), np.uint8)
-    wide[:, 3:] = np.frombuffer(blob, np.uint8).reshape(-1, 5)
-    return wide.view(">u8").ravel().astype(np.uint64)
-
-
 def _totals(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[list[bytes], tuple]:
     """Per asking chunk the packed totals of its keys; the distinct keys with both counts."""
     known, place = np.unique(np.concatenate(keys), return_inverse=True)
@@ -219,7 +229,7 @@ def _assemble(table: pa.Table) -> pa.Table:
     answers = [r for r in rows if r["kind"] == _TOTALS]
     tokens = unpacked(text["a"])
     lengths, roles = unpacked(text["b"]).reshape(2, -1)
-    hashes = np.frombuffer(text["c"], np.uint64)
+    hashes = _wide(text["c"], 7)
     pairs, place = np.unique(_bigrams(tokens, lengths, 0, len(hashes)), return_inverse=True)
     order = np.argsort(bigram_keys(hashes[pairs // len(hashes)], hashes[pairs % len(hashes)]))
     word_totals = _in_order([r["a"] for r in answers], np.argsort(hashes))
@@ -246,8 +256,14 @@ def context_bucket(context: np.ndarray) -> np.ndarray:
     return np.ceil(np.log2(context + 1)).astype(np.int64)
 
 
+def bounded(pair: np.ndarray, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Bigram counts no larger than those of their words; a hash collision could exceed them."""
+    return np.minimum(pair, np.minimum(context, word))
+
+
 def _codes(pair: np.ndarray, context: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Context bucket, bigram estimate and unigram count in quarter octaves; 0 stands for none."""
+    pair = bounded(pair, context, word)
     estimate = np.where(pair > 0, 1 + np.rint(-4 * np.log2(np.maximum(pair, 1) / np.maximum(context, 1))), 0)
     count = np.where(word > 0, 1 + np.rint(4 * np.log2(np.maximum(word, 1))), 0)
     return (context_bucket(context) << 32) + (estimate.astype(np.int64) << 16) + count.astype(np.int64)
@@ -311,7 +327,7 @@ class Model:
 
     def token_logs(self, pair: np.ndarray, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         w = self.weights[context_bucket(context)]
-        mixed = w[:, 0] * (pair / np.maximum(context, 1)) + w[:, 1] * (word / max(self.train_tokens, 1))
+        mixed = w[:, 0] * (bounded(pair, context, word) / np.maximum(context, 1)) + w[:, 1] * (word / max(self.train_tokens, 1))
         return np.log10(mixed + w[:, 2] / (self.vocabulary + 1))
 
 
