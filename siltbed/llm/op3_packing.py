@@ -17,9 +17,11 @@ table gives no sequence. Other columns are not read.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +35,12 @@ SEQUENCE = 4096
 #: Fixed values of the contract: the vocabulary and the id that closes a document.
 VOCABULARY = "word_bpe_49k.json"
 CLOSING_ID = 2
-#: Most words whose ids a task remembers; when full, it starts afresh.
-REMEMBERED = 400_000
+#: A worker remembers the ids of about so many words, and of as many it used before.
+REMEMBERED = 300_000
+#: New words that are encoded as one text.
+TOGETHER = 512
+#: Words whose ids are those of the letters in lower case, then those of the signs.
+PLAIN = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]*)([.,;:!?*#$%&|]*)")
 #: ASCII separators that are white space to ``str.split`` but not to the tokenizer.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 
@@ -45,33 +51,62 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+@cache
 def encoder(path: str | None = None) -> Callable[[bytes], np.ndarray]:
-    """Ids of a whole text.
+    """Ids of a whole text; one encoder serves all tasks of a worker.
 
-    The vocabulary's merges never cross white space, so ids are remembered by
-    word; ``tests/llm`` compares with encoding the whole text.
+    The vocabulary's merges never cross white space, nor the border between
+    letters and signs, and know no capitals. So ids are remembered by plain word,
+    and many new words are encoded as one text. ``tests/llm`` compares with
+    encoding whole texts.
     """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path or vocabulary_path())
-    known: dict[str, bytes] = {}
+    known, older = {}, {}
 
     def ids_of(text: str) -> bytes:
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def learn(words: list[str]) -> None:
+        """Remember the ids of words: from before, from their plain form, or from the tokenizer."""
+        nonlocal known, older
+        if len(known) > REMEMBERED:
+            known, older = {}, known
+        new, plain = [], {}
+        for word in words:
+            if word in older:
+                known[word] = older[word]
+                continue
+            m = PLAIN.fullmatch(word)
+            if m:
+                parts = plain[word] = [part for part in (m[1].lower(), m[2]) if part]
+                new += [part for part in parts if part not in known]
+            else:
+                # Whatever a word may hold, alone it is encoded as in its text.
+                known[word] = ids_of(word)
+        new = list(dict.fromkeys(new))
+        for at in range(0, len(new), TOGETHER):
+            some = new[at : at + TOGETHER]
+            found = tokenizer.encode(" ".join(some), add_special_tokens=False)
+            # Letters alone, or signs alone, are one unit to the tokenizer.
+            cuts = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(some) + 1)) * 4
+            ids = np.array(found.ids, "<u4").tobytes()
+            for word, start, end in zip(some, cuts[:-1], cuts[1:]):
+                known[word] = ids[start:end]
+        for word, parts in plain.items():
+            known[word] = b"".join([known[part] for part in parts])
+
     def encode(raw: bytes) -> np.ndarray:
         text = raw.decode("utf-8", "replace")
         if any(c in text for c in SEPARATORS):
             return np.frombuffer(ids_of(text), "<u4")
         words = text.split()
-        new = [w for w in set(words) if w not in known]
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = set(words)
-        found = tokenizer.encode_batch(list(new), add_special_tokens=False) if new else []
-        for word, e in zip(new, found):
-            known[word] = np.array(e.ids, "<u4").tobytes()
-        return np.frombuffer(b"".join([known[w] for w in words]), "<u4")
+        found = list(map(known.get, words))
+        if None in found:
+            learn(list({w for w, ids in zip(words, found) if ids is None}))
+            found = [known[w] if ids is None else ids for w, ids in zip(words, found)]
+        return np.frombuffer(b"".join(found), "<u4")
 
     return encode
 
