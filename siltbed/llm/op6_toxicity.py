@@ -19,7 +19,7 @@ an empty result. No other column is an input of the score.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from array import array
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -85,16 +85,12 @@ class Model:
         return work
 
 
-def _telling(seen: tuple[Counter[bytes], Counter[bytes]], negatives: int, positives: int) -> list[bytes]:
-    found = []
-    for feature in seen[0].keys() | seen[1].keys():
-        without, with_ = seen[0][feature], seen[1][feature]
-        total, n = without + with_, negatives + positives
-        gap = with_ * negatives - without * positives
-        rest = total * (n - total) * negatives * positives
-        if total >= LEAST_DOCS and rest and n * gap * gap / rest >= LEAST_CHI_SQUARE:
-            found.append(feature)
-    return found
+def _telling(with_: np.ndarray, without: np.ndarray, positives: int, negatives: int) -> np.ndarray:
+    """Whether each feature, in so many texts of either label, occurs often enough and depends on the label."""
+    total, n = with_ + without, positives + negatives
+    gap = with_ * negatives - without * positives
+    rest = np.maximum(total * (n - total) * (negatives * positives), 1)
+    return (total >= LEAST_DOCS) & (n * gap * gap / rest >= LEAST_CHI_SQUARE)
 
 
 def fit(sample: list[tuple[bytes, int]]) -> Model:
@@ -102,24 +98,31 @@ def fit(sample: list[tuple[bytes, int]]) -> Model:
     y = np.array([label for _, label in sample], np.float64)
     if len(set(y)) < 2:
         return Model({}, -30.0)
-    sentences, owner = [], []
-    seen: tuple[Counter[bytes], Counter[bytes]] = (Counter(), Counter())
-    for number, (text, label) in enumerate(sample):
-        own = [{f for w in set(m.group().split()) for f in features(w)} for m in SENTENCE.finditer(text)]
-        seen[label].update(set().union(*own) if own else ())
-        own = [s for s in own if s]
-        sentences += own
-        owner += [number] * len(own)
-    index = {w: k for k, w in enumerate(sorted(_telling(seen, int(len(y) - y.sum()), int(y.sum()))))}
-    pairs = [(k, index[w]) for k, s in enumerate(sentences) for w in s if w in index]
-    row, word = np.array(pairs, np.int64).reshape(-1, 2).T
-    owner = np.array(owner, np.int64)
+    number: dict[bytes, int] = {}
+    rows, columns, owners = array("i"), array("i"), array("i")
+    for text_number, (text, _) in enumerate(sample):
+        for m in SENTENCE.finditer(text):
+            own = {number.setdefault(f, len(number)) for w in set(m.group().split()) for f in features(w)}
+            if own:
+                rows.extend([len(owners)] * len(own))
+                columns.extend(own)
+                owners.append(text_number)
+    owner, row, word = (np.array(values, np.int64) for values in (owners, rows, columns))
+    once = np.unique(owner[row] * len(number) + word)
+    labels, feature = y[once // len(number)], once % len(number)
+    counts = [np.bincount(feature[labels == k], minlength=len(number)).astype(np.float64) for k in (1, 0)]
+    kept = _telling(*counts, int(y.sum()), int(len(y) - y.sum()))
+    place = np.cumsum(kept) - 1
+    chosen = kept[word]
+    row, word = row[chosen], place[word[chosen]]
+    index = {f: int(place[k]) for f, k in number.items() if kept[k]}
+    sentences = len(owner)
     weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / len(y)
     params = np.zeros(len(index) + 1)
     params[-1] = -4.0
     m, v = np.zeros_like(params), np.zeros_like(params)
     for turn in range(1, STEPS + 1):
-        z = params[-1] + np.bincount(row, params[word], len(sentences))
+        z = params[-1] + np.bincount(row, params[word], sentences)
         # Minus the log probability that no sentence of the document is toxic.
         calm = np.bincount(owner, np.logaddexp(0, z), len(y))
         pull = np.where(y == 1, -1 / np.maximum(np.expm1(np.minimum(calm, 50)), 1e-9), 1.0) * weight
