@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,9 +64,26 @@ def expand_nested_records(
     )
 
 
-def expand_lines(raw: DataFrame, carry: list[str], payload: str = "raw_payload") -> DataFrame:
+#: Stands for a line break inside quotes while a payload is cut into records.
+QUOTED_BREAK = "\x1e"
+
+
+def csv_records(payload: str = "raw_payload") -> Column:
+    """The records of a CSV payload: its lines, but for line breaks inside quotes, which become ``QUOTED_BREAK``."""
+    text = F.col(payload)
+    inside = F.transform(
+        F.split(text, '"'),
+        lambda part, n: F.when(n % 2 == 1, F.replace(part, F.lit("\n"), F.lit(QUOTED_BREAK))).otherwise(part),
+    )
+    return F.split(F.when(F.contains(text, F.lit('"')), F.array_join(inside, '"')).otherwise(text), "\n")
+
+
+def expand_lines(
+    raw: DataFrame, carry: list[str], payload: str = "raw_payload", lines: Column | None = None
+) -> DataFrame:
     """One row per line with its 1-based number; a carriage return is cut off."""
-    numbered = raw.select(*carry, F.posexplode(F.split(payload, "\n")).alias("_pos", "_line"))
+    cut = F.split(payload, "\n") if lines is None else lines
+    numbered = raw.select(*carry, F.posexplode(cut).alias("_pos", "_line"))
     return numbered.select(
         *carry,
         (F.col("_pos") + 1).cast("bigint").alias("row_number"),
@@ -86,17 +103,21 @@ def expand_csv(
     """One typed row per data line of a CSV payload with a header line.
 
     Blank lines are dropped but counted in ``row_number``. Empty fields are
-    NULL, missing trailing fields too. With ``quoted=False`` every comma
-    separates, as in a plain split.
+    NULL, missing trailing fields too. A quoted cell may hold commas and line
+    breaks, and is then one record of several lines. With ``quoted=False`` every
+    comma and line break separates, as in a plain split.
     """
-    lines = expand_lines(raw, carry, payload).filter(
+    lines = expand_lines(raw, carry, payload, csv_records(payload) if quoted else None).filter(
         (F.col("row_number") > 1) & (F.length(F.btrim("line", F.lit(BLANKS))) > 0)
     )
     lines = _spread(lines, spread)
     if quoted:
         names = T.StructType([T.StructField(name, T.StringType()) for name in columns])
-        lines = lines.withColumn("_cells", F.from_csv("line", names.simpleString()[7:-1].replace(":", " ")))
-        cells = {name: blank_to_null(F.col(f"_cells.{name}")) for name in columns}
+        lines = lines.withColumn("_cells", F.from_csv("line", names.simpleString()[7:-1].replace(":", " "), {"escape": '"'}))
+        cells = {
+            name: blank_to_null(F.replace(F.col(f"_cells.{name}"), F.lit(QUOTED_BREAK), F.lit("\n")))
+            for name in columns
+        }
     else:
         cells = {
             name: blank_to_null(F.split_part(F.col("line"), F.lit(","), F.lit(n)))
@@ -110,5 +131,5 @@ def expand_csv(
 
 
 def non_blank_lines(payload: str = "raw_payload"):
-    """Number of lines of a payload that hold more than white space."""
-    return F.size(F.filter(F.split(payload, "\n"), lambda line: F.length(trimmed(line)) > 0))
+    """Number of CSV records of a payload that hold more than white space."""
+    return F.size(F.filter(csv_records(payload), lambda line: F.length(trimmed(line)) > 0))

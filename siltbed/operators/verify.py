@@ -37,13 +37,14 @@ def verify_contents(raw: DataFrame, expected_format: str | None = None) -> DataF
 
 
 def csv_header(payload: str = "raw_payload") -> Column:
-    """First line without byte order mark and carriage return."""
+    """First line without byte order mark, carriage return and quotes around whole cells."""
     first = F.substring_index(F.col(payload), "\n", 1)
-    return F.rtrim(F.ltrim(first, F.lit("\ufeff")), F.lit("\r"))
+    bare = F.rtrim(F.ltrim(first, F.lit("\ufeff")), F.lit("\r"))
+    return F.regexp_replace(bare, '(^|,)"([^",]*)"(?=,|$)', "$1$2")
 
 
 def verify_csv(raw: DataFrame, header: str, expected_rows: Column | int) -> DataFrame:
-    """Header line and number of data lines of every CSV payload."""
+    """Header cells and number of data records of every CSV payload; an open quote swallows records and fails."""
     expected = F.lit(expected_rows) if isinstance(expected_rows, int) else expected_rows
     return _tally(
         raw,

@@ -141,15 +141,21 @@ def stage_nzdpu(raw: DataFrame, spread: int | None = None) -> DataFrame:
     )
 
 
-def _identified(df: DataFrame) -> DataFrame:
-    """Rows with an identifier, standardized first so that blank ones count as missing."""
-    return df.withColumn("isin", standardize_code(F.col("isin"))).filter(F.col("isin").isNotNull())
+def _identified(df: DataFrame, strict: bool) -> DataFrame:
+    """Rows with an identifier, standardized first so that blank ones count as missing.
 
+    With ``strict=False`` the filter comes first, so rows with a blank
+    identifier stay and have none.
+    """
+    kept = df if strict else df.filter(F.col("isin").isNotNull())
+    named = kept.withColumn("isin", standardize_code(F.col("isin")))
+    return named.filter(F.col("isin").isNotNull()) if strict else named
 
-def curate_companies(nzdpu: DataFrame, cdp: DataFrame) -> DataFrame:
+
+def curate_companies(nzdpu: DataFrame, cdp: DataFrame, strict: bool = True) -> DataFrame:
     """One record per identifier; the JSON source is preferred, it knows the LEI."""
     def entities(df: DataFrame, name: str, lei) -> DataFrame:
-        return _identified(df).select(
+        return _identified(df, strict).select(
             "isin",
             F.col(name).alias("company_name"),
             lei.cast("string").alias("lei"),
@@ -166,10 +172,10 @@ def curate_companies(nzdpu: DataFrame, cdp: DataFrame) -> DataFrame:
     )
 
 
-def curate_emissions(nzdpu: DataFrame, cdp: DataFrame) -> DataFrame:
+def curate_emissions(nzdpu: DataFrame, cdp: DataFrame, strict: bool = True) -> DataFrame:
     """Both sources side by side, one row per company, year and source."""
     def aligned(df: DataFrame, verification: str) -> DataFrame:
-        return _identified(df).select(
+        return _identified(df, strict).select(
             "isin",
             "reporting_year",
             *[to_decimal(F.col(c)).alias(c) for c in SCOPES],

@@ -24,7 +24,9 @@ class Model:
     """A table of a layer, built from the tables it names as inputs.
 
     ``row_wise`` says that every input row gives its output rows on its own, so
-    that new input rows can be added without building all others again.
+    that new input rows can be added without building all others again. A model
+    whose table is not replaced but carried on, as a history is, says by
+    ``store`` how its table takes the inputs in.
     """
 
     layer: str
@@ -34,6 +36,7 @@ class Model:
     checks: tuple[Check, ...] = field(default=())
     partition_by: tuple[str, ...] = field(default=())
     row_wise: bool = False
+    store: Callable[..., int] | None = None
 
     @property
     def key(self) -> str:
@@ -55,9 +58,11 @@ class Layers:
         return self.table(key).read()
 
     def build(self, model: Model) -> int:
-        """Build a model from its inputs' newest versions and replace its table."""
+        """Build a model from its inputs' newest versions and replace its table, or carry it on."""
         entries = [self.table(name).entry() for name in model.inputs]
         frames = [self.table(name).read_entry(entry) for name, entry in zip(model.inputs, entries)]
+        if model.store is not None:
+            return model.store(self.table(model.key), model.build(*frames))
         return self.table(model.key).overwrite(
             model.build(*frames), partition_by=list(model.partition_by), **_input_versions(model, entries)
         )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siltbed.operators.checks import enforce_not_null
 from siltbed.plans import emissions, prices
@@ -66,7 +67,17 @@ def emission_models(
 
 
 def price_models(spark: SparkSession, path: str, run: Run, glob: str = "*.json") -> list[Model]:
+    """Raw and typed prices, and their history, whose versions open at the run's time."""
+    run_at = F.to_timestamp(F.lit(run.timestamp))
     return [
         raw_model(spark, "prices", path, glob, prices.PRICE_FILES, run, prices.RAW_CHECKS),
         staging_model("prices", prices.stage_prices, prices.STAGING_CHECKS),
+        Model(
+            "curated",
+            "prices_history",
+            ("staging.prices",),
+            lambda staged: staged,
+            tuple(prices.HISTORY_CHECKS),
+            store=lambda table, staged: prices.record_prices(table, staged, run_at),
+        ),
     ]

@@ -106,7 +106,8 @@ def record_history(
     state = F.when(F.col("valid_to").isNull(), "open").otherwise("closed")
     part = F.concat_ws("_", state, slice_label).alias(PART)
     newest = table.newest()
-    if newest is None:
+    if newest is None or newest["split_by"] is None:
+        # Never written, or emptied since.
         first = history.first_load(source, keys, run_at)
         return table.overwrite(first.select("*", part), split_by=PART, **labels)
     parts = ["open_all"]

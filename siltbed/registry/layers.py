@@ -259,3 +259,42 @@ def fund_price_history(spark, sf_dir):
     record_prices(history, staged.added_since(seen), instant("2026-03-02T08:00:00Z"))
     columns = ["isin", "business_date", "nav", "fund_name", "ingestion_id", "source_version", "valid_from", "valid_to"]
     return plain_time(read_history(history), "valid_from", "valid_to").select(*columns)
+
+
+@query(
+    "price_history_reset",
+    """
+    WITH n AS (SELECT count(*) AS loaded,
+                      count(*) FILTER (WHERE p_type = 'PROMO' AND DATE '2026-01-05' + p_size >= DATE '2026-02-01') AS corrected
+               FROM part)
+    SELECT 1 AS step, loaded AS staged, loaded AS versions, 0::BIGINT AS failed_checks FROM n
+    UNION ALL SELECT 2, loaded + corrected, loaded + corrected, 0 FROM n
+    UNION ALL SELECT 3, 0, 0, 0
+    UNION ALL SELECT 4, loaded, loaded, 0 FROM n
+    """,
+)
+def price_history_reset(spark, sf_dir):
+    """Prices loaded, corrected, emptied and loaded again: rows of staging and history, and red checks of all tables."""
+    layers = Layers(spark, work_dir(spark, "price-reset-layers"))
+    first, second = (
+        price_models(spark, land_prices(spark, sf_dir, corrected), Run(run, at), "*.txt")
+        for corrected, run, at in ((False, "run-0001", "2026-03-01T06:00:00Z"), (True, "run-0002", "2026-03-02T06:00:00Z"))
+    )
+
+    def correct() -> None:
+        layers.table("raw.prices").append(second[0].build())
+        layers.extend(second[1])
+        layers.build(second[2])
+
+    steps = [
+        lambda: layers.build_to(first, "curated"),
+        correct,
+        lambda: layers.build_to(first, None),
+        lambda: layers.build_to(first, "curated"),
+    ]
+    rows = []
+    for number, step in enumerate(steps, start=1):
+        step()
+        counts = [layers.read(key).count() for key in ("staging.prices", "curated.prices_history")]
+        rows.append((number, *counts, layers.test(first).filter("NOT success").count()))
+    return spark.createDataFrame(rows, "step int, staged bigint, versions bigint, failed_checks bigint")

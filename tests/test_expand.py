@@ -1,6 +1,7 @@
 import pytest
 
 from siltbed.operators.expand import expand_csv, expand_lines, expand_nested_records, expand_records
+from siltbed.operators.verify import verify_csv
 
 COLUMNS = {"name": "string", "year": "int", "amount": "double"}
 
@@ -69,3 +70,14 @@ def test_spreading_keeps_all_rows(spark):
     df = expand_csv(raw(spark, payload), {"n": "int"}, ["id"], spread=5)
     assert df.rdd.getNumPartitions() == 5
     assert df.distinct().count() == 1000
+
+
+def test_quoted_line_breaks_are_one_record(spark):
+    payload = 'a,"b"\r\n1,"two\nlines, one cell"\r\n\r\n2,"say ""hi"""\r\n'
+    raw = spark.createDataFrame([(payload,)], "raw_payload string")
+    rows = expand_csv(raw, {"a": "int", "b": "string"}, []).collect()
+    assert [(r["a"], r["b"], r["row_number"]) for r in rows] == [(1, "two\nlines, one cell", 2), (2, 'say "hi"', 4)]
+    checks = {r["check"]: r["success"] for r in verify_csv(raw, "a,b", 2).collect()}
+    assert checks == {"header": True, "data_rows": True}
+    broken = raw.selectExpr("replace(raw_payload, 'cell\"', 'cell') AS raw_payload")
+    assert {r["check"]: r["success"] for r in verify_csv(broken, "a,b", 2).collect()}["data_rows"] is False

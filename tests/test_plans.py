@@ -120,6 +120,8 @@ def test_blank_identifiers_count_as_missing(spark, tmp_path):
     assert staged.count() == 1
     assert emissions.curate_emissions(nothing, staged).count() == 0
     assert emissions.curate_companies(nothing, staged).count() == 0
+    loose = emissions.curate_emissions(nothing, staged, strict=False)
+    assert [r["isin"] for r in loose.collect()] == [None]
 
 
 def weekdays(n):
@@ -203,3 +205,21 @@ def test_record_loads(spark, tmp_path):
     stats = {str(r["position_date"]): r["record_count"] for r in partition_stats(tables[1].read(), ["position_date"]).collect()}
     assert stats == {"2023-12-31": 2, "2024-06-30": 1}
     assert dict(tables[2].read().dtypes) == {"country": "string", "co2": "double", "year": "int"}
+
+
+def test_history_is_a_model_with_tests_and_a_reset(spark, tmp_path):
+    folder = tmp_path / "prices"
+    folder.mkdir()
+    (folder / "load1.json").write_text(prices_json([price("F1", "2026-01-05", 1.0), price("F2", "2026-01-05", 2.0)]))
+    layers = Layers(spark, str(tmp_path / "layers"))
+    models = price_models(spark, str(folder), Run("r1", "2026-05-01T06:00:00Z"))
+    layers.build_to(models, "curated")
+    layers.build_to(models, "curated")
+    assert counts(layers, models) == {"raw.prices": 1, "staging.prices": 2, "curated.prices_history": 2}
+    report = layers.test(models)
+    assert report.filter("table_name = 'prices_history'").count() == len(prices.HISTORY_CHECKS) == 7
+    assert report.filter("NOT success").count() == 0
+    layers.build_to(models, None)
+    assert set(counts(layers, models).values()) == {0}
+    layers.build_to(models, "curated")
+    assert counts(layers, models)["curated.prices_history"] == 2
