@@ -8,7 +8,7 @@ training document in five is left out of the estimates and scored by them.
 
 No count table ever meets a broadcast or the driver:
 
-1. A task turns its texts into chunks of about 32 MB. A chunk knows its distinct
+1. A task turns its texts into chunks of about 16 MB. A chunk knows its distinct
    words and bigrams and sends their hashed keys, with its own counts, to key
    ranges; the token numbers of its texts go along.
 2. Each key range adds up counts over all chunks, and answers every chunk with the
@@ -48,8 +48,9 @@ from siltbed.llm.common import crc_fold, power_of_two, whole_text, written
 FOLDS, HELD_OUT = 7, 2
 #: Within the training rows, one in so many is deleted from the estimates.
 DELETED_FOLDS = 5
-CHUNK_BYTES = 32_000_000
+CHUNK_BYTES = 16_000_000
 KEYS_A_RANGE = 1_000_000
+TOKENS_AT_ONCE = 200_000
 ROUNDS = 40
 #: Tokens that no word can be, since words hold no space.
 START, END = b" start", b" end"
@@ -75,12 +76,17 @@ def bigram_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mixed * _MIX
 
 
-def _bigrams(tokens: np.ndarray, lengths: np.ndarray, start: int, words: int) -> np.ndarray:
-    """Each token with the one before it, as one number."""
+def _before(tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The token before each token; the start, number 0, before a text's first one."""
     before = np.empty_like(tokens)
     before[1:] = tokens[:-1]
-    before[np.cumsum(lengths) - lengths] = start
-    return before * words + tokens
+    before[np.cumsum(lengths) - lengths] = 0
+    return before
+
+
+def _pairs_of(before: np.ndarray, tokens: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct bigrams as one number each, and which of them every token ends."""
+    return np.unique(before.astype(np.int64) * words + tokens, return_inverse=True)
 
 
 class _Chunk:
@@ -96,8 +102,8 @@ class _Chunk:
     def add(self, id_: object, text: bytes, role: int) -> None:
         words = text.lower().split()
         known = self.words
-        own = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
-        self.tokens.append(np.append(own, 1))
+        own = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int32, len(words))
+        self.tokens.append(np.append(own, np.int32(1)))
         self.ids.append(id_)
         self.roles.append(role)
         self.size += len(text) + 8
@@ -105,17 +111,19 @@ class _Chunk:
     def rows(self, number: int, bits: int) -> Iterator[tuple]:
         tokens = np.concatenate(self.tokens)
         lengths = np.array([len(t) for t in self.tokens])
+        self.tokens.clear()
         hashes = np.array([word_hash(w) for w in self.words], np.uint64)
-        roles = np.array(self.roles)
+        roles = np.array(self.roles, np.int8)
         role = np.repeat(roles, lengths)
         both = packed(np.concatenate([lengths, roles]))
         yield number & ((1 << bits) - 1), number, _TEXTS, self.ids, packed(tokens), both, _narrow(hashes, 7), None
-        pairs, place = np.unique(_bigrams(tokens, lengths, 0, len(hashes)), return_inverse=True)
+        pairs, place = _pairs_of(_before(tokens, lengths), tokens, len(hashes))
         keys = bigram_keys(hashes[pairs // len(hashes)], hashes[pairs % len(hashes)])
         word_counts = [np.bincount(tokens[role == r], minlength=len(hashes)) for r in (_KEPT, _DELETED)]
         for counts, r in zip(word_counts, (_KEPT, _DELETED)):
             counts[0] = np.count_nonzero(roles == r)
         pair_counts = [np.bincount(place[role == r], minlength=len(pairs)) for r in (_KEPT, _DELETED)]
+        del tokens, place, role
         of_words, of_pairs = np.argsort(hashes), np.argsort(keys)
         word_cuts = _range_cuts(hashes[of_words], bits)
         pair_cuts = _range_cuts(keys[of_pairs], bits)
@@ -222,22 +230,25 @@ def _totals(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[list[byte
 def _assemble(table: pa.Table) -> pa.Table:
     """One chunk: its tokens with the totals of their bigrams, and its part of the held-out histogram."""
     schema = _arrow_schema(table.schema.field("ids").type.value_type)
-    rows = table.sort_by("route").to_pylist()
+    rows = sorted(table.to_pylist(), key=lambda r: r["route"])
     text = next((r for r in rows if r["kind"] == _TEXTS), None)
     if text is None:
         return table.cast(schema)
     answers = [r for r in rows if r["kind"] == _TOTALS]
-    tokens = unpacked(text["a"])
+    tokens = unpacked(text["a"]).astype(np.int32)
     lengths, roles = unpacked(text["b"]).reshape(2, -1)
     hashes = _wide(text["c"], 7)
-    pairs, place = np.unique(_bigrams(tokens, lengths, 0, len(hashes)), return_inverse=True)
+    before = _before(tokens, lengths)
+    pairs, place = _pairs_of(before, tokens, len(hashes))
+    place = place.astype(np.int32)
     order = np.argsort(bigram_keys(hashes[pairs // len(hashes)], hashes[pairs % len(hashes)]))
     word_totals = _in_order([r["a"] for r in answers], np.argsort(hashes))
     pair_totals = _in_order([r["b"] for r in answers], order)
-    before = _bigrams(tokens, lengths, 0, len(hashes)) // len(hashes)
-    held = np.repeat(roles, lengths) == _DELETED
+    del pairs, order
+    held = np.repeat(roles == _DELETED, lengths)
     codes = _codes(pair_totals[0][place[held]], word_totals[0][before[held]], word_totals[0][tokens[held]])
     code, times = np.unique(codes, return_counts=True)
+    del codes, before, held
     number = text["chunk"]
     made = [
         (0, number, _SCORED, text["ids"], text["a"], packed(lengths), packed(pair_totals.sum(0)[place]), packed(word_totals.sum(0))),
@@ -353,24 +364,34 @@ def score_texts(docs: DataFrame, training: Callable, deleted: Callable, key: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             id_type = batch.schema.field("ids").type.value_type
-            for row in batch.to_pylist():
-                tokens, lengths, pair, word = (unpacked(row[c]) for c in "abcd")
-                starts = np.cumsum(lengths) - lengths
-                before = _bigrams(tokens, lengths, 0, len(word)) // len(word)
-                own = word[tokens]
-                base = np.log10((own + 1) / (model.train_tokens + model.vocabulary + 1))
-                logs = model.token_logs(pair, word[before], own)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(row["ids"], id_type),
-                        pa.array(lengths),
-                        pa.array(np.add.reduceat(own > 0, starts, dtype=np.int64)),
-                        pa.array(np.full(len(lengths), model.train_tokens, np.int64)),
-                        pa.array(np.add.reduceat(base, starts)),
-                        pa.array(np.add.reduceat(logs, starts)),
-                    ],
-                    names,
-                )
+            for row_number in range(batch.num_rows):
+                row = batch.slice(row_number, 1).to_pylist()[0]
+                tokens = unpacked(row["a"]).astype(np.int32)
+                lengths, pair, word = (unpacked(row[c]) for c in "bcd")
+                ends = np.cumsum(lengths)
+                # Whole texts, together about so many tokens at a time.
+                cuts = np.searchsorted(ends, np.arange(0, len(tokens), TOKENS_AT_ONCE))
+                for first, last in zip(cuts, [*cuts[1:], len(lengths)]):
+                    if first == last:
+                        continue
+                    here = lengths[first:last]
+                    start, end = ends[first] - here[0], ends[last - 1]
+                    starts = np.cumsum(here) - here
+                    own_tokens = tokens[start:end]
+                    own = word[own_tokens]
+                    base = np.log10((own + 1) / (model.train_tokens + model.vocabulary + 1))
+                    logs = model.token_logs(pair[start:end], word[_before(own_tokens, here)], own)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(row["ids"][first:last], id_type),
+                            pa.array(here),
+                            pa.array(np.add.reduceat(own > 0, starts, dtype=np.int64)),
+                            pa.array(np.full(len(here), model.train_tokens, np.int64)),
+                            pa.array(np.add.reduceat(base, starts)),
+                            pa.array(np.add.reduceat(logs, starts)),
+                        ],
+                        names,
+                    )
 
     return stored.filter(F.col("kind") == _SCORED).select("ids", "a", "b", "c", "d").mapInArrow(run, out)
 
