@@ -9,9 +9,10 @@
    compared exhaustively. Large ones branch again; what is still large at the
    last level holds texts that are alike, and is dealt at random into small nodes.
 3. Candidate pairs are confirmed on the full shingle sets of the whole texts.
-4. Two rounds. In the first, each member of a small node goes with its most
-   similar neighbour, which joins large groups without pairing all members. In
-   the second, with other trees, all pairs between different components go.
+4. Rounds with trees of their own. In the first two, each member of a small node
+   goes with its most similar neighbour of another component, which joins large
+   groups without pairing all members. In the last, all pairs between different
+   components go. After a round, its links join components, not sets.
 
 A pair at the similarity limit is missed by a tree with a probability of 0.19 at
 the first level and 0.53 at the last, so by all trees with less than 1e-3 in the
@@ -45,7 +46,7 @@ PERCENT = 75
 POSITIONS = 128
 #: Pairs estimated below this are not confirmed: 4.4 standard deviations under the limit.
 LEAST_ESTIMATE = 0.58
-TREES = (4, 12)
+TREES = (3, 3, 12)
 LEAF = 32
 LEVELS = 4
 REMEMBERED = 400_000
@@ -321,6 +322,25 @@ def components(links: DataFrame, label: str) -> DataFrame:
         labels = labels.drop("old")
 
 
+def joined(known: DataFrame | None, links: DataFrame, label: str) -> DataFrame:
+    """Components after more links: (set_no, component), extended and merged."""
+    if known is None:
+        return components(links, label)
+    named = links
+    for end in ("a", "b"):
+        of_end = known.select(F.col("set_no").alias(end), F.col("component").alias("of"))
+        named = named.join(of_end, end, "left").withColumn(end, F.coalesce("of", end)).drop("of")
+    named = written(named.filter("a <> b").distinct(), f"{label}-named")
+    if named.isEmpty():
+        return known
+    merged = components(named, label)
+    # A component's number is one of its sets, so only sets without one are new here.
+    new = merged.join(known, "set_no", "left_anti").select("set_no", F.col("set_no").alias("component"))
+    to = merged.select(F.col("set_no").alias("component"), F.col("component").alias("next"))
+    everyone = known.unionByName(new).join(to, "component", "left")
+    return written(everyone.select("set_no", F.coalesce("next", "component").alias("component")), f"{label}-joined")
+
+
 def near_groups(docs: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
     """One row per document: doc_id, digest, n_shingles, component_id, component (a number; NULL without shingles)."""
     rows = written(described(docs, key, column), "op9-rows")
@@ -345,7 +365,6 @@ def near_groups(docs: DataFrame, key: str = "doc_id", column: str = "text") -> D
         "op9-sets",
     )
     known = None
-    links = None
     first_root = 0
     for turn, trees in enumerate(TREES):
         last_root = sum(tree < sum(TREES[: turn + 1]) for tree, _ in ROOTS)
@@ -357,11 +376,10 @@ def near_groups(docs: DataFrame, key: str = "doc_id", column: str = "text") -> D
         if known is not None:
             current = written(current, "op9-current")
         nodes = small_nodes(current, (first_root, last_root), f"op9-round{turn}")
-        pairs = written(candidates(current, nodes, all_pairs=turn > 0), "op9-pairs")
+        pairs = written(candidates(current, nodes, all_pairs=turn == len(TREES) - 1), "op9-pairs")
         if not pairs.isEmpty():
-            new = confirmed(pairs, sets, docs, key, column)
-            links = written(new if links is None else links.unionByName(new), "op9-confirmed")
-            known = components(links, f"op9-components{turn}")
+            links = written(confirmed(pairs, sets, docs, key, column), "op9-confirmed")
+            known = joined(known, links, f"op9-components{turn}")
         first_root = last_root
     if known is None:
         labelled = sets.withColumn("component", F.col("set_no"))
