@@ -51,6 +51,7 @@ DELETED_FOLDS = 5
 CHUNK_BYTES = 16_000_000
 KEYS_A_RANGE = 1_000_000
 TOKENS_AT_ONCE = 200_000
+ROWS_AT_ONCE = 256
 ROUNDS = 40
 #: Tokens that no word can be, since words hold no space.
 START, END = b" start", b" end"
@@ -179,12 +180,15 @@ def chunked(docs: DataFrame, bits: int) -> DataFrame:
         task = TaskContext.get().partitionId() << 32
         for batch in batches:
             schema = _arrow_schema(batch.schema.field("doc_id").type)
-            for id_, text, role in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "role"))):
-                chunk.add(id_, text, role)
-                if chunk.size >= CHUNK_BYTES:
-                    for row in chunk.rows(task + count, bits):
-                        yield _frame([row], schema)
-                    chunk, count = _Chunk(), count + 1
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                some = batch.slice(at, ROWS_AT_ONCE)
+                for id_, text, role in zip(*(some.column(c).to_pylist() for c in ("doc_id", "text", "role"))):
+                    chunk.add(id_, text, role)
+                    if chunk.size >= CHUNK_BYTES:
+                        for row in chunk.rows(task + count, bits):
+                            yield _frame([row], schema)
+                        chunk, count = _Chunk(), count + 1
+                        pa.default_memory_pool().release_unused()
         if chunk.ids:
             for row in chunk.rows(task + count, bits):
                 yield _frame([row], schema)
@@ -212,6 +216,7 @@ def _add_up(table: pa.Table) -> pa.Table:
     trained = known[0] != start
     sizes = np.array([known[1][trained].sum(), known[2][trained].sum(), np.count_nonzero((known[1] + known[2])[trained])])
     route = asked[0]["route"]
+    pa.default_memory_pool().release_unused()
     rows = [(route, r["chunk"], _TOTALS, None, w, p, None, None) for r, w, p in zip(asked, word_totals, pair_totals)]
     rows.append((route, -1 - route % 1024, _SIZES, None, packed(sizes), None, None, None))
     return pa.concat_tables([texts, pa.Table.from_batches([_frame(rows, schema)])])
@@ -249,6 +254,7 @@ def _assemble(table: pa.Table) -> pa.Table:
     codes = _codes(pair_totals[0][place[held]], word_totals[0][before[held]], word_totals[0][tokens[held]])
     code, times = np.unique(codes, return_counts=True)
     del codes, before, held
+    pa.default_memory_pool().release_unused()
     number = text["chunk"]
     made = [
         (0, number, _SCORED, text["ids"], text["a"], packed(lengths), packed(pair_totals.sum(0)[place]), packed(word_totals.sum(0))),
