@@ -117,7 +117,9 @@ class _Chunk:
         roles = np.array(self.roles, np.int8)
         role = np.repeat(roles, lengths)
         both = packed(np.concatenate([lengths, roles]))
-        yield number & ((1 << bits) - 1), number, _TEXTS, self.ids, packed(tokens), both, _narrow(hashes, 7), None
+        # Task and place in it both count, so texts are spread over all ranges.
+        route = (number + (number >> 32)) & ((1 << bits) - 1)
+        yield route, number, _TEXTS, self.ids, packed(tokens), both, _narrow(hashes, 7), None
         pairs, place = _pairs_of(_before(tokens, lengths), tokens, len(hashes))
         keys = bigram_keys(hashes[pairs // len(hashes)], hashes[pairs % len(hashes)])
         word_counts = [np.bincount(tokens[role == r], minlength=len(hashes)) for r in (_KEPT, _DELETED)]
