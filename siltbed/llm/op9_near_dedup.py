@@ -7,16 +7,20 @@
    similarity of them on average; members that agree on the token there form a
    child. Nodes of one member, or of one known component, end. Small nodes are
    compared exhaustively. Large ones branch again; what is still large at the
-   last level holds texts that are alike, and is dealt at random into small nodes.
+   last level holds texts that are alike, and is compared exhaustively in the last
+   round too, blocks against blocks. This is quadratic in the members of a node
+   that earlier rounds have not joined.
 3. Candidate pairs are confirmed on the full shingle sets of the whole texts.
 4. Rounds with trees of their own. In the first two, each member of a small node
    goes with its most similar neighbour of another component, which joins large
-   groups without pairing all members. In the last, all pairs between different
-   components go. After a round, its links join components, not sets.
+   groups without pairing all members; nodes still large at the last level are
+   dealt at random for that. In the last, all pairs between different components
+   go. After a round, its links join components, not sets.
 
 A pair at the similarity limit is missed by a tree with a probability of 0.19 at
-the first level and 0.53 at the last, so by all trees with less than 1e-3 in the
-largest groups and 1e-8 elsewhere; components have many links and lose less.
+the first level and 0.53 at the last, so by the trees of the last round, which
+leave out no pair of a node, with less than 1e-3 in the largest groups and 1e-8
+elsewhere; components have many links and lose less.
 
 Defined results: A-Z are lower-cased; a text with fewer words than a shingle is
 one shingle; NULL, empty and wordless texts have none and are linked with
@@ -49,6 +53,10 @@ LEAST_ESTIMATE = 0.58
 TREES = (3, 3, 12)
 LEAF = 32
 LEVELS = 4
+#: Larger nodes of the last level are compared in blocks of so many members.
+BLOCK = 4096
+#: Candidate pairs that leave a task in one batch.
+PAIRS_A_BATCH = 500_000
 REMEMBERED = 400_000
 _SEEDS = np.random.default_rng(9).integers(1, 2**32, (2, POSITIONS), np.uint64).astype(np.uint32)
 _ODD, _ADD = _SEEDS[0] | np.uint32(1), _SEEDS[1]
@@ -153,8 +161,26 @@ def _children(members: DataFrame, level: int) -> DataFrame:
     return members.select(F.explode(nodes).alias("node"), "set_no", "component")
 
 
-def small_nodes(sets: DataFrame, roots: tuple[int, int], label: str) -> DataFrame:
-    """node, set_no: memberships in nodes small enough to compare, from the trees of the given roots."""
+def _blocks(large: DataFrame) -> DataFrame:
+    """node, side, set_no: a node for every two blocks of a large node, so that any two members meet once.
+
+    Members of side 0 are compared with all others of their node, the rest with the other side only.
+    """
+    dealt = large.withColumn("blocks", F.ceil(F.col("n") / BLOCK)).withColumn(
+        "own", F.pmod(F.xxhash64("set_no", "node"), "blocks")
+    )
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    side = F.when(low == high, 0).when(F.col("own") == low, 1).otherwise(2)
+    return met.select(F.xxhash64("node", low, high).alias("node"), side.alias("side"), "set_no")
+
+
+def small_nodes(sets: DataFrame, roots: tuple[int, int], label: str, all_pairs: bool) -> DataFrame:
+    """node, side, set_no: memberships in nodes to compare, from the trees of the given roots.
+
+    With ``all_pairs``, any two members of a node of the last level meet; else
+    large ones are dealt at random into small ones, enough to find a neighbour.
+    """
     wanted = F.slice("roots", roots[0] + 1, roots[1] - roots[0])
     members = sets.select(F.explode(wanted).alias("node"), "set_no", "component")
     leaves = []
@@ -166,21 +192,22 @@ def small_nodes(sets: DataFrame, roots: tuple[int, int], label: str) -> DataFram
             .select("node", "n")
         )
         alive = written(members.join(sizes, "node").select("node", "set_no", "n"), f"{label}-level{level}")
-        leaves.append(alive.filter(F.col("n") <= LEAF).select("node", "set_no"))
+        leaves.append(alive.filter(F.col("n") <= LEAF).select("node", F.lit(0).alias("side"), "set_no"))
         large = alive.filter(F.col("n") > LEAF)
         if level == LEVELS or large.isEmpty():
             part = F.pmod(F.xxhash64("set_no", "node"), F.ceil(F.col("n") * 4 / (3 * LEAF)))
-            leaves.append(large.select(F.xxhash64("node", part).alias("node"), "set_no"))
+            parts = large.select(F.xxhash64("node", part).alias("node"), F.lit(0).alias("side"), "set_no")
+            leaves.append(_blocks(large) if all_pairs else parts)
             break
         members = _children(large.join(sets.select("set_no", "component", "signature"), "set_no"), level)
     return reduce(DataFrame.unionByName, leaves)
 
 
 def candidates(sets: DataFrame, nodes: DataFrame, all_pairs: bool) -> DataFrame:
-    """Pairs (a < b) of sets in a common small node, in different components and similar by estimate."""
+    """Pairs (a < b) of sets that meet in a node, in different components and similar by estimate."""
     given = (
         nodes.join(sets.select("set_no", "component", "signature"), "set_no")
-        .select("node", "set_no", "component", "signature")
+        .select("node", "side", "set_no", "component", "signature")
         .repartition("node")
         .sortWithinPartitions("node", "set_no")
     )
@@ -196,33 +223,39 @@ def candidates(sets: DataFrame, nodes: DataFrame, all_pairs: bool) -> DataFrame:
             whole = int(np.searchsorted(node, node[-1])) if len(node) else 0
             kept = table.slice(whole).combine_chunks()
             if whole:
-                yield _pairs(table.slice(0, whole), all_pairs)
+                yield from _pairs(table.slice(0, whole), all_pairs)
         if kept is not None and kept.num_rows:
-            yield _pairs(kept, all_pairs)
+            yield from _pairs(kept, all_pairs)
 
     return given.mapInArrow(run, "a long, b long").dropDuplicates(["a", "b"])
 
 
-def _pairs(table: pa.Table, all_pairs: bool) -> pa.RecordBatch:
-    node, ids, component = (table.column(c).to_numpy() for c in ("node", "set_no", "component"))
+def _pairs(table: pa.Table, all_pairs: bool) -> Iterator[pa.RecordBatch]:
+    node, side, ids, component = (table.column(c).to_numpy() for c in ("node", "side", "set_no", "component"))
     raw = b"".join(table.column("signature").to_pylist())
     signature = np.frombuffer(raw, np.uint16).reshape(-1, POSITIONS)
     best = np.zeros(len(ids))
     partner = np.full(len(ids), -1)
     found: list[tuple[np.ndarray, np.ndarray]] = []
+    waiting = 0
     distance = 1
     while True:
         # Row i against row i + distance of the same node: all pairs of all nodes at once.
         first = np.flatnonzero(node[:-distance] == node[distance:])
         if not len(first):
             break
-        first = first[component[first] != component[first + distance]]
+        other = (side[first] != side[first + distance]) | (side[first] == 0)
+        first = first[other & (component[first] != component[first + distance])]
         second = first + distance
         estimate = (signature[first] == signature[second]).mean(1)
         similar = estimate >= LEAST_ESTIMATE
         first, second, estimate = first[similar], second[similar], estimate[similar]
         if all_pairs:
             found.append((ids[first], ids[second]))
+            waiting += len(first)
+            if waiting > PAIRS_A_BATCH:
+                yield _pair_batch(found)
+                found, waiting = [], 0
         else:
             better = estimate > best[second]
             best[second[better]], partner[second[better]] = estimate[better], first[better]
@@ -230,6 +263,10 @@ def _pairs(table: pa.Table, all_pairs: bool) -> pa.RecordBatch:
     if not all_pairs:
         linked = np.flatnonzero(partner >= 0)
         found.append((ids[partner[linked]], ids[linked]))
+    yield _pair_batch(found)
+
+
+def _pair_batch(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     a, b = (np.concatenate([f[k] for f in found] or [np.empty(0, np.int64)]) for k in (0, 1))
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
@@ -375,8 +412,9 @@ def near_groups(docs: DataFrame, key: str = "doc_id", column: str = "text") -> D
         current = current.select("set_no", "component", "roots", "signature")
         if known is not None:
             current = written(current, "op9-current")
-        nodes = small_nodes(current, (first_root, last_root), f"op9-round{turn}")
-        pairs = written(candidates(current, nodes, all_pairs=turn == len(TREES) - 1), "op9-pairs")
+        last = turn == len(TREES) - 1
+        nodes = small_nodes(current, (first_root, last_root), f"op9-round{turn}", all_pairs=last)
+        pairs = written(candidates(current, nodes, all_pairs=last), "op9-pairs")
         if not pairs.isEmpty():
             links = written(confirmed(pairs, sets, docs, key, column), "op9-confirmed")
             known = joined(known, links, f"op9-components{turn}")

@@ -477,6 +477,29 @@ def test_near_groups_in_a_large_dense_group(spark):
     compare_components(rows, op9.near_groups(spark.createDataFrame(rows, "doc_id long, text string")))
 
 
+def test_near_groups_in_a_family_of_unlinked_texts(spark, monkeypatch):
+    """Thousands of texts that share a template, no two of them linked but planted pairs."""
+    monkeypatch.setattr(op9, "BLOCK", 200)
+    random = np.random.default_rng(9)
+    template = [f"t{n}" for n in range(104)]
+    rows = []
+    for n in range(3000):
+        own = [f"o{n}_{k}" for k in range(46)]
+        rows.append((n, " ".join(template + own)))
+        if n % 30 == 0:
+            for place in random.choice(46, 2, replace=False):
+                own[place] = f"y{n}_{place}"
+            rows.append((10_000 + n, " ".join(template + own)))
+    groups = op9.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    # All share the template's 100 shingles of 146: 100 / 192 of what two have is less than the limit.
+    linked = {r["doc_id"]: r["component_id"] for r in groups}
+    sets = dict((i, brute.shingle_set(t)) for i, t in rows)
+    for n in range(0, 3000, 30):
+        a, b = sets[n], sets[10_000 + n]
+        assert 100 * len(a & b) >= 75 * len(a | b)
+    assert linked == {i: i % 10_000 for i, _ in rows}
+
+
 def test_drop_near_copies(docs):
     kept = op9.drop_near_copies(docs)
     assert kept.columns == docs.columns
