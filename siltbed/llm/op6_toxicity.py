@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltbed.llm.common import crc_fold, with_text_columns
+from siltbed.llm.common import crc_fold, free_name, with_text_columns
 from siltbed.llm.labelled import labelled_sample
 
 #: Fixed values of the contract.
@@ -42,6 +42,8 @@ PREFIXES = (4, 5)
 STEPS, RATE, RIDGE = 200, 0.1, 5e-5
 REMEMBERED = 400_000
 SENTENCE = re.compile(rb"[^.!?\n]+")
+#: Sentences of this probability or more are offending.
+LEAST = 0.5
 EDGES = b".,;:!?\"'()[]{}*#$%&|<>-_=~"
 
 
@@ -51,13 +53,17 @@ def features(word: bytes) -> list[bytes]:
     return ([plain] if plain else []) + [plain[:n] + b"-" for n in PREFIXES if len(plain) >= n]
 
 
+def _probability(z: float) -> float:
+    return float(1 / (1 + np.exp(-z))) if z > -30 else 0.0
+
+
 @dataclass
 class Model:
     weights: dict[bytes, float]
     bias: float
 
-    def scorer(self) -> Callable[[bytes], tuple[float, int, int, float]]:
-        """Document probability; start, end (bytes) and probability of the worst sentence."""
+    def scorer(self, least: float = LEAST) -> Callable[[bytes], tuple[float, int, int, float, list[tuple[int, int, float]]]]:
+        """Document probability; start, end (bytes) and probability of the worst sentence, then of all that reach ``least``."""
         known: dict[bytes, float] = {}
 
         def weight(word: bytes) -> float:
@@ -66,8 +72,8 @@ class Model:
             known[word] = found = sum(self.weights.get(f, 0.0) for f in features(word))
             return found
 
-        def work(text: bytes) -> tuple[float, int, int, float]:
-            none_toxic, worst, place = 0.0, -np.inf, (0, 0)
+        def work(text: bytes) -> tuple[float, int, int, float, list[tuple[int, int, float]]]:
+            none_toxic, worst, place, offending = 0.0, -np.inf, (0, 0), []
             for m in SENTENCE.finditer(text):
                 words = set(m.group().split())
                 if not words:
@@ -79,8 +85,10 @@ class Model:
                 none_toxic -= float(np.logaddexp(0, z)) if z > -30 else 0.0
                 if z > worst:
                     worst, place = z, m.span()
-            sentence = 1 / (1 + np.exp(-worst)) if worst > -30 else 0.0
-            return -float(np.expm1(none_toxic)), *place, float(sentence)
+                probability = _probability(z)
+                if probability >= least:
+                    offending.append((*m.span(), probability))
+            return -float(np.expm1(none_toxic)), *place, _probability(worst), offending
 
         return work
 
@@ -139,22 +147,36 @@ FIELDS = [
     T.StructField("worst_start", T.LongType()),
     T.StructField("worst_end", T.LongType()),
     T.StructField("worst_score", T.DoubleType()),
+    T.StructField("starts", T.ArrayType(T.LongType())),
+    T.StructField("ends", T.ArrayType(T.LongType())),
+    T.StructField("scores", T.ArrayType(T.DoubleType())),
 ]
 
 
-def score(docs: DataFrame, model: Model, column: str = "text") -> DataFrame:
-    """The documents with a struct: score, and place (code points) and score of the worst sentence."""
+def _code_points(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Places in code points of spans in bytes, which are in order and do not overlap."""
+    found, at, count = [], 0, 0
+    for start, end in spans:
+        first = count + len(text[at:start].decode("utf-8", "replace"))
+        at, count = end, first + len(text[start:end].decode("utf-8", "replace"))
+        found.append((first, count))
+    return found
+
+
+def score(docs: DataFrame, model: Model, column: str = "text", least: float = LEAST) -> DataFrame:
+    """The documents with a struct: score, place (code points) and score of the worst sentence, then of all that reach ``least``."""
 
     def compute() -> Callable[[list[bytes]], list[list]]:
-        work_on = model.scorer()
+        work_on = model.scorer(least)
 
         def work(texts: list[bytes]) -> list[list]:
-            found: list[list] = [[], [], [], []]
+            found: list[list] = [[] for _ in FIELDS]
             for text in texts:
-                total, start, end, worst = work_on(text)
-                before = len(text[:start].decode("utf-8", "replace"))
-                length = len(text[start:end].decode("utf-8", "replace"))
-                for values, value in zip(found, (total, before, before + length, worst)):
+                total, start, end, worst, offending = work_on(text)
+                [(before, after)] = _code_points(text, [(start, end)])
+                places = _code_points(text, [o[:2] for o in offending])
+                values_ = (total, before, after, worst, [p[0] for p in places], [p[1] for p in places], [o[2] for o in offending])
+                for values, value in zip(found, values_):
                     values.append(value)
             return found
 
@@ -163,13 +185,19 @@ def score(docs: DataFrame, model: Model, column: str = "text") -> DataFrame:
     return with_text_columns(docs, FIELDS, compute, column)
 
 
-def offending_sentences(docs: DataFrame, model: Model, least: float = 0.5, column: str = "text") -> DataFrame:
-    """The documents whose worst sentence scores ``least`` or more, with that sentence as ``sentence``."""
-    scored = score(docs, model, column)
-    found = scored.columns[-1]
-    start, end = F.col(f"{found}.worst_start"), F.col(f"{found}.worst_end")
+def offending_sentences(docs: DataFrame, model: Model, least: float = LEAST, column: str = "text") -> DataFrame:
+    """A row per sentence that scores ``least`` or more: the document, with the sentence's place, score and ``sentence``."""
+    scored = score(docs, model, column, least)
+    found, one = scored.columns[-1], free_name(scored.columns, "_one")
+    each = scored.withColumn(
+        one, F.explode(F.arrays_zip(*(F.col(f"{found}.{c}").alias(c) for c in ("starts", "ends", "scores"))))
+    )
+    start, end = F.col(f"{one}.starts"), F.col(f"{one}.ends")
     cut = F.substring(F.col(column).cast("string"), (start + 1).cast("int"), (end - start).cast("int"))
-    return scored.filter(F.col(f"{found}.worst_score") >= least).withColumn(found, F.col(found).withField("sentence", cut))
+    shown = F.col(found).dropFields("starts", "ends", "scores")
+    for name, value in (("start", start), ("end", end), ("sentence_score", F.col(f"{one}.scores")), ("sentence", cut)):
+        shown = shown.withField(name, value)
+    return each.withColumn(found, shown).drop(one)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -327,6 +327,15 @@ def test_toxicity_finds_the_sentence(spark):
     assert op6.score(df, model).filter("doc_id = 3").first()["_found"]["score"] == 0
 
 
+def test_toxicity_finds_every_offending_sentence(spark):
+    model = op6.Model({b"bad": 6.0, b"worse": 8.0}, -3.0)
+    text = "Été bad. Fine. Worse é!" + " ok." * 500 + " Bad"
+    df = spark.createDataFrame([(1, text), (2, "fine"), (3, None)], "doc_id int, text string")
+    found = sorted((r["doc_id"], r["_found"]["start"], r["_found"]["end"], r["_found"]["sentence"]) for r in op6.offending_sentences(df, model).collect())
+    assert [f[3] for f in found] == ["Été bad", " Worse é", " Bad"] and {f[0] for f in found} == {1}
+    assert all(text[start:end] == sentence for _, start, end, sentence in found)
+
+
 def test_noisy_or_adds_up_sentences():
     model = op6.Model({b"bad": 3.0}, -3.0)
     score = model.scorer()
