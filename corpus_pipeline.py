@@ -2,6 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a frame; ``run`` stores every
 stage as Parquet in the shared work folder and reads it again for the next one.
+Packing also stores the sequences with their ids there, as ``pipeline-sequences``.
 """
 
 from __future__ import annotations
@@ -29,7 +30,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return op3_packing.piece_columns(op3_packing.pack(docs))
+    packed = written(op3_packing.pack(docs), "pipeline-pieces")
+    written(op3_packing.sequences(packed), "pipeline-sequences")
+    return op3_packing.piece_columns(packed)
 
 
 STAGES = [

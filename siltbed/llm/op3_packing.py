@@ -1,7 +1,8 @@
 """Packing token ids into fixed-length sequences, shortest pack first over the length histogram.
 
 1. One pass over the texts gives the pieces of every document: as many full
-   sequences as it fills, and a rest. Only the numbers of a piece leave the task.
+   sequences as it fills, and a rest. Each is stored with its ids, four bytes
+   per id, which go with it to its place; ``sequences`` puts them together.
 2. The histogram of piece lengths has at most 4096 rows, whatever the input.
    Lengths are placed longest first, each in the pattern with the most room
    (the shortest pack); patterns carry counts, so a million equal pieces cost one
@@ -18,7 +19,6 @@ table gives no sequence. Other columns are not read.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import cache
@@ -112,31 +112,32 @@ def encoder(path: str | None = None) -> Callable[[bytes], np.ndarray]:
 
 
 def pieces(docs: DataFrame, sequence: int = SEQUENCE, path: str | None = None, key: str = "doc_id", column: str = "text") -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens per piece; only the last piece of a document is shorter than ``sequence``."""
+    """doc_id, start, length, ids (4 bytes each), doc_tokens per piece; only the last piece of a document is shorter than ``sequence``."""
 
     def compute() -> Callable[[list[bytes]], list[list]]:
         encode = encoder(path)
 
         def work(texts: list[bytes]) -> list[list]:
-            crcs, tokens = [], []
+            cut, tokens = [], []
             for text in texts:
                 ids = encode(text).tobytes() + CLOSING_ID.to_bytes(4, "little")
-                crcs.append([zlib.crc32(ids[at : at + 4 * sequence]) for at in range(0, len(ids), 4 * sequence)])
+                cut.append([ids[at : at + 4 * sequence] for at in range(0, len(ids), 4 * sequence)])
                 tokens.append(len(ids) // 4)
-            return [crcs, tokens]
+            return [cut, tokens]
 
         return work
 
-    fields = [T.StructField("crcs", T.ArrayType(T.LongType())), T.StructField("doc_tokens", T.LongType())]
+    fields = [T.StructField("ids", T.ArrayType(T.BinaryType())), T.StructField("doc_tokens", T.LongType())]
     found = with_text_columns(docs.select(F.col(key).alias("doc_id"), F.col(column).alias("text")), fields, compute)
-    each = found.select("doc_id", "_found.doc_tokens", F.posexplode("_found.crcs").alias("n", "ids_crc32"))
+    each = found.select("doc_id", "_found.doc_tokens", F.posexplode("_found.ids").alias("n", "ids"))
     start = (F.col("n") * sequence).cast("long")
     return each.select(
         "doc_id",
         start.alias("start"),
         F.least(F.lit(sequence).cast("long"), F.col("doc_tokens") - start).alias("length"),
-        "ids_crc32",
+        F.crc32("ids").alias("ids_crc32"),
         "doc_tokens",
+        "ids",
     )
 
 
@@ -241,9 +242,26 @@ def place(found: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
 
 
 def pack(docs: DataFrame, sequence: int = SEQUENCE, path: str | None = None, key: str = "doc_id", column: str = "text") -> DataFrame:
-    """One row per piece with its sequence and offset; ids themselves come from ``encoder`` where sequences are built."""
+    """One row per piece with its ids, sequence and offset."""
     return place(written(pieces(docs, sequence, path, key, column), "op3-pieces"), sequence)
 
 
+def sequences(packed: DataFrame) -> DataFrame:
+    """sequence_id, ids: the ids of each sequence in the order of their offsets."""
+    parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))
+    # A sequence has at most ``sequence`` ids, so a row is bounded.
+    whole = F.aggregate(parts, F.lit(b""), lambda left, part: F.concat(left, part["ids"]))
+    made = packed.groupBy("sequence_id").agg(whole.alias("ids"))
+    return made.mapInArrow(_as_arrays, "sequence_id long, ids array<int>")
+
+
+def _as_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        raw = [np.frombuffer(b, "<i4") for b in batch.column("ids").to_pylist()]
+        ids = pa.array(raw, pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([batch.column("sequence_id"), ids], ["sequence_id", "ids"])
+
+
 def piece_columns(packed: DataFrame) -> DataFrame:
-    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    """The columns of the contract; the checksum is that of the ids in the piece."""
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")

@@ -22,6 +22,7 @@ from siltbed.llm import op7_quality_rules as op7
 from siltbed.llm import op8_lm_scoring as op8
 from siltbed.llm import op9_near_dedup as op9
 from siltbed.llm import op10_quality_classifier as op10
+from siltbed.llm.common import written
 from siltbed.llm.labelled import labelled_sample
 from siltbed.llm.queries import QUERIES, SQL
 
@@ -174,6 +175,26 @@ def test_pack(docs, sequence):
         assert end <= sequence
 
 
+@pytest.mark.parametrize("sequence", [4096, 64])
+def test_sequences_hold_the_ids_of_every_document(docs, sequence):
+    packed = written(op3.pack(docs, sequence), "test-packed")
+    made = {r["sequence_id"]: r["ids"] for r in op3.sequences(packed).collect()}
+    assert all(0 < len(ids) <= sequence for ids in made.values())
+    encode = op3.encoder()
+    back, total = defaultdict(list), 0
+    for r in sorted(op3.piece_columns(packed).collect(), key=lambda r: r["start"]):
+        ids = made[r["sequence_id"]][r["offset"] : r["offset"] + r["length"]]
+        assert zlib.crc32(np.array(ids, "<u4").tobytes()) == r["ids_crc32"]
+        total += len(ids)
+        back[r["doc_id"]] += ids
+    rows = pairs(docs)
+    assert total == sum(map(len, made.values())) == sum(len(encode((t or "").encode())) + 1 for _, t in rows)
+    repeated = Counter(i for i, _ in rows)
+    for i, t in rows:
+        if repeated[i] == 1:
+            assert back[i] == [*encode((t or "").encode()).tolist(), 2]
+
+
 def test_patterns_leave_little_padding():
     random = np.random.default_rng(1)
     for lengths in (random.integers(1, 4097, 50_000), np.minimum(4096, random.lognormal(6.5, 1, 50_000).astype(int) + 1), np.full(1000, 3)):
