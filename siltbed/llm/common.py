@@ -33,6 +33,14 @@ def crc_fold(key: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def crc_sql(value: str) -> str:
+    """The crc32 of a value's text in DuckDB's SQL, which has none: eight steps per byte; NULL counts as empty text."""
+    step = "xor(xor(a, b) >> 1, 3988292384 * (xor(a, b) & 1))"
+    per_byte = "lambda c: CASE WHEN c = '' THEN []::BIGINT[] ELSE [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0] END"
+    letters = f"flatten(list_transform(string_split(coalesce(({value})::VARCHAR, ''), ''), {per_byte}))"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {letters}), lambda a, b: {step}), 4294967295)"
+
+
 def free_name(taken: list[str], wish: str) -> str:
     """A column name that no column has yet, whatever its case."""
     lower = {name.lower() for name in taken}
@@ -41,6 +49,42 @@ def free_name(taken: list[str], wish: str) -> str:
     return wish
 
 
+def quoted(names: list[str]) -> list[Column]:
+    """Columns by name, whatever signs a name holds."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in names]
+
+
+def with_arrow_columns(
+    df: DataFrame,
+    given: Column,
+    fields: list[T.StructField],
+    compute: Callable[[], Callable[[pa.Array], Iterator[tuple[slice, list[pa.Array]]]]],
+) -> DataFrame:
+    """The frame with more columns, computed from one column; all others pass through.
+
+    ``compute()`` runs once per task and gives a function from the values of a
+    batch to parts of it: which rows, and their new columns. Columns go by place, so
+    their names may hold any sign.
+    """
+    names = [*df.columns, *(f.name for f in fields)]
+    places = [f"c{n}" for n in range(len(names))]
+    taken = df.select(*[c.alias(p) for c, p in zip(quoted(df.columns), places)], given.alias("given"))
+    schema = T.StructType(
+        [T.StructField(p, f.dataType) for p, f in zip(places, [*df.schema.fields, *fields])]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = compute()
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            for rows, made in work(batch.column(batch.num_columns - 1)):
+                kept = [c.slice(rows.start, rows.stop - rows.start) for c in batch.columns[:-1]]
+                yield pa.RecordBatch.from_arrays([*kept, *made], places)
+
+    return taken.mapInArrow(run, schema).toDF(*names)
+
+
 def with_text_columns(
     df: DataFrame,
     fields: list[T.StructField],
@@ -53,25 +97,21 @@ def with_text_columns(
     ``compute()`` runs once per task and gives the function from a list of UTF-8
     texts (NULL: empty) to one list per field. All other columns pass through.
     """
-    name = free_name(df.columns, name)
-    text = free_name(df.columns, "_text_bytes")
-    given = df.withColumn(text, whole_text(column).cast("binary"))
-    struct = T.StructType(fields)
-    schema = T.StructType([*df.schema.fields, T.StructField(name, struct)])
     kinds = [_arrow_type(f.dataType) for f in fields]
     names = [f.name for f in fields]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = compute()
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            columns = work(batch.column(batch.num_columns - 1).to_pylist())
+    def work() -> Callable[[pa.Array], Iterator[tuple[slice, list[pa.Array]]]]:
+        found = compute()
+
+        def whole(texts: pa.Array) -> Iterator[tuple[slice, list[pa.Array]]]:
+            columns = found(texts.to_pylist())
             made = pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
-            arrays = [*batch.columns[:-1], made]
-            yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names[:-1], name])
+            yield slice(0, len(texts)), [made]
+
+        return whole
 
-    return given.mapInArrow(run, schema)
+    struct = T.StructField(free_name(df.columns, name), T.StructType(fields))
+    return with_arrow_columns(df, whole_text(column).cast("binary"), [struct], work)
 
 
 def _arrow_type(kind: T.DataType) -> pa.DataType:
@@ -122,9 +162,9 @@ def keep_rows(docs: DataFrame, chosen: DataFrame, key: str = "doc_id", column: s
     met = marked.join(
         small.hint("shuffle_hash"), marked[here].eqNullSafe(small[digest]) & marked[key].eqNullSafe(small[id_])
     )
-    single = met.filter(F.col(twins) == 1).select(*docs.columns)
+    single = met.filter(F.col(twins) == 1).select(*quoted(docs.columns))
     if chosen.filter(F.col("twins") > 1).isEmpty():
         return single
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    row = F.struct(*quoted(docs.columns))
     one = met.filter(F.col(twins) > 1).groupBy(id_, digest).agg(F.min(row).alias("_row"))
     return single.unionByName(one.select("_row.*"))

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltbed.llm.common import WORD, free_name, power_of_two, ranked, whole_text, written
+from siltbed.llm.common import WORD, free_name, power_of_two, quoted, ranked, whole_text, written
 
 #: Fixed values of the contract: weights by order of the sources, and the most epochs of a source.
 WEIGHTS = [5, 2, 1]
@@ -158,7 +158,7 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", column: str = "text",
     shown = repeated.withColumn(column, text)
     if "n_chars" in docs.columns:
         shown = shown.withColumn("n_chars", F.when(F.col(copy) == 0, F.length(column)).otherwise(F.col("n_chars")))
-    return shown.select(*docs.columns)
+    return shown.select(*quoted(docs.columns))
 
 
 SQL = r"""

@@ -19,7 +19,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.llm.common import free_name
+from siltbed.llm.common import free_name, quoted
 
 #: A prime, over 500 slots for each of the default shards, so that shares differ by less than 1 %.
 SLOTS = 65_537
@@ -72,7 +72,7 @@ def place(
     table = lookup(df.sparkSession, shards, slots, weights).toDF(slot, shard, name)
     text = F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("null"))
     slotted = df.withColumn(slot, F.pmod(F.xxhash64(text), F.lit(slots)).cast("int"))
-    return slotted.join(F.broadcast(table), slot).select(*df.columns, slot, shard, name)
+    return slotted.join(F.broadcast(table), slot).select(*quoted(df.columns), slot, shard, name)
 
 
 def write_shards(placed: DataFrame, path: str, shard: str = "shard") -> None:

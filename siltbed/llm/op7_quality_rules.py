@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltbed.llm.common import with_text_columns
+from siltbed.llm.common import quoted, with_text_columns
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_caps_words"]
 #: Fixed value of the contract.
@@ -136,7 +136,7 @@ def passes(failed: Column, policy: Policy, rules: list[Rule] = RULES) -> Column:
 def apply_policy(docs: DataFrame, policy: Policy = PRODUCTION, column: str = "text") -> DataFrame:
     """The documents that no rule of the policy rejects, with the input's columns."""
     judged = ledger(docs, column=column)
-    return judged.filter(passes(F.col(f"{judged.columns[-1]}.failed"), policy)).select(*docs.columns)
+    return judged.filter(passes(F.col(f"{judged.columns[-1]}.failed"), policy)).select(*quoted(docs.columns))
 
 
 def ablation(failed: DataFrame, policy: Policy = PRODUCTION, rules: list[Rule] = RULES) -> DataFrame:

@@ -17,6 +17,9 @@ from siltbed.llm import (
     op8_lm_scoring,
     op9_near_dedup,
     op10_quality_classifier,
+    op11_bpe,
+    op12_merkle,
+    op13_prefix_trie,
 )
 from siltbed.llm.common import table
 
@@ -82,3 +85,19 @@ def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_quality_classifier")
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op11_bpe")
+def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_bpe.digest_columns(op11_bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query("op12_merkle", op12_merkle.SQL)
+def merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return op12_merkle.manifest_columns(op12_merkle.manifest(docs, op12_merkle.without_line_breaks(docs)))
+
+
+@query("op13_prefix_trie", op13_prefix_trie.SQL)
+def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_prefix_trie.node_columns(op13_prefix_trie.prefix_trie(table(spark, sf_dir, "conversations")))

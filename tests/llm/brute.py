@@ -40,7 +40,7 @@ def awkward(spark):
     """The rows with further columns whose names the operators use inside."""
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
     df = spark.createDataFrame(awkward_rows(), schema)
-    for name in ("digest", "_found", "size", "rand", "range", "node", "rank", "kept", "_text_bytes", "twins", "set_no"):
+    for name in ("digest", "_found", "size", "rand", "range", "node", "rank", "kept", "_text_bytes", "twins", "set_no", "a.b"):
         df = df.selectExpr("*", f"'clash' AS `{name}`")
     return df
 

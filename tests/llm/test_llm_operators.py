@@ -51,7 +51,7 @@ def given(spark, name, sf_dir=SF_DIR):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, name):
     connection = duckdb.connect()
-    for t in ("documents", "labels"):
+    for t in ("documents", "labels", "conversations"):
         connection.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_DIR}/{t}.parquet'")
     ours, expected = QUERIES[name](spark, SF_DIR).toArrow(), connection.sql(SQL[name]).to_arrow_table()
     assert sorted(ours.column_names) == sorted(expected.column_names)
