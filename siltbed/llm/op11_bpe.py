@@ -45,7 +45,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Words up to this letter need no composing, and their letters, digits and blanks are known without the library.
 LAST_PLAIN = "ɏ"
 #: Bytes of words and fragments that a worker remembers, counting what Python needs for each.
-MEMORY = 48_000_000
+MEMORY = 220_000_000
 ENTRY = 130
 #: Longer words and fragments are not remembered.
 LONGEST_KNOWN = 64
@@ -216,12 +216,12 @@ def codec(path: str | None = None, memory: int = MEMORY) -> tuple[Callable[[byte
             start = stop
         return found[:-1]
 
-    def learn(new: list[bytes]) -> dict[bytes, bytes]:
-        """The ids of new words; all their pieces are cut at once."""
+    def learn(new: list[bytes], marked: bool) -> dict[bytes, bytes]:
+        """The ids of new words; all their pieces are cut at once. ``marked``: a word may hold an added token."""
         parts: list[list[bytes | int]] = []
         for word in new:
             text = word.decode("utf-8", "replace")
-            if any(m in word for m in marks):
+            if marked and any(m in word for m in marks):
                 of_word: list[bytes | int] = []
                 for part in added.split(text):
                     of_word += [vocabulary.added[part]] if part in vocabulary.added else pieces_of(part) if part else []
@@ -246,7 +246,8 @@ def codec(path: str | None = None, memory: int = MEMORY) -> tuple[Callable[[byte
             of_part = part.split()
             ids = list(map(words.get, of_part))
             if None in ids:
-                new = learn(list({w for w, i in zip(of_part, ids) if i is None}))
+                marked = any(m in part for m in marks)
+                new = learn(list({w for w, i in zip(of_part, ids) if i is None}), marked)
                 ids = [new[w] if i is None else i for w, i in zip(of_part, ids)]
                 words.forget()
             made.append(b"".join(ids))
