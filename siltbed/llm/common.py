@@ -85,6 +85,17 @@ def with_arrow_columns(
     return taken.mapInArrow(run, schema).toDF(*names)
 
 
+#: Bytes of text that are worked on, and sent back, at once.
+PART = 1 << 22
+
+
+def in_parts(values: pa.Array, size: int = PART) -> Iterator[slice]:
+    """Rows of a batch in parts of about ``size`` bytes, so that what is made of them stays small."""
+    step = max(1, int(len(values) * size / max(1, values.nbytes)))
+    for at in range(0, len(values), step):
+        yield slice(at, min(at + step, len(values)))
+
+
 def with_text_columns(
     df: DataFrame,
     fields: list[T.StructField],
@@ -96,6 +107,7 @@ def with_text_columns(
 
     ``compute()`` runs once per task and gives the function from a list of UTF-8
     texts (NULL: empty) to one list per field. All other columns pass through.
+    Texts are whole; a batch goes in parts.
     """
     kinds = [_arrow_type(f.dataType) for f in fields]
     names = [f.name for f in fields]
@@ -103,12 +115,12 @@ def with_text_columns(
     def work() -> Callable[[pa.Array], Iterator[tuple[slice, list[pa.Array]]]]:
         found = compute()
 
-        def whole(texts: pa.Array) -> Iterator[tuple[slice, list[pa.Array]]]:
-            columns = found(texts.to_pylist())
-            made = pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
-            yield slice(0, len(texts)), [made]
+        def parts(texts: pa.Array) -> Iterator[tuple[slice, list[pa.Array]]]:
+            for rows in in_parts(texts):
+                columns = found(texts.slice(rows.start, rows.stop - rows.start).to_pylist())
+                yield rows, [pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)]
 
-        return whole
+        return parts
 
     struct = T.StructField(free_name(df.columns, name), T.StructType(fields))
     return with_arrow_columns(df, whole_text(column).cast("binary"), [struct], work)

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltbed.llm.common import free_name, quoted, whole_text, with_arrow_columns
+from siltbed.llm.common import free_name, in_parts, quoted, whole_text, with_arrow_columns
 
 #: Fixed value of the contract.
 VOCABULARY = "word_bpe_49k.json"
@@ -277,10 +277,8 @@ def _in_parts(work: Callable[[], Callable[[pa.Array], list[pa.Array]]], size: in
         of_part = work()
 
         def parts(values: pa.Array) -> Iterator[tuple[slice, list[pa.Array]]]:
-            step = max(1, int(len(values) * size / max(1, values.nbytes)))
-            for at in range(0, len(values), step):
-                some = values.slice(at, step)
-                yield slice(at, at + len(some)), of_part(some)
+            for rows in in_parts(values, size):
+                yield rows, of_part(values.slice(rows.start, rows.stop - rows.start))
 
         return parts
 

@@ -1,8 +1,9 @@
 """Packing token ids into fixed-length sequences, shortest pack first over the length histogram.
 
 1. One pass over the texts gives the pieces of every document: as many full
-   sequences as it fills, and a rest. Each is stored with its ids, four bytes
-   per id, which go with it to its place; ``sequences`` puts them together.
+   sequences as it fills, and a rest. Each is stored with its ids, two bytes per id
+   where the vocabulary allows, which go with it to its place; ``sequences`` puts
+   them together.
 2. The histogram of piece lengths has at most 4096 rows, whatever the input.
    Lengths are placed longest first, each in the pattern with the most room
    (the shortest pack); patterns carry counts, so a million equal pieces cost one
@@ -19,6 +20,7 @@ table gives no sequence. Other columns are not read.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import cache
@@ -35,8 +37,9 @@ SEQUENCE = 4096
 #: Fixed values of the contract: the vocabulary and the id that closes a document.
 VOCABULARY = "word_bpe_49k.json"
 CLOSING_ID = 2
-#: A worker remembers the ids of about so many words, and of as many it used before.
-REMEMBERED = 300_000
+#: Bytes of words and their ids that a worker remembers, counting what Python needs for each.
+MEMORY = 160_000_000
+ENTRY = 150
 #: New words that are encoded as one text.
 TOGETHER = 512
 #: Words whose ids are those of the letters in lower case, then those of the signs.
@@ -45,6 +48,11 @@ PLAIN = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]*)([.,;:!?*#$%&|]*)")
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
+def id_type(size: int) -> np.dtype:
+    """How ids of a vocabulary are stored while they travel."""
+    return np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
+
+
 def vocabulary_path() -> str:
     import public_tokenizers
 
@@ -52,7 +60,7 @@ def vocabulary_path() -> str:
 
 
 @cache
-def encoder(path: str | None = None) -> Callable[[bytes], np.ndarray]:
+def encoder(path: str | None = None, memory: int = MEMORY) -> Callable[[bytes], np.ndarray]:
     """Ids of a whole text; one encoder serves all tasks of a worker.
 
     The vocabulary's merges never cross white space, nor the border between
@@ -63,56 +71,61 @@ def encoder(path: str | None = None) -> Callable[[bytes], np.ndarray]:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path or vocabulary_path())
-    known, older = {}, {}
+    known: dict[str, bytes] = {}
+    kind = id_type(tokenizer.get_vocab_size())
+    used = 0
 
     def ids_of(text: str) -> bytes:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def learn(words: list[str]) -> None:
-        """Remember the ids of words: from before, from their plain form, or from the tokenizer."""
-        nonlocal known, older
-        if len(known) > REMEMBERED:
-            known, older = {}, known
-        new, plain = [], {}
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, kind).tobytes()
+
+    def learn(words: list[str]) -> dict[str, bytes]:
+        """The ids of new words, from their plain form or from the tokenizer; the memory starts again when it is full."""
+        nonlocal used
+        if used > memory:
+            known.clear()
+            used = 0
+        found: dict[str, bytes] = {}
+        new, plain = {}, {}
         for word in words:
-            if word in older:
-                known[word] = older[word]
-                continue
             m = PLAIN.fullmatch(word)
             if m:
-                parts = plain[word] = [part for part in (m[1].lower(), m[2]) if part]
-                new += [part for part in parts if part not in known]
+                plain[word] = parts = [part for part in (m[1].lower(), m[2]) if part]
+                new.update(dict.fromkeys(part for part in parts if part not in known))
             else:
                 # Whatever a word may hold, alone it is encoded as in its text.
-                known[word] = ids_of(word)
-        new = list(dict.fromkeys(new))
+                found[word] = ids_of(word)
+        new = list(new)
         for at in range(0, len(new), TOGETHER):
             some = new[at : at + TOGETHER]
-            found = tokenizer.encode(" ".join(some), add_special_tokens=False)
+            made = tokenizer.encode(" ".join(some), add_special_tokens=False)
             # Letters alone, or signs alone, are one unit to the tokenizer.
-            cuts = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(some) + 1)) * 4
-            ids = np.array(found.ids, "<u4").tobytes()
+            cuts = (np.searchsorted(np.array(made.word_ids, np.int64), np.arange(len(some) + 1)) * kind.itemsize).tolist()
+            ids = np.array(made.ids, kind).tobytes()
             for word, start, end in zip(some, cuts[:-1], cuts[1:]):
-                known[word] = ids[start:end]
+                found[word] = ids[start:end]
         for word, parts in plain.items():
-            known[word] = b"".join([known[part] for part in parts])
+            if word not in found:
+                found[word] = b"".join([found[part] if part in found else known[part] for part in parts])
+        known.update(found)
+        used += sum(ENTRY + 2 * len(word) + len(ids) for word, ids in found.items())
+        return found
 
     def encode(raw: bytes) -> np.ndarray:
         text = raw.decode("utf-8", "replace")
         if any(c in text for c in SEPARATORS):
-            return np.frombuffer(ids_of(text), "<u4")
+            return np.frombuffer(ids_of(text), kind)
         words = text.split()
         found = list(map(known.get, words))
         if None in found:
-            learn(list({w for w, ids in zip(words, found) if ids is None}))
-            found = [known[w] if ids is None else ids for w, ids in zip(words, found)]
-        return np.frombuffer(b"".join(found), "<u4")
+            new = learn(list({w for w, ids in zip(words, found) if ids is None}))
+            found = [new[w] if ids is None else ids for w, ids in zip(words, found)]
+        return np.frombuffer(b"".join(found), kind)
 
     return encode
 
 
 def pieces(docs: DataFrame, sequence: int = SEQUENCE, path: str | None = None, key: str = "doc_id", column: str = "text") -> DataFrame:
-    """doc_id, start, length, ids (4 bytes each), doc_tokens per piece; only the last piece of a document is shorter than ``sequence``."""
+    """doc_id, start, length, doc_tokens and ids (2 bytes each, or 4) per piece; only the last piece of a document is shorter than ``sequence``."""
 
     def compute() -> Callable[[list[bytes]], list[list]]:
         encode = encoder(path)
@@ -120,9 +133,11 @@ def pieces(docs: DataFrame, sequence: int = SEQUENCE, path: str | None = None, k
         def work(texts: list[bytes]) -> list[list]:
             cut, tokens = [], []
             for text in texts:
-                ids = encode(text).tobytes() + CLOSING_ID.to_bytes(4, "little")
-                cut.append([ids[at : at + 4 * sequence] for at in range(0, len(ids), 4 * sequence)])
-                tokens.append(len(ids) // 4)
+                ids = encode(text)
+                width = ids.itemsize
+                whole = ids.tobytes() + CLOSING_ID.to_bytes(width, "little")
+                cut.append([whole[at : at + width * sequence] for at in range(0, len(whole), width * sequence)])
+                tokens.append(len(whole) // width)
             return [cut, tokens]
 
         return work
@@ -135,7 +150,7 @@ def pieces(docs: DataFrame, sequence: int = SEQUENCE, path: str | None = None, k
         "doc_id",
         start.alias("start"),
         F.least(F.lit(sequence).cast("long"), F.col("doc_tokens") - start).alias("length"),
-        F.crc32("ids").alias("ids_crc32"),
+        F.crc32("ids").alias("stored_crc32"),
         "doc_tokens",
         "ids",
     )
@@ -200,12 +215,12 @@ def pattern_table(patterns: list[tuple[int, list[tuple[int, int]]]]) -> np.ndarr
 
 
 def place(found: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
-    """Stored pieces with sequence_id and offset."""
+    """Stored pieces with ids_crc32, sequence_id and offset."""
     histogram = {r["length"]: r["n"] for r in found.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     table = pattern_table(pack_patterns(histogram, sequence))
     bits = power_of_two(sum(histogram.values()) ** 0.5)
     dealt = found.withColumn(
-        "range", F.shiftright(F.abs(F.xxhash64("doc_id", "start", "ids_crc32")), 63 - bits) if bits else F.lit(0).cast("long")
+        "range", F.shiftright(F.abs(F.xxhash64("doc_id", "start", "stored_crc32")), 63 - bits) if bits else F.lit(0).cast("long")
     )
     before = Window.partitionBy("length").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -213,16 +228,14 @@ def place(found: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
         .select("length", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     )
-    inside = Window.partitionBy("length", "range").orderBy("doc_id", "start", "ids_crc32", "doc_tokens")
+    inside = Window.partitionBy("length", "range").orderBy("doc_id", "start", "stored_crc32", "doc_tokens")
     ranked = (
         dealt.join(starts, ["length", "range"])
         .withColumn("rank", F.col("base") + F.row_number().over(inside) - 1)
         .drop("range", "base")
     )
-    schema = T.StructType(
-        [f for f in ranked.schema.fields if f.name != "rank"]
-        + [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
-    )
+    made_here = [T.StructField(name, T.LongType()) for name in ("ids_crc32", "sequence_id", "offset")]
+    schema = T.StructType([f for f in ranked.schema.fields if f.name not in ("rank", "stored_crc32")] + made_here)
     # Ranks of one length lie below 2 ** 50.
     keys = (table[:, 0] << 50) + table[:, 1]
 
@@ -234,8 +247,11 @@ def place(found: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
             rank = batch.column("rank").to_numpy(zero_copy_only=False)
             row = table[np.searchsorted(keys, (length << 50) + rank, "right") - 1]
             pack, nth = np.divmod(rank - row[:, 1], row[:, 2])
-            arrays = [batch.column(f.name) for f in schema.fields[:-2]]
-            made = [pa.array(row[:, 3] + pack), pa.array(row[:, 4] + nth * length)]
+            arrays = [batch.column(f.name) for f in schema.fields[:-3]]
+            # The checksum of the ids that arrived here, four bytes each.
+            ids = map(widened, batch.column("ids").to_pylist(), length.tolist())
+            sums = pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64())
+            made = [sums, pa.array(row[:, 3] + pack), pa.array(row[:, 4] + nth * length)]
             yield pa.RecordBatch.from_arrays([*arrays, *made], schema.names)
 
     return ranked.mapInArrow(run, schema)
@@ -246,22 +262,27 @@ def pack(docs: DataFrame, sequence: int = SEQUENCE, path: str | None = None, key
     return place(written(pieces(docs, sequence, path, key, column), "op3-pieces"), sequence)
 
 
+def widened(raw: bytes, count: int) -> np.ndarray:
+    """Stored ids of a known number as 4-byte numbers."""
+    return np.frombuffer(raw, f"<u{len(raw) // count}").astype("<u4") if count else np.empty(0, "<u4")
+
+
 def sequences(packed: DataFrame) -> DataFrame:
     """sequence_id, ids: the ids of each sequence in the order of their offsets."""
     parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))
     # A sequence has at most ``sequence`` ids, so a row is bounded.
     whole = F.aggregate(parts, F.lit(b""), lambda left, part: F.concat(left, part["ids"]))
-    made = packed.groupBy("sequence_id").agg(whole.alias("ids"))
+    made = packed.groupBy("sequence_id").agg(F.sum("length").alias("length"), whole.alias("ids"))
     return made.mapInArrow(_as_arrays, "sequence_id long, ids array<int>")
 
 
 def _as_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        raw = [np.frombuffer(b, "<i4") for b in batch.column("ids").to_pylist()]
-        ids = pa.array(raw, pa.list_(pa.int32()))
+        raw = map(widened, batch.column("ids").to_pylist(), batch.column("length").to_pylist())
+        ids = pa.array([x.view("<i4") for x in raw], pa.list_(pa.int32()))
         yield pa.RecordBatch.from_arrays([batch.column("sequence_id"), ids], ["sequence_id", "ids"])
 
 
 def piece_columns(packed: DataFrame) -> DataFrame:
-    """The columns of the contract; the checksum is that of the ids in the piece."""
-    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    """The columns of the contract."""
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
