@@ -38,12 +38,14 @@ SEQUENCE = 4096
 VOCABULARY = "word_bpe_49k.json"
 CLOSING_ID = 2
 #: Bytes of words and their ids that a worker remembers, counting what Python needs for each.
-MEMORY = 160_000_000
+MEMORY = 200_000_000
 ENTRY = 150
+#: Bytes of text whose words are looked up together: enough to encode new words as one, few enough to stay in a core's cache.
+BUNDLE = 1 << 16
 #: New words that are encoded as one text.
-TOGETHER = 512
-#: Words whose ids are those of the letters in lower case, then those of the signs.
-PLAIN = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]*)([.,;:!?*#$%&|]*)")
+TOGETHER = 1024
+#: Lower-cased words, one a line, whose ids are those of the letters, then those of the signs; other words give neither.
+PLAIN = re.compile(r"^(?:([a-z\xdf-\xf6\xf8-\xff]*)([.,;:!?*#$%&|]*)|.+)$", re.MULTILINE)
 #: ASCII separators that are white space to ``str.split`` but not to the tokenizer.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 
@@ -59,9 +61,15 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def encoder(path: str | None = None) -> Callable[[bytes], np.ndarray]:
+    """Ids of one whole text."""
+    encode = batch_encoder(path)
+    return lambda text: encode([text])[0]
+
+
 @cache
-def encoder(path: str | None = None, memory: int = MEMORY) -> Callable[[bytes], np.ndarray]:
-    """Ids of a whole text; one encoder serves all tasks of a worker.
+def batch_encoder(path: str | None = None, memory: int = MEMORY) -> Callable[[list[bytes]], list[np.ndarray]]:
+    """Ids of whole texts; one encoder serves all tasks of a worker.
 
     The vocabulary's merges never cross white space, nor the border between
     letters and signs, and know no capitals. So ids are remembered by plain word,
@@ -78,62 +86,79 @@ def encoder(path: str | None = None, memory: int = MEMORY) -> Callable[[bytes],
     def ids_of(text: str) -> bytes:
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, kind).tobytes()
 
+    def encoded(parts: list[str], found: dict[str, bytes]) -> None:
+        """Letters alone, or signs alone, are one unit to the tokenizer, so many of them are one text to it."""
+        for at in range(0, len(parts), TOGETHER):
+            some = parts[at : at + TOGETHER]
+            made = tokenizer.encode(" ".join(some), add_special_tokens=False)
+            cuts = (np.searchsorted(np.array(made.word_ids, np.int64), np.arange(len(some) + 1)) * kind.itemsize).tolist()
+            ids = np.array(made.ids, kind).tobytes()
+            found.update(zip(some, [ids[a:b] for a, b in zip(cuts, cuts[1:])]))
+
     def learn(words: list[str]) -> dict[str, bytes]:
-        """The ids of new words, from their plain form or from the tokenizer; the memory starts again when it is full."""
+        """The ids of new words, from their plain parts or from the tokenizer; the memory starts again when it is full."""
         nonlocal used
         if used > memory:
             known.clear()
             used = 0
+        plain = PLAIN.findall("\n".join(words).lower())
         found: dict[str, bytes] = {}
-        new, plain = {}, {}
-        for word in words:
-            m = PLAIN.fullmatch(word)
-            if m:
-                plain[word] = parts = [part for part in (m[1].lower(), m[2]) if part]
-                new.update(dict.fromkeys(part for part in parts if part not in known))
+        encoded(list(dict.fromkeys(p for parts in plain for p in parts if p and p not in known)), found)
+        used += sum(map(len, found)) + len(found) * ENTRY
+        known.update(found)
+        for word, (letters, signs) in zip(words, plain):
+            if letters:
+                found[word] = known[letters] + known[signs] if signs else known[letters]
+            elif signs:
+                found[word] = known[signs]
             else:
                 # Whatever a word may hold, alone it is encoded as in its text.
                 found[word] = ids_of(word)
-        new = list(new)
-        for at in range(0, len(new), TOGETHER):
-            some = new[at : at + TOGETHER]
-            made = tokenizer.encode(" ".join(some), add_special_tokens=False)
-            # Letters alone, or signs alone, are one unit to the tokenizer.
-            cuts = (np.searchsorted(np.array(made.word_ids, np.int64), np.arange(len(some) + 1)) * kind.itemsize).tolist()
-            ids = np.array(made.ids, kind).tobytes()
-            for word, start, end in zip(some, cuts[:-1], cuts[1:]):
-                found[word] = ids[start:end]
-        for word, parts in plain.items():
-            if word not in found:
-                found[word] = b"".join([found[part] if part in found else known[part] for part in parts])
+        used += sum(map(len, words)) + len(words) * ENTRY
         known.update(found)
-        used += sum(ENTRY + 2 * len(word) + len(ids) for word, ids in found.items())
         return found
 
-    def encode(raw: bytes) -> np.ndarray:
-        text = raw.decode("utf-8", "replace")
-        if any(c in text for c in SEPARATORS):
-            return np.frombuffer(ids_of(text), kind)
-        words = text.split()
+    def encode(texts: list[bytes]) -> list[np.ndarray]:
+        decoded = [raw.decode("utf-8", "replace") for raw in texts]
+        odd = [any(c in text for c in SEPARATORS) for text in decoded]
+        words, stops = [], [0]
+        for text, whole in zip(decoded, odd):
+            words += [] if whole else text.split()
+            stops.append(len(words))
         found = list(map(known.get, words))
         if None in found:
             new = learn(list({w for w, ids in zip(words, found) if ids is None}))
             found = [new[w] if ids is None else ids for w, ids in zip(words, found)]
-        return np.frombuffer(b"".join(found), kind)
+        return [
+            np.frombuffer(ids_of(text) if whole else b"".join(found[a:b]), kind)
+            for text, whole, a, b in zip(decoded, odd, stops, stops[1:])
+        ]
 
     return encode
 
 
+def bundles(texts: list[bytes], size: int = BUNDLE) -> Iterator[list[bytes]]:
+    """The texts in order, several together up to about ``size`` bytes."""
+    some, held = [], 0
+    for text in texts:
+        some.append(text)
+        held += len(text)
+        if held >= size:
+            yield some
+            some, held = [], 0
+    if some:
+        yield some
+
+
 def pieces(docs: DataFrame, sequence: int = SEQUENCE, path: str | None = None, key: str = "doc_id", column: str = "text") -> DataFrame:
     """doc_id, start, length, doc_tokens and ids (2 bytes each, or 4) per piece; only the last piece of a document is shorter than ``sequence``."""
 
     def compute() -> Callable[[list[bytes]], list[list]]:
-        encode = encoder(path)
+        encode = batch_encoder(path)
 
         def work(texts: list[bytes]) -> list[list]:
             cut, tokens = [], []
-            for text in texts:
-                ids = encode(text)
+            for ids in (ids for some in bundles(texts) for ids in encode(some)):
                 width = ids.itemsize
                 whole = ids.tobytes() + CLOSING_ID.to_bytes(width, "little")
                 cut.append([whole[at : at + width * sequence] for at in range(0, len(whole), width * sequence)])
