@@ -39,15 +39,21 @@ def pick(record: str, fields: Fields, strict: bool) -> list[Column]:
     ]
 
 
-# One value between two brackets, and a mark that is only reached if nothing else stands there.
-_WRAPPED = T.StructType([T.StructField("v", T.ArrayType(T.StringType())), T.StructField("end", T.IntegerType())])
+# One value between two brackets, and after a key, each with a mark that is only reached if nothing else stands there.
+_IN_ARRAY = T.StructType([T.StructField("v", T.ArrayType(T.StringType())), T.StructField("end", T.IntegerType())])
+_AFTER_KEY = T.StructType([T.StructField("end", T.IntegerType())])
 _STRICT = {"maxStringLen": str(2**31 - 1), "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
 def is_json(text: Column) -> Column:
-    """Whether a text is one JSON value of any size; repeated keys are allowed. One parse."""
-    wrapped = F.from_json(F.concat(F.lit('{"v":['), text, F.lit('],"end":1}')), _WRAPPED, _STRICT)
-    return F.coalesce((F.size(wrapped["v"]) == 1) & (wrapped["end"] == 1), F.lit(False))
+    """Whether a text is one JSON value of any size; repeated keys are allowed.
+
+    A text that closes the array around it to write more than one value is
+    malformed after a key, and the other way round, so it takes both parses.
+    """
+    array = F.from_json(F.concat(F.lit('{"v":['), text, F.lit('],"end":1}')), _IN_ARRAY, _STRICT)
+    value = F.from_json(F.concat(F.lit('{"v":'), text, F.lit(',"end":1}')), _AFTER_KEY, _STRICT)
+    return F.coalesce((F.size(array["v"]) == 1) & (array["end"] == 1) & (value["end"] == 1), F.lit(False))
 
 
 def starts_like_object(text: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltbed.operators.as_of import as_of_join
 from siltbed.operators.merge import join_on, latest_per_key
 
 META = ["scd_id", "updated_at", "valid_from", "valid_to"]
@@ -167,3 +168,38 @@ def replay(
         "valid_from",
         F.coalesce("_next", "_later").alias("valid_to"),
     )
+
+
+def insert_late(
+    history: DataFrame,
+    late: DataFrame,
+    staged: DataFrame,
+    keys: list[str],
+    checks: list[str],
+    at: str,
+    bucket: str = "day",
+) -> DataFrame:
+    """The history that ``replay`` made of ``staged``, after loads that arrived late: as if all had come in order.
+
+    A late record splits the version it falls into: its values hold until the next
+    staged record of the key, which may bring the old ones back. Where neighbours
+    agree, versions are stitched together. Staged records are read for the late keys
+    only, and of these the two that follow a late record; versions of all other
+    keys pass through untouched.
+    """
+    late = late.filter(F.col(at).isNotNull())
+    touched = late.select(*keys).distinct()
+    points = late.select(*keys, at, *checks)
+    observed = join_on(staged.select(*keys, at, *checks), touched, keys, "left_semi")
+    # Ties of an instant go by the larger values, as in a replay.
+    observed = observed.groupBy(*keys, at).agg(F.max(F.struct(*checks)).alias("_state")).select(*keys, at, "_state.*")
+    wanted = {f"_c{n}": c for n, c in enumerate([at, *checks])}
+    asked = points.select(*keys, at).distinct()
+    for exact in (True, False):
+        # The record of the same instant, and the one that ends the late values.
+        after = as_of_join(asked, observed, keys, at, at, wanted, bucket=bucket, forward=True, exact=exact)
+        found = after.filter(F.col("_c0").isNotNull()).select(*keys, *[F.col(new).alias(c) for new, c in wanted.items()])
+        points = points.unionByName(found)
+    of_touched = join_on(history, touched, keys, "left_semi").select(*keys, F.col("valid_from").alias(at), *checks)
+    rebuilt = replay(of_touched.unionByName(points), keys, checks, at, bucket)
+    return join_on(history, touched, keys, "left_anti").unionByName(rebuilt.select(*history.columns))

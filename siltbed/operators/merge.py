@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     """UNION ALL by name, joined pairwise: every union analyses all it holds once more."""
+    if not frames:
+        raise ValueError("nothing to unite")
     if len(frames) == 1:
         return frames[0]
     half = len(frames) // 2

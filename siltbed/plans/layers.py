@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.operators.checks import Check, run_checks
+from siltbed.operators.checks import REPORT, Check, run_checks
 from siltbed.operators.merge import union_all
 from siltbed.sources.tables import VersionedTable
 
@@ -120,6 +120,8 @@ class Layers:
         """All declared checks of the models' tables as one report."""
         frames = dict(zip([m.key for m in models], _at_once(self.read, [m.key for m in models])))
         tested = [m for m in models if m.checks]
+        if not tested:
+            return self.spark.createDataFrame([], f"layer string, table_name string, {REPORT}")
         reports = _at_once(lambda m: run_checks(frames[m.key], list(m.checks), frames), tested)
         return union_all(
             [

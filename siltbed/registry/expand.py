@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from siltbed.operators.expand import expand_csv, expand_lines, expand_nested_records, expand_records
 from siltbed.registry.core import payload_rows, query
+from siltbed.registry.landing import block_of
 
 
 @query(
@@ -164,3 +165,66 @@ def lines_ordinality(spark, sf_dir):
         F.char_length("line").cast("bigint").alias("n_chars"),
         F.sha2("line", 256).alias("line_hash"),
     )
+
+
+@query(
+    "csv_records",
+    r"""
+    SELECT doc_id // 1000 AS block, row_number() OVER (PARTITION BY doc_id // 1000 ORDER BY doc_id) + 1 AS row_number,
+           doc_id, sha256(text) AS text_hash, coalesce(source, '') || ' 5" disk' AS note, 'say "hi", ' || coalesce(lang, '') AS quoted
+    FROM documents
+    """,
+)
+def csv_records_query(spark, sf_dir):
+    """A thousand documents as one CSV payload: quoted texts of several lines, quotes inside plain cells, and payloads
+    that several tasks expand."""
+
+    def cell(value):
+        return F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
+
+    block = block_of("doc_id").alias("block")
+    line = F.concat_ws(
+        ",",
+        F.col("doc_id").cast("string"),
+        cell(F.col("text")),
+        F.concat(F.coalesce("source", F.lit("")), F.lit(' 5" disk')),
+        cell(F.concat(F.lit('say "hi", '), F.coalesce("lang", F.lit("")))),
+    )
+    lines = F.array_sort(F.collect_list(F.struct("doc_id", line.alias("line"))))["line"]
+    documents = payload_rows(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
+    raw = documents.groupBy(block).agg(F.concat(F.lit("doc_id,text,note,quoted\r\n"), F.array_join(lines, "\r\n")).alias("raw_payload"))
+    columns = {"doc_id": "bigint", "text": "string", "note": "string", "quoted": "string"}
+    records = expand_csv(raw, columns, ["block"], part_bytes=1 << 18)
+    return records.select("block", "row_number", "doc_id", F.sha2("text", 256).alias("text_hash"), "note", "quoted")
+
+
+@query(
+    "json_split_large",
+    r"""
+    SELECT o_orderkey // 1000 AS block, o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS day, o_totalprice AS price,
+           'a]},"\' || o_orderpriority AS note
+    FROM orders
+    """,
+)
+def json_split_large(spark, sf_dir):
+    """A thousand order keys as one JSON payload with keys before and after its records, expanded by several tasks."""
+    record = F.struct(
+        F.col("o_orderkey").alias("id"),
+        F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.array(F.lit(1), F.lit(2)).alias("other")).alias("at"),
+        F.col("o_totalprice").cast("string").alias("price"),
+        F.concat(F.lit('a]},"\\'), "o_orderpriority").alias("note"),
+    )
+    orders = payload_rows(spark, sf_dir, "orders", "o_orderkey", "o_orderdate", "o_totalprice", "o_orderpriority")
+    envelope = F.struct(
+        F.struct(F.lit("shop,[").alias("name"), F.array(F.lit("x")).alias("tags")).alias("source"),
+        F.collect_list(record).alias("records"),
+        F.array(F.struct(F.lit(0).alias("id"))).alias("trailer"),
+    )
+    raw = orders.groupBy(block_of("o_orderkey").alias("block")).agg(F.to_json(envelope).alias("raw_payload"))
+    fields = {
+        "order_id": ("id", "bigint"),
+        "day": ("at.day", "date"),
+        "price": ("price", "double"),
+        "note": ("note", "string"),
+    }
+    return expand_records(raw, "records", fields, ["block"], part_bytes=1 << 14)

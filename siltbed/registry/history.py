@@ -3,6 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siltbed.operators import history
+from siltbed.operators.as_of import as_of_join
 from siltbed.plans.prices import read_history, record_history
 from siltbed.registry.core import given, instant, plain_time, query
 from siltbed.session import work_dir
@@ -166,9 +167,7 @@ def scd2_stored(spark, sf_dir):
     return shown(read_history(table))
 
 
-@query(
-    "scd2_replay",
-    """
+REPLAYED = """
     WITH states AS (
         SELECT user_id, ts, max(event_type) AS event_type FROM events GROUP BY user_id, ts),
     changes AS (
@@ -178,8 +177,47 @@ def scd2_stored(spark, sf_dir):
     SELECT sha256(concat_ws('|', user_id::VARCHAR, strftime(ts, '%Y-%m-%d %H:%M:%S.%f'))) AS scd_id,
            user_id, event_type, ts AS valid_from, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS valid_to
     FROM changes
-    """,
-)
+"""
+
+
+@query("scd2_replay", REPLAYED)
 def scd2_replay(spark, sf_dir):
     """All versions of every user's last event type, built from all events at once."""
     return history.replay(given(spark, sf_dir, "events"), ["user_id"], ["event_type"], "ts")
+
+
+def stored(versions):
+    """History as it lies between two loads."""
+    folder = work_dir(versions.sparkSession, "history")
+    versions.write.parquet(folder)
+    return versions.sparkSession.read.schema(versions.schema).parquet(folder)
+
+
+@query("scd2_out_of_order", REPLAYED)
+def scd2_out_of_order(spark, sf_dir):
+    """The same from three loads in the wrong order: two thirds of the events come late, and land in the past."""
+    events = given(spark, sf_dir, "events")
+    third = F.pmod(F.coalesce("event_id", F.lit(0)), F.lit(3))
+    first, second, last = (events.filter(third == n) for n in (1, 2, 0))
+    versions = stored(history.replay(first, ["user_id"], ["event_type"], "ts"))
+    versions = stored(history.insert_late(versions, second, first, ["user_id"], ["event_type"], "ts"))
+    return history.insert_late(versions, last, first.unionByName(second), ["user_id"], ["event_type"], "ts")
+
+
+@query(
+    "as_of_join",
+    """
+    SELECT f.l_orderkey, f.l_linenumber, f.l_partkey, f.l_shipdate, v.since, v.discount
+    FROM (SELECT * FROM lineitem WHERE l_returnflag IS DISTINCT FROM 'R') f
+    ASOF LEFT JOIN (SELECT l_partkey, l_shipdate AS since, max(l_discount) AS discount
+                    FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL) v
+    ON f.l_partkey = v.l_partkey AND f.l_shipdate >= v.since
+    """,
+)
+def as_of_join_query(spark, sf_dir):
+    """Every line with the discount of its part's last returned line at that time."""
+    lines = given(spark, sf_dir, "lineitem")
+    returned = lines.filter("l_returnflag = 'R'").select("l_partkey", "l_shipdate", "l_discount")
+    facts = lines.filter("NOT l_returnflag <=> 'R'").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+    columns = {"since": "l_shipdate", "discount": "l_discount"}
+    return as_of_join(facts, returned, ["l_partkey"], "l_shipdate", "l_shipdate", columns, bucket="quarter")

@@ -95,13 +95,21 @@ def test_accepted_values(spark, sf_dir):
         "doc_id",
         "SELECT count(*) FROM documents",
         "SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
+    )
+    + " UNION ALL "
+    + check_sql(
+        "relationships",
+        "doc_id",
+        "SELECT count(*) FROM documents",
+        "SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT page_id FROM pages)",
     ),
 )
 def test_relationships(spark, sf_dir):
+    """Two parents of one column are two checks."""
     return run_checks(
         given(spark, sf_dir, "documents"),
-        [Relationship("doc_id", "labels", "doc_id")],
-        {"labels": given(spark, sf_dir, "labels")},
+        [Relationship("doc_id", "labels", "doc_id"), Relationship("doc_id", "pages", "page_id")],
+        {"labels": given(spark, sf_dir, "labels"), "pages": given(spark, sf_dir, "pages")},
     )
 
 
@@ -120,13 +128,23 @@ def test_relationships(spark, sf_dir):
         "SELECT count(*) FROM lineitem WHERE l_returnflag = 'R'",
         "SELECT count(*) FROM (SELECT 1 FROM lineitem WHERE l_returnflag = 'R'"
         " GROUP BY l_orderkey, l_partkey, l_suppkey HAVING count(*) > 1)",
+    )
+    + " UNION ALL "
+    + check_sql(
+        "unique_combination",
+        "l_orderkey, l_partkey, l_suppkey",
+        "SELECT count(*) FROM lineitem",
+        "SELECT count(*) FROM (SELECT 1 FROM lineitem"
+        " GROUP BY l_orderkey, l_partkey, l_suppkey HAVING count(*) > 1)",
     ),
 )
 def test_unique_combination(spark, sf_dir):
+    """One combination with and without a condition is two checks."""
     return run_checks(
         given(spark, sf_dir, "lineitem"),
         [
             Unique(("l_orderkey", "l_linenumber")),
+            Unique(("l_orderkey", "l_partkey", "l_suppkey")),
             Unique(("l_orderkey", "l_partkey", "l_suppkey"), where="l_returnflag = 'R'"),
         ],
     )
@@ -328,7 +346,7 @@ def verified_sql(check: str, evaluated: str, passed: str) -> str:
 
 
 def _damaged_documents(spark, sf_dir):
-    """Documents as raw rows; those of one language changed after they were stored."""
+    """Documents as raw rows; those of one language changed after they were stored, those of another have a wrong label."""
     documents = payload_rows(spark, sf_dir, "documents", "doc_id", "text", "lang")
     path = F.format_string("doc/%d", F.col("doc_id"))
 
@@ -337,16 +355,19 @@ def _damaged_documents(spark, sf_dir):
 
     changed = F.concat(F.reverse("raw_payload"), F.lit("!"))
     german = raw(documents.filter("lang = 'de'")).withColumn("raw_payload", changed)
-    return raw(documents.filter("lang <> 'de'")).unionByName(german)
+    french = raw(documents.filter("lang = 'fr'")).withColumn("source_file_format", F.lit("csv"))
+    others = raw(documents.filter("lang IS NULL OR lang NOT IN ('de', 'fr')"))
+    return union_all([others, german, french])
 
 
 ALL_DOCUMENTS = "SELECT count(*) FROM documents"
-NOT_GERMAN = "SELECT count(*) FROM documents WHERE lang <> 'de'"
+NOT_GERMAN = "SELECT count(*) FROM documents WHERE lang IS DISTINCT FROM 'de'"
+NOT_FRENCH = "SELECT count(*) FROM documents WHERE lang IS DISTINCT FROM 'fr'"
 CONTENT_SQL = " UNION ALL ".join(
     [
         verified_sql("hash", ALL_DOCUMENTS, NOT_GERMAN),
         verified_sql("size", ALL_DOCUMENTS, NOT_GERMAN),
-        verified_sql("format", ALL_DOCUMENTS, ALL_DOCUMENTS),
+        verified_sql("format", ALL_DOCUMENTS, NOT_FRENCH),
     ]
 )
 

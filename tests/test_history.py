@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltbed.operators import history
+from siltbed.operators.as_of import as_of_join
 from siltbed.plans.prices import read_history, record_history
 from siltbed.sources.tables import VersionedTable
 
@@ -199,3 +200,70 @@ def test_slices_may_hold_any_text(spark, tmp_path):
     plain.replace_split(load.filter("k IS NULL OR k = 'a:b'"), [None, "a:b"])
     # As in any partition column, an empty text is stored as NULL.
     assert sorted(str(r["k"]) for r in plain.read().collect()) == ["100%", "None", "a:b", "c/d"]
+
+
+SCHEMA = "k int, at timestamp_ntz, v string"
+
+
+def random_records(draw, count):
+    start = datetime(2024, 1, 1)
+    return [
+        (draw.choice([1, 2, 3, 4, None]), start + timedelta(hours=draw.randint(0, 120)), draw.choice(["a", "b", None]))
+        for _ in range(count)
+    ]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_any_order_of_loads_gives_the_replayed_history(spark, seed):
+    draw = random.Random(seed)
+    records = random_records(draw, 80)
+    cut = draw.randint(0, 80)
+    first, late = (spark.createDataFrame(part, SCHEMA) for part in (records[:cut], records[cut:]))
+    found = history.insert_late(history.replay(first, ["k"], ["v"], "at"), late, first, ["k"], ["v"], "at")
+    whole = history.replay(spark.createDataFrame(records, SCHEMA), ["k"], ["v"], "at")
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, whole.collect()))
+
+
+def test_a_late_record_splits_a_closed_version(spark):
+    at = [datetime(2024, 1, day) for day in range(1, 6)]
+    staged = spark.createDataFrame([(1, at[0], "a"), (1, at[2], "a"), (1, at[4], "b"), (2, at[0], "x")], SCHEMA)
+    late = spark.createDataFrame([(1, at[1], "c"), (3, at[1], "n"), (4, None, "no time")], SCHEMA)
+    found = history.insert_late(history.replay(staged, ["k"], ["v"], "at"), late, staged, ["k"], ["v"], "at")
+    rows = sorted((r["k"], r["v"], r["valid_from"], r["valid_to"]) for r in found.collect() if r["k"] == 1)
+    assert rows == [(1, "a", at[0], at[1]), (1, "a", at[2], at[4]), (1, "b", at[4], None), (1, "c", at[1], at[2])]
+    assert {r["k"] for r in found.collect()} == {1, 2, 3}
+
+
+@pytest.mark.parametrize("forward", [False, True])
+@pytest.mark.parametrize("exact", [True, False])
+def test_as_of_join_equals_a_search(spark, forward, exact):
+    draw = random.Random(7)
+    facts = random_records(draw, 150) + [(1, None, "z")]
+    versions = random_records(draw, 60) + [(2, None, "q")]
+    given = spark.createDataFrame(versions, SCHEMA).toDF("k", "since", "value")
+    found = as_of_join(
+        spark.createDataFrame(facts, SCHEMA), given, ["k"], "at", "since", {"s": "since", "w": "value"}, forward=forward, exact=exact
+    )
+
+    def counts(since, at):
+        if since is None or at is None:
+            return False
+        return since == at and exact or (since > at if forward else since < at)
+
+    expected = []
+    for key, at, value in facts:
+        fitting = [(s, w) for k, s, w in versions if k == key and counts(s, at)]
+        sign = -1 if forward else 1
+        best = max(fitting, key=lambda x: (sign * x[0].timestamp(), x[1] is not None, x[1] or ""), default=(None, None))
+        expected.append((key, at, value, *best))
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, expected))
+
+
+def test_as_of_join_respects_the_end_of_versions(spark):
+    day = [datetime(2024, 1, n) for n in range(1, 8)]
+    versions = spark.createDataFrame([(1, day[0], day[2], "a"), (1, day[4], None, "b")], "k int, f timestamp_ntz, t timestamp_ntz, v string")
+    facts = spark.createDataFrame([(1, d) for d in day], "k int, at timestamp_ntz")
+    found = as_of_join(facts, versions, ["k"], "at", "f", {"v": "v"}, valid_to="t")
+    assert [r["v"] for r in found.orderBy("at").collect()] == ["a", "a", None, None, "b", "b", "b"]
+    assert as_of_join(facts.limit(0), versions, ["k"], "at", "f", {"v": "v"}).count() == 0
+    assert as_of_join(facts, versions.limit(0), ["k"], "at", "f", {"v": "v"}).count() == 7

@@ -53,6 +53,15 @@ def test_checks_of_an_empty_table_pass(spark, rows):
     assert all(e == 0 and ok for e, _, ok in outcome(run_checks(empty, checks, {"p": empty})).values())
 
 
+def test_every_declared_check_has_a_row(spark, rows):
+    parents = {name: spark.createDataFrame([(k,) for k in keys], "k string") for name, keys in (("p", "ac"), ("q", "a"))}
+    checks = [Unique(("id",)), Unique(("id",), where="k IS NOT NULL"), Relationship("k", "p", "k"), Relationship("k", "q", "k")]
+    found = sorted((r["check"], r["evaluated"], r["failures"]) for r in run_checks(rows, checks, parents).collect())
+    assert found == [("relationships", 5, 1), ("relationships", 5, 3), ("unique", 3, 0), ("unique", 4, 1)]
+    assert run_checks(rows, []).collect() == []
+    assert run_checks(rows, []).columns == run_checks(rows, checks, parents).columns
+
+
 def test_row_checks_share_one_scan(rows, plan):
     text = plan(run_checks(rows, [NotNull(c) for c in rows.columns]))
     assert text.count("Scan") == 1
