@@ -6,16 +6,20 @@
 2. Trees: the root and every node choose minwise positions at random, 1 /
    similarity of them on average; members that agree on the token there form a
    child. Nodes of one member, or of one known component, end. Small nodes are
-   compared exhaustively. Large ones branch again; what is still large at the
-   last level holds texts that are alike, and is compared exhaustively in the last
-   round too, blocks against blocks. This is quadratic in the members of a node
-   that earlier rounds have not joined.
-3. Candidate pairs are confirmed on the full shingle sets of the whole texts.
-4. Rounds with trees of their own. In the first two, each member of a small node
+   compared exhaustively, large ones branch again.
+3. Rounds with trees of their own. In the first two, each member of a small node
    goes with its most similar neighbour of another component, which joins large
    groups without pairing all members; nodes still large at the last level are
-   dealt at random for that. In the last, all pairs between different components
-   go. After a round, its links join components, not sets.
+   dealt at random for that. These pairs, one per member at most, are confirmed on
+   the full shingle sets of the whole texts. After a round, its links join
+   components, not sets.
+4. In the last round no pair leaves a task. Members of a node that have a similar
+   member of another component travel with their full shingle sets, once per
+   node, and are compared there exactly, by products of incidence matrices. A node
+   that is still large is compared in blocks: its strays with one another and with
+   its largest component, whose members are never compared among themselves. The
+   comparisons are quadratic in the strays of such a node; what is sent is not, up
+   to the blocks' number. Of the links only those are sent that join components.
 
 A pair at the similarity limit is missed by a tree with a probability of 0.19 at
 the first level and 0.53 at the last, so by the trees of the last round, which
@@ -51,12 +55,14 @@ POSITIONS = 128
 #: Pairs estimated below this are not confirmed: 4.4 standard deviations under the limit.
 LEAST_ESTIMATE = 0.58
 TREES = (3, 3, 12)
-LEAF = 32
+#: Nodes of so many members are small.
+LEAF = 256
 LEVELS = 4
-#: Larger nodes of the last level are compared in blocks of so many members.
-BLOCK = 4096
-#: Candidate pairs that leave a task in one batch.
-PAIRS_A_BATCH = 500_000
+#: Larger nodes of the last level are compared in blocks of about so many members, and bytes of their sets.
+BLOCK = 1024
+BLOCK_BYTES = 4 << 20
+#: Shingles whose incidence is multiplied at once.
+COLUMNS = 2048
 REMEMBERED = 400_000
 _SEEDS = np.random.default_rng(9).integers(1, 2**32, (2, POSITIONS), np.uint64).astype(np.uint32)
 _ODD, _ADD = _SEEDS[0] | np.uint32(1), _SEEDS[1]
@@ -161,15 +167,38 @@ def _children(members: DataFrame, level: int) -> DataFrame:
     return members.select(F.explode(nodes).alias("node"), "set_no", "component")
 
 
-def _blocks(large: DataFrame) -> DataFrame:
-    """node, side, set_no: a node for every two blocks of a large node, so that any two members meet once.
+def _blocks(large: DataFrame, sets: DataFrame) -> DataFrame:
+    """node, side, set_no: a node for every two blocks of a large node whose members have to meet.
 
-    Members of side 0 are compared with all others of their node, the rest with the other side only.
+    Strays, the members outside a node's largest component, meet one another and
+    the largest component. Members of side 0 are compared with all others of their
+    node, the rest with the other side only.
     """
-    dealt = large.withColumn("blocks", F.ceil(F.col("n") / BLOCK)).withColumn(
-        "own", F.pmod(F.xxhash64("set_no", "node"), "blocks")
+    members = large.join(sets.select("set_no", "component", "n_shingles"), "set_no")
+    largest = (
+        members.groupBy("node", "component")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("node")
+        .agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
     )
-    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    sorted_out = members.join(largest, "node").withColumn("stray", F.col("component") != F.col("largest"))
+
+    def blocks(stray: bool):
+        own = F.when(F.col("stray") == F.lit(stray), F.lit(1))
+        full = F.greatest(F.sum(own) / BLOCK, F.sum(own * F.col("n_shingles")) * 8 / BLOCK_BYTES)
+        return F.coalesce(F.ceil(full), F.lit(0)).cast("long")
+
+    sizes = sorted_out.groupBy("node").agg(blocks(True).alias("strays"), blocks(False).alias("settled"))
+    dealt = sorted_out.join(sizes, "node").withColumn(
+        "own",
+        F.when(F.col("stray"), F.pmod(F.xxhash64("set_no", "node"), "strays")).otherwise(
+            F.col("strays") + F.pmod(F.xxhash64("set_no", "node"), "settled")
+        ),
+    )
+    # A stray's block meets all blocks, one of the largest component those of strays.
+    zero = F.lit(0).cast("long")
+    count = F.when(F.col("stray"), F.col("strays") + F.col("settled")).otherwise(F.col("strays"))
+    met = dealt.withColumn("other", F.explode(F.sequence(zero, count - 1)))
     low, high = F.least("own", "other"), F.greatest("own", "other")
     side = F.when(low == high, 0).when(F.col("own") == low, 1).otherwise(2)
     return met.select(F.xxhash64("node", low, high).alias("node"), side.alias("side"), "set_no")
@@ -197,20 +226,15 @@ def small_nodes(sets: DataFrame, roots: tuple[int, int], label: str, all_pairs:
         if level == LEVELS or large.isEmpty():
             part = F.pmod(F.xxhash64("set_no", "node"), F.ceil(F.col("n") * 4 / (3 * LEAF)))
             parts = large.select(F.xxhash64("node", part).alias("node"), F.lit(0).alias("side"), "set_no")
-            leaves.append(_blocks(large) if all_pairs else parts)
+            leaves.append(_blocks(large, sets) if all_pairs else parts)
             break
         members = _children(large.join(sets.select("set_no", "component", "signature"), "set_no"), level)
     return reduce(DataFrame.unionByName, leaves)
 
 
-def candidates(sets: DataFrame, nodes: DataFrame, all_pairs: bool) -> DataFrame:
-    """Pairs (a < b) of sets that meet in a node, in different components and similar by estimate."""
-    given = (
-        nodes.join(sets.select("set_no", "component", "signature"), "set_no")
-        .select("node", "side", "set_no", "component", "signature")
-        .repartition("node")
-        .sortWithinPartitions("node", "set_no")
-    )
+def _by_node(given: DataFrame, work: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """Work on whole nodes, several at once; a node is never cut."""
+    ordered = given.repartition("node").sortWithinPartitions("node", "set_no")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: pa.Table | None = None
@@ -223,59 +247,86 @@ def candidates(sets: DataFrame, nodes: DataFrame, all_pairs: bool) -> DataFrame:
             whole = int(np.searchsorted(node, node[-1])) if len(node) else 0
             kept = table.slice(whole).combine_chunks()
             if whole:
-                yield from _pairs(table.slice(0, whole), all_pairs)
+                yield from work(table.slice(0, whole))
         if kept is not None and kept.num_rows:
-            yield from _pairs(kept, all_pairs)
+            yield from work(kept)
 
-    return given.mapInArrow(run, "a long, b long").dropDuplicates(["a", "b"])
+    return ordered.mapInArrow(run, schema)
 
 
-def _pairs(table: pa.Table, all_pairs: bool) -> Iterator[pa.RecordBatch]:
-    node, side, ids, component = (table.column(c).to_numpy() for c in ("node", "side", "set_no", "component"))
+def _with_signatures(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    found = nodes.join(sets.select("set_no", "component", "signature"), "set_no")
+    return found.select("node", "side", "set_no", "component", "signature")
+
+
+def neighbours(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a < b): members of nodes with their most similar neighbour of another component, if similar by estimate."""
+    return _by_node(_with_signatures(sets, nodes), _nearest, "a long, b long").dropDuplicates(["a", "b"])
+
+
+def similar_members(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, side, set_no, component of members with a similar one of another component; equal nodes are one."""
+    found = _by_node(_with_signatures(sets, nodes), _alike, "node long, side int, set_no long, component long")
+    return found.dropDuplicates(["node", "set_no"])
+
+
+def _estimates(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows that may be compared and are similar by estimate: first, second, estimate."""
+    node, side, component = (table.column(c).to_numpy() for c in ("node", "side", "component"))
     raw = b"".join(table.column("signature").to_pylist())
     signature = np.frombuffer(raw, np.uint16).reshape(-1, POSITIONS)
-    best = np.zeros(len(ids))
-    partner = np.full(len(ids), -1)
-    found: list[tuple[np.ndarray, np.ndarray]] = []
-    waiting = 0
     distance = 1
     while True:
         # Row i against row i + distance of the same node: all pairs of all nodes at once.
         first = np.flatnonzero(node[:-distance] == node[distance:])
         if not len(first):
-            break
+            return
         other = (side[first] != side[first + distance]) | (side[first] == 0)
         first = first[other & (component[first] != component[first + distance])]
-        second = first + distance
-        estimate = (signature[first] == signature[second]).mean(1)
+        estimate = (signature[first] == signature[first + distance]).mean(1)
         similar = estimate >= LEAST_ESTIMATE
-        first, second, estimate = first[similar], second[similar], estimate[similar]
-        if all_pairs:
-            found.append((ids[first], ids[second]))
-            waiting += len(first)
-            if waiting > PAIRS_A_BATCH:
-                yield _pair_batch(found)
-                found, waiting = [], 0
-        else:
-            better = estimate > best[second]
-            best[second[better]], partner[second[better]] = estimate[better], first[better]
+        yield first[similar], first[similar] + distance, estimate[similar]
         distance += 1
-    if not all_pairs:
-        linked = np.flatnonzero(partner >= 0)
-        found.append((ids[partner[linked]], ids[linked]))
-    yield _pair_batch(found)
 
 
-def _pair_batch(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    a, b = (np.concatenate([f[k] for f in found] or [np.empty(0, np.int64)]) for k in (0, 1))
+def _nearest(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    ids = table.column("set_no").to_numpy()
+    best = np.zeros(len(ids))
+    partner = np.full(len(ids), -1)
+    for first, second, estimate in _estimates(table):
+        better = estimate > best[second]
+        best[second[better]], partner[second[better]] = estimate[better], first[better]
+    linked = np.flatnonzero(partner >= 0)
+    yield _pair_batch(ids[partner[linked]], ids[linked])
+
+
+def _pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, key: str, column: str) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough."""
-    wanted = written(
-        pairs.select(F.explode(F.array("a", "b")).alias("set_no")).distinct().join(sets.select("set_no", "set_id", "first_digest", "first_id"), "set_no"),
-        "op9-wanted",
+def _alike(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    similar = np.zeros(table.num_rows, bool)
+    for first, second, _ in _estimates(table):
+        similar[first] = similar[second] = True
+    rows = np.flatnonzero(similar)
+    node, side, ids, component = (table.column(c).to_numpy()[rows] for c in ("node", "side", "set_no", "component"))
+    # Trees often bring the same members together; named by its members, such a node is one.
+    starts = np.flatnonzero(np.diff(node, prepend=node[:1] - 1)) if len(node) else np.empty(0, np.int64)
+    stops = np.append(starts[1:], len(node))
+    names = [
+        xxhash.xxh3_64_intdigest(ids[a:b].astype("<i8").tobytes() + side[a:b].astype("<i4").tobytes()) - 2**63
+        for a, b in zip(starts, stops)
+    ]
+    name = np.repeat(np.array(names, np.int64), stops - starts)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(name), pa.array(side.astype(np.int32)), pa.array(ids), pa.array(component)], ["node", "side", "set_no", "component"]
+    )
+
+
+def stored_texts(wanted: DataFrame, sets: DataFrame, docs: DataFrame, key: str, column: str) -> DataFrame:
+    """set_no, text (compressed) of the wanted sets, stored once: each has one text that stands for all that give it."""
+    named = written(
+        wanted.select("set_no").distinct().join(sets.select("set_no", "first_digest", "first_id"), "set_no"), "op9-wanted"
     )
     texts = docs.select(F.col(key).alias("doc_id"), whole_text(column).cast("binary").alias("text"))
 
@@ -289,10 +340,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, key: str, colu
     small = texts.select("doc_id", text_digest().alias("digest"), "text").mapInArrow(packed, schema)
     # Rows repeated with id and text give the same text again; one of them is enough.
     once = Window.partitionBy("set_no").orderBy("doc_id")
-    blobs = written(
+    return written(
         small.join(
-            wanted.hint("shuffle_hash"),
-            small["doc_id"].eqNullSafe(wanted["first_id"]) & (small["digest"] == wanted["first_digest"]),
+            named.hint("shuffle_hash"),
+            small["doc_id"].eqNullSafe(named["first_id"]) & (small["digest"] == named["first_digest"]),
         )
         .select("set_no", "text", small["doc_id"])
         .withColumn("nth", F.row_number().over(once))
@@ -301,6 +352,76 @@ def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, key: str, colu
         "op9-texts",
         compression="none",
     )
+
+
+def exact_links(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between components of a node's members, found on their full shingle sets; enough to join them."""
+    given = members.join(texts, "set_no").select("node", "side", "set_no", "component", "text")
+    return _by_node(given, _linked, "a long, b long")
+
+
+def _linked(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    shingles, grow = shingler(), zstandard.ZstdDecompressor().decompress
+    node, side, ids, component = (table.column(c).to_numpy() for c in ("node", "side", "set_no", "component"))
+    blobs = table.column("text")
+    starts = np.flatnonzero(np.diff(node, prepend=node[:1] - 1))
+    found: list[tuple[int, int]] = []
+    for a, b in zip(starts, np.append(starts[1:], len(node))):
+        of_node = [shingles(grow(blob)) for blob in blobs.slice(a, b - a).to_pylist()]
+        common = intersections(of_node)
+        sizes = np.array([len(s) for s in of_node])
+        alike = 100 * common >= PERCENT * (sizes[:, None] + sizes[None, :] - common)
+        sides, parts = side[a:b], component[a:b]
+        alike &= (sides[:, None] != sides[None, :]) | (sides[:, None] == 0)
+        alike &= parts[:, None] != parts[None, :]
+        # One pair for any two components, then as many as it takes to join them.
+        first, second = np.nonzero(np.triu(alike, 1))
+        named, local = np.unique(parts, return_inverse=True)
+        low, high = np.minimum(local[first], local[second]), np.maximum(local[first], local[second])
+        _, one = np.unique(low * len(named) + high, return_index=True)
+        into = list(range(len(named)))
+        for k in one.tolist():
+            x, y = _root(into, int(low[k])), _root(into, int(high[k]))
+            if x != y:
+                into[x] = y
+                found.append((int(ids[a + first[k]]), int(ids[a + second[k]])))
+    pairs = np.array(found, np.int64).reshape(-1, 2)
+    yield _pair_batch(pairs[:, 0], pairs[:, 1])
+
+
+def _root(into: list[int], x: int) -> int:
+    while into[x] != x:
+        into[x] = into[into[x]]
+        x = into[x]
+    return x
+
+
+def intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles any two sets have in common, as products of incidence matrices of a bounded width."""
+    count = len(sets)
+    flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+    owner = np.repeat(np.arange(count), [len(s) for s in sets])
+    _, place, times = np.unique(flat, return_inverse=True, return_counts=True)
+    # Shingles of one set only are common to none.
+    shared = times[place] > 1
+    columns = (np.cumsum(times > 1) - 1)[place[shared]]
+    owner = owner[shared]
+    order = np.argsort(columns, kind="stable")
+    columns, owner = columns[order], owner[order]
+    # Counts stay below 2 ** 24 within a product, where float32 is exact.
+    common = np.zeros((count, count), np.float64)
+    width = int(columns[-1]) + 1 if len(columns) else 0
+    for start in range(0, width, COLUMNS):
+        a, b = np.searchsorted(columns, [start, start + COLUMNS])
+        incidence = np.zeros((count, min(COLUMNS, width - start)), np.float32)
+        incidence[owner[a:b], columns[a:b] - start] = 1
+        common += incidence @ incidence.T
+    return common.astype(np.int64)
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs whose full shingle sets are similar enough."""
+    blobs = texts
     seconds = pairs.join(blobs.withColumnRenamed("set_no", "b"), "b").select("a", "b", "text")
     firsts = pairs.select("a").distinct().join(blobs.withColumnRenamed("set_no", "a"), "a")
     given = (
@@ -389,6 +510,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", column: str = "text") -> D
             F.min("doc_id").alias("least_id"),
             F.first("roots").alias("roots"),
             F.first("signature").alias("signature"),
+            F.first("n_shingles").alias("n_shingles"),
         )
         .select(
             F.monotonically_increasing_id().alias("set_no"),
@@ -398,6 +520,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", column: str = "text") -> D
             "least_id",
             "roots",
             "signature",
+            "n_shingles",
         ),
         "op9-sets",
     )
@@ -409,14 +532,20 @@ def near_groups(docs: DataFrame, key: str = "doc_id", column: str = "text") -> D
             current = sets.withColumn("component", F.col("set_no"))
         else:
             current = sets.join(known, "set_no", "left").withColumn("component", F.coalesce("component", "set_no"))
-        current = current.select("set_no", "component", "roots", "signature")
+        current = current.select("set_no", "component", "roots", "signature", "n_shingles")
         if known is not None:
             current = written(current, "op9-current")
         last = turn == len(TREES) - 1
         nodes = small_nodes(current, (first_root, last_root), f"op9-round{turn}", all_pairs=last)
-        pairs = written(candidates(current, nodes, all_pairs=last), "op9-pairs")
-        if not pairs.isEmpty():
-            links = written(confirmed(pairs, sets, docs, key, column), "op9-confirmed")
+        if last:
+            found = written(similar_members(current, nodes), "op9-members")
+            wanted = found
+        else:
+            found = written(neighbours(current, nodes), "op9-pairs")
+            wanted = found.select(F.explode(F.array("a", "b")).alias("set_no"))
+        if not found.isEmpty():
+            texts = stored_texts(wanted, sets, docs, key, column)
+            links = written(exact_links(found, texts) if last else confirmed(found, texts), "op9-confirmed")
             known = joined(known, links, f"op9-components{turn}")
         first_root = last_root
     if known is None:

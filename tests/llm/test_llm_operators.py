@@ -530,6 +530,34 @@ def test_near_groups_in_a_family_of_unlinked_texts(spark, monkeypatch):
     assert linked == {i: i % 10_000 for i, _ in rows}
 
 
+def test_intersections_equal_sets():
+    draw = np.random.default_rng(2)
+    sets = [np.unique(draw.integers(0, 4000, int(n)).astype(np.uint64)) for n in draw.integers(0, 3000, 25)]
+    expected = [[len(set(a.tolist()) & set(b.tolist())) for b in sets] for a in sets]
+    assert op9.intersections(sets).tolist() == expected
+    assert op9.intersections([]).tolist() == []
+
+
+def test_members_sent_grow_with_a_family_not_with_its_square(spark):
+    """Texts 0.6 to 0.74 alike and none linked: what leaves the tasks that compare them."""
+    counts = []
+    for size in (300, 600, 1200):
+        random = np.random.default_rng(size)
+        rows = []
+        for n in range(size):
+            ws = [f"b{k}" for k in range(100)]
+            for place in random.choice(100, 4, replace=False):
+                ws[place] = f"x{n}_{place}"
+            rows.append((n, " ".join(ws)))
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        sets = written(op9.described(docs, "doc_id", "text"), "test-rows").selectExpr(
+            "doc_id AS set_no", "doc_id AS component", "roots", "signature", "n_shingles"
+        )
+        nodes = op9.small_nodes(sets, (0, len(op9.ROOTS)), "test-nodes", all_pairs=True)
+        counts.append(written(op9.similar_members(sets, nodes), "test-members").count())
+    assert counts[1] <= 2.2 * counts[0] and counts[2] <= 2.2 * counts[1]
+
+
 def test_drop_near_copies(docs):
     kept = op9.drop_near_copies(docs)
     assert kept.columns == docs.columns
