@@ -6,11 +6,12 @@
 2. Trees: the root and every node choose minwise positions at random, 1 /
    similarity of them on average; members that agree on the token there form a
    child. Nodes of one member, or of one known component, end. Small nodes are
-   compared exhaustively, large ones branch again.
+   compared exhaustively, large ones branch again, until they are small or hold
+   texts so much alike that they do not split.
 3. Rounds with trees of their own. In the first two, each member of a small node
    goes with its most similar neighbour of another component, which joins large
-   groups without pairing all members; nodes still large at the last level are
-   dealt at random for that. These pairs, one per member at most, are confirmed on
+   groups without pairing all members; nodes that stay large are dealt at random
+   for that. These pairs, one per member at most, are confirmed on
    the full shingle sets of the whole texts. After a round, its links join
    components, not sets.
 4. In the last round no pair leaves a task. Members of a node that have a similar
@@ -22,7 +23,7 @@
    to the blocks' number. Of the links only those are sent that join components.
 
 A pair at the similarity limit is missed by a tree with a probability of 0.19 at
-the first level and 0.53 at the last, so by the trees of the last round, which
+the first level and 0.53 at the fourth, so by the trees of the last round, which
 leave out no pair of a node, with less than 1e-3 in the largest groups and 1e-8
 elsewhere; components have many links and lose less.
 
@@ -57,8 +58,10 @@ LEAST_ESTIMATE = 0.58
 TREES = (3, 3, 12)
 #: Nodes of so many members are small.
 LEAF = 256
-LEVELS = 4
-#: Larger nodes of the last level are compared in blocks of about so many members, and bytes of their sets.
+LEVELS = 6
+#: A child that keeps this share of its parent's members holds texts that are alike; it would not split further.
+STUCK = 0.4
+#: Large nodes that do not split, or are of the last level, are compared in blocks of about so many members, and bytes of their sets.
 BLOCK = 1024
 BLOCK_BYTES = 4 << 20
 #: Shingles whose incidence is multiplied at once.
@@ -164,7 +167,7 @@ def _children(members: DataFrame, level: int) -> DataFrame:
 
     second = F.pmod(F.xxhash64("node", F.lit(level), F.lit("two")), F.lit(3)) == 0
     nodes = F.when(second, F.array(child(0), child(1))).otherwise(F.array(child(0)))
-    return members.select(F.explode(nodes).alias("node"), "set_no", "component")
+    return members.select(F.explode(nodes).alias("node"), "set_no", "component", F.col("n").alias("parent_n"))
 
 
 def _blocks(large: DataFrame, sets: DataFrame) -> DataFrame:
@@ -207,28 +210,38 @@ def _blocks(large: DataFrame, sets: DataFrame) -> DataFrame:
 def small_nodes(sets: DataFrame, roots: tuple[int, int], label: str, all_pairs: bool) -> DataFrame:
     """node, side, set_no: memberships in nodes to compare, from the trees of the given roots.
 
-    With ``all_pairs``, any two members of a node of the last level meet; else
-    large ones are dealt at random into small ones, enough to find a neighbour.
+    With ``all_pairs``, members of a node that stays large meet in blocks; else such
+    nodes are dealt at random into small ones, enough to find a neighbour.
     """
     wanted = F.slice("roots", roots[0] + 1, roots[1] - roots[0])
-    members = sets.select(F.explode(wanted).alias("node"), "set_no", "component")
+    members = sets.select(F.explode(wanted).alias("node"), "set_no", "component", F.lit(None).cast("long").alias("parent_n"))
     leaves = []
     for level in range(1, LEVELS + 1):
         sizes = (
             members.groupBy("node")
-            .agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+            .agg(
+                F.count(F.lit(1)).alias("n"),
+                F.min("component").alias("low"),
+                F.max("component").alias("high"),
+                F.max("parent_n").alias("parent_n"),
+            )
             .filter("n > 1 AND low <> high")
-            .select("node", "n")
+            .select("node", "n", F.coalesce(F.col("n") >= STUCK * F.col("parent_n"), F.lit(False)).alias("stuck"))
         )
-        alive = written(members.join(sizes, "node").select("node", "set_no", "n"), f"{label}-level{level}")
+        alive = written(members.join(sizes, "node").select("node", "set_no", "n", "stuck"), f"{label}-level{level}")
         leaves.append(alive.filter(F.col("n") <= LEAF).select("node", F.lit(0).alias("side"), "set_no"))
         large = alive.filter(F.col("n") > LEAF)
-        if level == LEVELS or large.isEmpty():
-            part = F.pmod(F.xxhash64("set_no", "node"), F.ceil(F.col("n") * 4 / (3 * LEAF)))
-            parts = large.select(F.xxhash64("node", part).alias("node"), F.lit(0).alias("side"), "set_no")
-            leaves.append(_blocks(large, sets) if all_pairs else parts)
+        if level == LEVELS:
+            stays, splits = large, None
+        else:
+            stays, splits = large.filter("stuck"), large.filter("NOT stuck")
+        part = F.pmod(F.xxhash64("set_no", "node"), F.ceil(F.col("n") * 4 / (3 * LEAF)))
+        parts = stays.select(F.xxhash64("node", part).alias("node"), F.lit(0).alias("side"), "set_no")
+        if not stays.isEmpty():
+            leaves.append(_blocks(stays.drop("n", "stuck"), sets) if all_pairs else parts)
+        if splits is None or splits.isEmpty():
             break
-        members = _children(large.join(sets.select("set_no", "component", "signature"), "set_no"), level)
+        members = _children(splits.join(sets.select("set_no", "component", "signature"), "set_no"), level)
     return reduce(DataFrame.unionByName, leaves)
 
 
