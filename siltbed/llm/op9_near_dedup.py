@@ -241,7 +241,9 @@ def small_nodes(sets: DataFrame, roots: tuple[int, int], label: str, all_pairs:
             leaves.append(_blocks(stays.drop("n", "stuck"), sets) if all_pairs else parts)
         if splits is None or splits.isEmpty():
             break
-        members = _children(splits.join(sets.select("set_no", "component", "signature"), "set_no"), level)
+        # Stored, since both their sizes and they themselves are needed.
+        parents = splits.join(sets.select("set_no", "component", "signature"), "set_no")
+        members = written(_children(parents, level), f"{label}-children{level}")
     return reduce(DataFrame.unionByName, leaves)
 
 
