@@ -9,9 +9,10 @@ the source takes each document twice and 40 % of the words a third time. The one
 document at the cut gives its first words only, so budgets are met to the word.
 
 Defined results: NULL text has size 0; NULL is a source of its own, last in
-order; ties (a repeated doc_id) are ordered by size; equal rows are
-interchangeable; an empty table, or one without words, takes nothing. Other
-columns are not read.
+order; the random order follows id and text, so rows without an id, or with a
+repeated one, are dealt out by their texts; rows that agree in source, id and text
+are interchangeable; very long texts are cut at a word like others; an empty table,
+or one without words, takes nothing. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltbed.llm.common import WORD, free_name, power_of_two, quoted, ranked, whole_text, written
+from siltbed.llm.common import WORD, free_name, power_of_two, quoted, ranked, text_digest, whole_text, written
 
 #: Fixed values of the contract: weights by order of the sources, and the most epochs of a source.
 WEIGHTS = [5, 2, 1]
@@ -31,9 +32,10 @@ def word_count(column: str = "text") -> Column:
     return F.regexp_count(whole_text(column), F.lit(WORD)).cast("long")
 
 
-def random_key(key: str, seed: str) -> Column:
-    """60 random bits that depend on the id only."""
-    text = F.concat(F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit("null")))
+def random_key(key: str, column: str, seed: str) -> Column:
+    """60 random bits that depend on the id and the whole text, so that rows without ids are dealt out too."""
+    id_ = F.coalesce(F.col(key).cast("string"), F.lit("null"))
+    text = F.concat(F.lit(seed), id_, F.md5(whole_text(column).cast("binary")))
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, KEY_BITS // 4), 16, 10).cast("long")
 
 
@@ -70,13 +72,14 @@ def mix(
     key: str = "doc_id",
     column: str = "text",
 ) -> DataFrame:
-    """One row per document: doc_id, size, source, source_size, target, epochs (whole ones) and part (words beyond)."""
+    """One row per document: doc_id, digest, size, source, source_size, target, epochs (whole ones) and part (words beyond)."""
     sized = written(
         docs.select(
             F.col(key).alias("doc_id"),
             F.col("source").alias("source"),
             word_count(column).alias("size"),
-            random_key(key, seed).alias("rand"),
+            random_key(key, column, seed).alias("rand"),
+            text_digest(column).alias("digest"),
         ),
         "op2-sized",
     )
@@ -105,7 +108,7 @@ def mix(
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
     inside = (
         Window.partitionBy("no_source", "named", "range")
-        .orderBy("rand", "doc_id", "size")
+        .orderBy("rand", "doc_id", "digest")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     left = (budget - F.col("epochs") * F.col("source_size")) - F.col("start") - F.coalesce(
@@ -115,7 +118,7 @@ def mix(
         sized.join(starts, ["no_source", "named", "range"])
         .withColumn("epochs", epochs)
         .withColumn("part", F.greatest(F.lit(0).cast("long"), F.least("size", left)))
-        .select("doc_id", "size", "source", "source_size", "target", "epochs", "part")
+        .select("doc_id", "digest", "size", "source", "source_size", "target", "epochs", "part")
     )
 
 
@@ -129,31 +132,43 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", column: str = "text",
 
     ``n_chars``, if there, counts the text of the row.
     """
-    names = ("id", "size", "from", "times", "part", "copy", "words")
-    id_, size, source, times, part, copy, words = (free_name(docs.columns, f"_mix_{x}") for x in names)
+    names = ("id", "digest", "from", "whole", "part", "copy", "here", "rows", "nth", "row")
+    id_, digest, source, whole, part, copy, here, rows, nth, row = (free_name(docs.columns, f"_mix_{x}") for x in names)
     mixed = mix(docs, key=key, column=column, **options)
-    # Repeated ids are told apart by size; equal rows share the sum of what they give.
-    taken = mixed.groupBy("doc_id", "source", "size").agg(
-        F.sum(F.col("epochs")).alias("epochs"), F.sum("part").alias("part"), F.count(F.lit(1)).alias("rows")
+    # Rows that agree in id, source and text share what they give; at most one of them is cut.
+    full = (F.col("part") == F.col("size")) & (F.col("size") > 0)
+    taken = written(
+        mixed.groupBy("doc_id", "source", "digest")
+        .agg(
+            (F.sum("epochs") + F.count_if(full)).alias(whole),
+            F.coalesce(F.max(F.when(~full, F.col("part"))), F.lit(0).cast("long")).alias(part),
+            F.count(F.lit(1)).alias(rows),
+        )
+        .filter(F.col(whole) + F.col(part) > 0)
+        .withColumnsRenamed({"doc_id": id_, "source": source, "digest": digest}),
+        "op2-taken",
     )
-    cut = taken.select(
-        F.col("doc_id").alias(id_),
-        F.col("source").alias(source),
-        F.col("size").alias(size),
-        F.expr("epochs div rows").alias(times),
-        F.expr("part div rows").alias(part),
-    ).filter(F.col(times) + F.col(part) > 0)
-    here = docs.withColumn(words, word_count(column))
-    met = here.join(
-        cut.hint("shuffle_hash"),
-        here[key].eqNullSafe(cut[id_]) & here["source"].eqNullSafe(cut[source]) & (here[words] == cut[size]),
+    marked = docs.withColumn(here, text_digest(column))
+    met = marked.join(
+        taken.hint("shuffle_hash"),
+        marked[key].eqNullSafe(taken[id_]) & marked["source"].eqNullSafe(taken[source]) & (marked[here] == taken[digest]),
     )
-    whole = F.col(times) + F.when(F.col(part) == F.col(size), 1).otherwise(0)
-    some = (F.col(part) > 0) & (F.col(part) < F.col(size))
+    single = met.filter(F.col(rows) == 1).withColumn(nth, F.lit(0).cast("long"))
+    if not taken.filter(F.col(rows) > 1).isEmpty():
+        # Numbered by a range sort, since such a group may be large.
+        twins = ranked(
+            met.filter(F.col(rows) > 1).withColumn(row, F.monotonically_increasing_id()), [F.col(c) for c in (digest, id_, source, row)], nth, "op2-twins"
+        ).drop(row)
+        first = twins.groupBy(digest, id_, source).agg(F.min(nth).alias(row)).toDF("d", "i", "s", row)
+        same = (twins[digest] == first["d"]) & twins[id_].eqNullSafe(first["i"]) & twins[source].eqNullSafe(first["s"])
+        numbered = twins.join(first, same).withColumn(nth, F.col(nth) - F.col(row))
+        single = single.unionByName(numbered.select(*quoted(single.columns)))
+    each = F.floor(F.col(whole) / F.col(rows))
+    extra = F.col(whole) - each * F.col(rows)
+    copies = each + F.when(F.col(nth) < extra, 1).otherwise(0)
+    some = (F.col(part) > 0) & (F.col(nth) == extra)
     first_words = F.array_join(F.slice(F.regexp_extract_all(whole_text(column), F.lit(WORD), F.lit(0)), 1, F.col(part).cast("int")), " ")
-    repeated = met.withColumn(copy, F.explode(F.sequence(F.lit(0), whole.cast("int")))).filter(
-        (F.col(copy) > 0) | some
-    )
+    repeated = single.withColumn(copy, F.explode(F.sequence(F.lit(0), copies.cast("int")))).filter((F.col(copy) > 0) | some)
     text = F.when(F.col(copy) == 0, first_words).otherwise(F.col(column))
     shown = repeated.withColumn(column, text)
     if "n_chars" in docs.columns:
@@ -163,8 +178,8 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", column: str = "text",
 
 SQL = r"""
 WITH sized AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         ('0x' || substr(md5('mix' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS rand
+  SELECT doc_id, source, md5(coalesce(text, '')) AS tie, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         ('0x' || substr(md5('mix' || coalesce(doc_id::VARCHAR, 'null') || md5(coalesce(text, ''))), 1, 15))::BIGINT AS rand
   FROM documents),
 totals AS (SELECT source, sum(size)::BIGINT AS source_size, 3 * sum(size)::BIGINT AS cap FROM sized GROUP BY source),
 weighed AS (
@@ -182,7 +197,7 @@ targets AS (SELECT source, source_size, least(cap::DOUBLE, weight * coalesce(per
 ordered AS (
   SELECT doc_id, size, source_size, target,
          CASE WHEN source_size > 0 THEN floor(target)::BIGINT // source_size ELSE 0 END AS epochs,
-         sum(size) OVER (PARTITION BY s.source ORDER BY rand, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS before
+         sum(size) OVER (PARTITION BY s.source ORDER BY rand, doc_id, tie ROWS UNBOUNDED PRECEDING) - size AS before
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
        (epochs * size + greatest(0, least(size, floor(target)::BIGINT - epochs * source_size - before)))::BIGINT AS taken

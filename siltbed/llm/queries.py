@@ -21,7 +21,8 @@ from siltbed.llm import (
     op12_merkle,
     op13_prefix_trie,
 )
-from siltbed.llm.common import table
+from siltbed.llm.common import table, written
+from siltbed.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -59,7 +60,11 @@ def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_sharding")
 def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op5_sharding.place(table(spark, sf_dir, "documents").select("doc_id"))
+    """Documents go to their shards whole; places are read back from there."""
+    placed = op5_sharding.place(table(spark, sf_dir, "documents"))
+    path = work_dir(spark, "op5-shards")
+    op5_sharding.write_shards(placed, path)
+    return spark.read.schema(placed.schema).parquet(path).select("doc_id", "slot", "shard", "shard_name")
 
 
 @query("op6_toxicity")
@@ -69,7 +74,9 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_quality_rules", op7_quality_rules.SQL)
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op7_quality_rules.rule_columns(op7_quality_rules.ledger(table(spark, sf_dir, "documents")))
+    """The ledger is stored without texts; the policy is applied to what was stored."""
+    measured = op7_quality_rules.ledger(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    return op7_quality_rules.rule_columns(written(measured, "op7-ledger"))
 
 
 @query("op8_lm_scoring")

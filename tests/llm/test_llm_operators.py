@@ -138,6 +138,24 @@ def test_mixed_documents(docs):
     assert {r[0]: r[1] for r in mixed if r[1]} == dict(taken)
 
 
+@pytest.mark.parametrize(
+    ("texts", "weights", "shown"),
+    [
+        (["a b", "c d"], [1, 3], [{"a b"}, {"c d"}]),
+        (["a b", "a b"], [1, 3], [{"a b"}]),
+        (["a b", "a b"], [1, 7], [{"a"}]),
+        (["a b", "a b"], [3, 1], [{"a b"}]),
+    ],
+)
+def test_rows_without_ids_are_cut_one_by_one(spark, texts, weights, shown):
+    rows = [(None, t, "s") for t in texts] + [(1, "w x y z", "t")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    budget = 8 * weights[0] // sum(weights)
+    found = [r["text"] for r in op2.mixed_documents(df, weights=weights).filter("source = 's'").collect()]
+    assert sum(len(t.split()) for t in found) == budget
+    assert set(found) in shown
+
+
 # op3
 
 
