@@ -13,7 +13,9 @@ from siltbed.operators.profile import (
     row_counts,
     top,
 )
+from siltbed.operators.profile_states import DISTINCT_ERROR, profile_of, profile_state, unite
 from siltbed.registry.core import TABLES, given, query
+from siltbed.session import work_dir
 
 
 @query(
@@ -143,3 +145,38 @@ PROFILED = {
 )
 def column_profile_query(spark, sf_dir):
     return union_all([column_profile(table, given(spark, sf_dir, table)) for table in PROFILED])
+
+
+PROFILED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
+_NUMBERS = ("o_orderkey", "o_custkey", "o_totalprice")
+
+
+def _united_sql(column: str) -> str:
+    number, text = (f"min({column})", f"max({column})"), ("NULL", "NULL")
+    if column not in _NUMBERS:
+        number, text = text, tuple(f"CAST({f} AS VARCHAR)" for f in number)
+    return (
+        f"SELECT '{column}' AS column_name, count(*) AS row_count, count(*) - count({column}) AS null_count,"
+        f" CAST({number[0]} AS DOUBLE) AS least_number, CAST({number[1]} AS DOUBLE) AS largest_number,"
+        f" CAST({text[0]} AS VARCHAR) AS least_text, CAST({text[1]} AS VARCHAR) AS largest_text, true AS distinct_is_close"
+        f" FROM (SELECT * REPLACE (nullif(o_orderstatus, 'P') AS o_orderstatus) FROM orders)"
+    )
+
+
+@query("profile_united", " UNION ALL ".join(map(_united_sql, PROFILED)))
+def profile_united(spark, sf_dir):
+    """Profiles of four loads of orders, stored load by load and united without reading orders again."""
+    orders = given(spark, sf_dir, "orders").withColumn("o_orderstatus", F.nullif("o_orderstatus", F.lit("P")))
+    folder = work_dir(spark, "profile-states")
+    for load in range(4):
+        of_load = orders.filter(F.pmod(F.coalesce("o_orderkey", F.lit(0)), F.lit(4)) == load)
+        profile_state(of_load, str(load), PROFILED).write.mode("append").parquet(folder)
+    found = profile_of(unite(spark.read.parquet(folder)))
+    exact = union_all(
+        [orders.agg(F.count_distinct(c).alias("exact")).select(F.lit(c).alias("column_name"), "exact") for c in PROFILED]
+    )
+    close = F.abs(F.col("distinct_estimate") - F.col("exact")) <= 4 * DISTINCT_ERROR * F.col("exact") + 1
+    return found.join(exact, "column_name").select(
+        "column_name", "row_count", "null_count", "least_number", "largest_number", "least_text", "largest_text",
+        close.alias("distinct_is_close"),
+    )
