@@ -6,6 +6,7 @@ from siltbed.functions.json_fields import text_schema
 from siltbed.operators import expectations as expect
 from siltbed.operators.checks import AcceptedValues, NotNull, Relationship, Unique, run_checks
 from siltbed.operators.expectations import statistics, validate
+from siltbed.operators.known_keys import known_keys, remember_keys, uniqueness_of_load
 from siltbed.operators.merge import union_all
 from siltbed.operators.verify import summarize, verify_contents, verify_counts, verify_csv, verify_json
 from siltbed.plans.gate import promote
@@ -484,3 +485,30 @@ def verify_counts_query(spark, sf_dir):
     return summarize(
         verify_counts(raw, expected, 2).unionByName(verify_contents(_damaged_documents(spark, sf_dir), "text"))
     )
+
+
+@query(
+    "unique_incremental",
+    """
+    WITH keys AS (SELECT coalesce(l_orderkey, 0) % 3 AS load, l_partkey, l_suppkey, count(*) AS n FROM lineitem GROUP BY ALL)
+    SELECT CAST(load AS INTEGER) AS load, CAST(sum(n) AS BIGINT) AS evaluated,
+           count(*) FILTER (n > 1 OR EXISTS (
+               SELECT 1 FROM keys e WHERE e.load < keys.load AND e.l_partkey IS NOT DISTINCT FROM keys.l_partkey
+               AND e.l_suppkey IS NOT DISTINCT FROM keys.l_suppkey)) AS failures
+    FROM keys GROUP BY load
+    """,
+)
+def unique_incremental(spark, sf_dir):
+    """Three loads of lines, each tested against the keys of those before, which lie in buckets."""
+    lines, columns = given(spark, sf_dir, "lineitem"), ["l_partkey", "l_suppkey"]
+    path = work_dir(spark, "known-keys")
+    name = "known_" + path.rsplit("-", 1)[-1]
+    reports = []
+    for load in range(3):
+        rows = lines.filter(F.pmod(F.coalesce("l_orderkey", F.lit(0)), F.lit(3)) == load)
+        known = known_keys(spark, name) if load else None
+        # The report of a load is about the keys before it, so it is made before they grow.
+        evaluated, failures = uniqueness_of_load(rows, columns, known).first()
+        reports.append((load, evaluated, failures))
+        remember_keys(rows, columns, name, path)
+    return spark.createDataFrame(reports, "load int, evaluated long, failures long")
