@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir) and returns a frame; ``run`` stores every
 stage as Parquet in the shared work folder and reads it again for the next one.
 Packing also stores the sequences with their ids there, as ``pipeline-sequences``.
+
+Defined results: a NULL text has no word, so the rules drop it like an empty one; of
+repeated rows one stays; ties go by the largest doc_id among equal texts, by the
+smallest among near copies, NULL being the smallest; texts of any length are one
+document until packing cuts them; an empty table gives no piece; further columns,
+whatever their names, pass through all stages but the last.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ The network is fitted with Adam on the driver, on a bounded labelled sample
 (``PER_CLASS`` texts of either label); scoring runs in Arrow batches on all rows.
 
 Defined results: NULL and empty texts are one chunk of padding and get its
-score; repeated rows get the same score each; without labelled rows, or with one
+score; very long texts are scored over all their chunks; repeated rows get the same
+score each; without labelled rows, or with one
 label only, the score is that label's share (0.5 without any); an empty table
 gives an empty result. No other column is an input of the score.
 """

@@ -8,8 +8,9 @@ group among them holds more than about ``support`` of all rows.
 
 Defined results: NULL text counts as empty; equal texts form a group; the row
 with the largest doc_id stays, NULL being the smallest; of rows repeated with
-that doc_id exactly one stays; an empty table gives an empty result. Other
-columns, whatever their names, are not read.
+that doc_id exactly one stays; texts of any length are hashed whole, in the task
+that reads them; an empty table gives an empty result. Other columns, whatever
+their names, are not read.
 """
 
 from __future__ import annotations

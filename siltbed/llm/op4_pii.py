@@ -9,7 +9,8 @@ pattern span: the patterns find what is written by the book, the field what is
 not, as a phone number without a plus or an address with "(at)".
 
 Defined results: NULL counts as empty and has no span; repeated rows are each
-searched; an empty table gives an empty result; only id and text are read. Spans
+searched; very long texts are searched whole, patterns in one pass and the rest
+line by line; an empty table gives an empty result; only id and text are read. Spans
 are (kind, start, end) in code points, the end exclusive.
 """
 

@@ -12,7 +12,8 @@ words). The model is fitted on the driver with a bounded labelled sample
 exactly, unknown ones weigh nothing. Scoring runs in Arrow batches on all rows.
 
 Defined results: NULL and empty texts have no sentence, score 0; repeated rows
-get the same score each; without both labels the score is 0; an empty table gives
+get the same score each; very long texts are scored whole, sentence by sentence;
+without both labels the score is 0; an empty table gives
 an empty result. No other column is an input of the score.
 """
 

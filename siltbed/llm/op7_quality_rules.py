@@ -6,7 +6,8 @@ applying one is a bitwise AND, so new policies and ablations never read a text
 again.
 
 Defined results: NULL text has no word; an empty text fails ``few_words``;
-doc_id may be NULL or repeated, each row is judged by itself; an empty table
+doc_id may be NULL or repeated, each row is judged by itself; very long texts are
+measured whole, their words as numbers; an empty table
 gives an empty ledger; all columns of the input pass through, the ledger's own
 column gets underscores if its name is taken.
 """

@@ -23,8 +23,9 @@ keys; bigram keys have 40 bits beside those of the range, of which there is one
 per million keys: one lookup in a million meets another bigram's count.
 
 Defined results: NULL and empty texts consist of the end token; a NULL id counts
-as empty text for the fold; repeated rows are scored and counted one by one; with
-no training text all counts are 0; an empty table gives an empty result. Other
+as empty text for the fold; repeated rows are scored and counted one by one; very
+long texts are counted and scored in slices, all of them; with no training text all
+counts are 0; an empty table gives an empty result. Other
 columns are not read.
 """
 

@@ -29,7 +29,8 @@ elsewhere; components have many links and lose less.
 
 Defined results: A-Z are lower-cased; a text with fewer words than a shingle is
 one shingle; NULL, empty and wordless texts have none and are linked with
-nothing; equal rows are linked; component_id ignores NULL ids and is NULL for a
+nothing; equal rows are linked; very long texts give all their shingles, as eight
+bytes each; component_id ignores NULL ids and is NULL for a
 group without any; an empty table gives an empty result. Other columns are not
 read.
 """

@@ -594,6 +594,33 @@ def test_components_of_a_chain(spark):
     assert {r["set_no"]: r["component"] for r in found.collect()} == {n: 0 for n in range(61)} | {100: 100, 101: 100, 102: 100}
 
 
+def test_network_equals_plain_loops():
+    """Every chunk, place, filter and pooling step one by one, for texts shorter and longer than a chunk."""
+    draw = np.random.default_rng(10)
+    net = op10.Network(
+        draw.normal(0, 1, (op10.WIDTH, 256, op10.FILTERS)).astype(np.float32),
+        draw.normal(0, 1, op10.FILTERS).astype(np.float32),
+        draw.normal(0, 0.1, 2 * op10.FILTERS).astype(np.float32),
+        0.25,
+    )
+    step = op10.CHUNK - op10.OVERLAP
+    texts = [b"", b"short", bytes(draw.integers(1, 256, 3 * op10.CHUNK + 17).astype(np.uint8))]
+    found = net.scores(texts)
+    for text, score in zip(texts, found):
+        pieces = [text[at : at + op10.CHUNK] for at in range(0, max(1, len(text) - op10.OVERLAP), step)]
+        assert b"".join(p[:step] for p in pieces[:-1]) + pieces[-1] == text
+        pooled = []
+        for piece in pieces:
+            padded = piece.ljust(op10.CHUNK, b"\0")
+            sums = [
+                sum(net.filters[k, padded[place + k]].astype(np.float64) for k in range(op10.WIDTH))
+                for place in range(op10.CHUNK - op10.WIDTH + 1)
+            ]
+            pooled.append(np.maximum(np.max(sums, 0) + net.bias, 0))
+        vector = np.concatenate([np.mean(pooled, 0), np.max(pooled, 0)])
+        assert score == pytest.approx(1 / (1 + math.exp(-(vector @ net.head + net.offset))), rel=1e-4)
+
+
 # all
 
 
