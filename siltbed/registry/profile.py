@@ -147,7 +147,7 @@ def column_profile_query(spark, sf_dir):
     return union_all([column_profile(table, given(spark, sf_dir, table)) for table in PROFILED])
 
 
-PROFILED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
+UNITED_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
 _NUMBERS = ("o_orderkey", "o_custkey", "o_totalprice")
 
 
@@ -163,17 +163,17 @@ def _united_sql(column: str) -> str:
     )
 
 
-@query("profile_united", " UNION ALL ".join(map(_united_sql, PROFILED)))
+@query("profile_united", " UNION ALL ".join(map(_united_sql, UNITED_COLUMNS)))
 def profile_united(spark, sf_dir):
     """Profiles of four loads of orders, stored load by load and united without reading orders again."""
     orders = given(spark, sf_dir, "orders").withColumn("o_orderstatus", F.nullif("o_orderstatus", F.lit("P")))
     folder = work_dir(spark, "profile-states")
     for load in range(4):
         of_load = orders.filter(F.pmod(F.coalesce("o_orderkey", F.lit(0)), F.lit(4)) == load)
-        profile_state(of_load, str(load), PROFILED).write.mode("append").parquet(folder)
+        profile_state(of_load, str(load), UNITED_COLUMNS).write.mode("append").parquet(folder)
     found = profile_of(unite(spark.read.parquet(folder)))
     exact = union_all(
-        [orders.agg(F.count_distinct(c).alias("exact")).select(F.lit(c).alias("column_name"), "exact") for c in PROFILED]
+        [orders.agg(F.count_distinct(c).alias("exact")).select(F.lit(c).alias("column_name"), "exact") for c in UNITED_COLUMNS]
     )
     close = F.abs(F.col("distinct_estimate") - F.col("exact")) <= 4 * DISTINCT_ERROR * F.col("exact") + 1
     return found.join(exact, "column_name").select(
