@@ -4,12 +4,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltbed.functions.digests import byte_size
-from siltbed.operators.expand import expand_csv, expand_records
+from siltbed.operators.expand import expand_csv, expand_lines, expand_records
 from siltbed.operators.reshape import wrap_records
 from siltbed.registry.core import given, payload_rows, plain_time, query
 from siltbed.registry.landing import block_of, land_csv, land_payloads
 from siltbed.session import work_dir
 from siltbed.sources.files import (
+    RAW_SCHEMA,
     Run,
     Source,
     first_of_each_content,
@@ -21,6 +22,7 @@ from siltbed.sources.files import (
     split_rejects,
     with_ingestion_date,
 )
+from siltbed.sources.manifest import Manifest, list_files, read_listed
 from siltbed.sources.records import extract, read_csv, read_json_documents
 from siltbed.sources.tables import VersionedTable
 
@@ -172,6 +174,33 @@ def ingest_skip_known(spark, sf_dir):
     return skip_known(incoming, stored).select("source_file_path", "source_file_hash")
 
 
+@query(
+    "ingest_by_manifest",
+    """
+    SELECT event_id, user_id, CASE WHEN event_id % 2 = 1 THEN 'run-0001' ELSE 'run-0002' END AS ingestion_id FROM events
+    """,
+)
+def ingest_by_manifest(spark, sf_dir):
+    """Event files of a folder that grows between three runs; each run opens the files that are new to it."""
+    landing, raw = work_dir(spark, "event-landing"), work_dir(spark, "raw-by-manifest")
+    manifest = Manifest(spark, work_dir(spark, "event-manifest"))
+    events = given(spark, sf_dir, "events").select("event_id", "user_id")
+    odd = F.coalesce(F.col("event_id") % 2 == 1, F.lit(False))
+    for number, arriving in enumerate((events.filter(odd), events.filter(~odd), None), 1):
+        if arriving is not None:
+            lines = arriving.select(F.to_json(F.struct(*events.columns)).alias("value"))
+            lines.write.mode("append").option("maxRecordsPerFile", 20_000).text(landing)
+        run = Run(f"run-{number:04d}", RUN.timestamp)
+        new = manifest.unseen(list_files(spark, landing, "*.txt"))
+        rows = ingest(read_listed(spark, landing, new, "*.txt"), Source("jsonl", "web"), run)
+        rows.write.mode("overwrite").parquet(f"{raw}/ingestion_id={run.ingestion_id}")
+        manifest.record(new, run.ingestion_id)
+    stored = manifest.finished(spark.read.schema(RAW_SCHEMA).parquet(raw))
+    lines = expand_lines(stored, ["ingestion_id"]).filter("line <> ''")
+    event = F.from_json("line", events.schema)
+    return lines.select(event["event_id"].alias("event_id"), event["user_id"].alias("user_id"), "ingestion_id")
+
+
 @query("scan_csv_typed", "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
 def scan_csv_typed(spark, sf_dir):
     files = land_csv(given(spark, sf_dir, "part"), "part-csv", 100_000)

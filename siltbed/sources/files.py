@@ -84,16 +84,21 @@ def read_files(spark: SparkSession, path: str | list[str], glob: str | None = No
     if not listed:
         raise FileNotFoundError(f"no file at {path}" + (f" matches {glob}" if glob else ""))
     names = spark.createDataFrame([(name,) for name in listed], "name string")
-    read = scan.select(_one_slash(F.col("_metadata.file_path")).alias("name"))
-    empty = names.select(_one_slash(F.col("name")).alias("name")).join(read, "name", "left_anti")
-    # A plus sign is no blank in a path.
-    path_of = F.url_decode(F.replace("name", F.lit("+"), F.lit("%2B")))
+    read = scan.select(one_slash(F.col("_metadata.file_path")).alias("name"))
+    empty = names.select(one_slash(F.col("name")).alias("name")).join(read, "name", "left_anti")
     return scan.select("path", "length", "content").unionByName(
-        empty.select(path_of.alias("path"), F.lit(0).cast("bigint").alias("length"), F.lit(b"").alias("content"))
+        empty.select(
+            decoded_path(F.col("name")).alias("path"), F.lit(0).cast("bigint").alias("length"), F.lit(b"").alias("content")
+        )
     )
 
 
-def _one_slash(name: Column) -> Column:
+def decoded_path(name: Column) -> Column:
+    """Path of a file from its URI; a plus sign is no blank in a path."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
+def one_slash(name: Column) -> Column:
     """``file:///x`` and ``file:/x`` are one file."""
     return F.regexp_replace(name, "^([A-Za-z0-9+.-]+:)/+", "$1/")
 
