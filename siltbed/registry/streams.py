@@ -12,6 +12,7 @@ from siltbed.session import work_dir
 from siltbed.sources.files import Run, Source
 from siltbed.sources.tables import VersionedTable
 from siltbed.streaming.history import history_stream
+from siltbed.streaming.once import deliver_once, store_stream
 from siltbed.streaming.raw_ingest import file_stream, ingest_stream
 
 MICROS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
@@ -57,3 +58,19 @@ def stream_scd2(spark, sf_dir):
             checkpoint,
         ).awaitTermination()
     return shown(read_history(table))
+
+
+@query("stream_once", "SELECT DISTINCT event_id, ts, user_id, event_type, value FROM events")
+def stream_once(spark, sf_dir):
+    """Events that two overlapping folders deliver, a third of them twice; every event enters once."""
+    events = given(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    third = F.coalesce(F.pmod("event_id", F.lit(3)), F.lit(2))
+    folders = [work_dir(spark, f"deliveries-{number}") for number in (0, 1)]
+    stored, checkpoint = work_dir(spark, "delivered"), work_dir(spark, "delivered-checkpoint")
+    for number, folder in enumerate(folders):
+        events.filter(third != number).write.parquet(folder)
+    for _ in range(2):
+        deliveries = [spark.readStream.schema(events.schema).parquet(folder) for folder in folders]
+        once = deliver_once(deliveries, events.columns, "1 day")
+        store_stream(once, stored, checkpoint).awaitTermination()
+    return spark.read.schema(events.schema).parquet(stored)
