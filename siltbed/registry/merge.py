@@ -3,6 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siltbed.functions.text import blank_to_null, harmonize_sector, standardize_code, to_decimal, trimmed, typed
+from siltbed.operators.identify import entity_records, identify
 from siltbed.operators.merge import compare_sources, latest_per_key, merge_entities, union_labelled
 from siltbed.registry.core import given, query
 
@@ -99,6 +100,46 @@ def entity_merge_priority(spark, sf_dir):
     return merge_entities({"orders": seen, "customer": master}, "entity")
 
 
+@query(
+    "entities_by_identifiers",
+    """
+    WITH ids AS (
+        SELECT c_custkey AS k, c_name AS name, c_nationkey AS nation, 'master' AS preferred_source FROM customer
+        UNION ALL
+        SELECT o_custkey, min(o_orderpriority), NULL, 'orders' FROM orders GROUP BY o_custkey),
+         present AS (SELECT DISTINCT k FROM ids),
+         marked AS (SELECT k, CASE WHEN lag(k) OVER (ORDER BY k) = k - 1 AND k % 40 <> 0 THEN 0 ELSE 1 END AS starts FROM present),
+         islands AS (SELECT k, sum(starts) OVER (ORDER BY k) AS island FROM marked)
+    SELECT min(k) OVER (PARTITION BY island) AS first_key, count(*) OVER (PARTITION BY island) AS records,
+           name, nation, preferred_source
+    FROM ids JOIN islands USING (k)
+    QUALIFY row_number() OVER (PARTITION BY island ORDER BY preferred_source, k) = 1
+    """,
+)
+def entities_by_identifiers(spark, sf_dir):
+    """Records of two sources that share identifiers in chains of forty: one entity per chain, master data first."""
+
+    def known_by(rows, key):
+        # Codes of either kind are shared by two neighbours each, which makes chains; every fortieth link is left out.
+        isin = F.concat(F.lit("I"), F.floor(key / 2))
+        lei = F.when(key % 40 != 0, F.concat(F.lit("L"), F.floor((key + 1) / 2)))
+        return rows.withColumns({"isin": isin, "lei": lei})
+
+    master = given(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation")
+    )
+    seen = given(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.min("o_orderpriority").alias("name"))
+    records = union_labelled(
+        {"master": master, "orders": seen.withColumn("nation", F.lit(None).cast("int")).select(*master.columns)},
+        "preferred_source",
+    )
+    records = known_by(records, F.col("k")).withColumn("own", F.concat(F.lit("K"), "k"))
+    identified = identify(records, ["isin", "lei", "own"])
+    best = entity_records(identified, "preferred_source", ["master", "orders"], ["k"])
+    sizes = identified.groupBy("entity").agg(F.min("k").alias("first_key"), F.count(F.lit(1)).alias("records"))
+    return best.join(sizes, "entity").select("first_key", "records", "name", "nation", "preferred_source")
+
+
 @query(
     "distinct_entities",
     "SELECT DISTINCT c_nationkey, c_mktsegment, c_acctbal >= 0 AS in_credit FROM customer",
