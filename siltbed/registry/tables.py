@@ -3,9 +3,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siltbed.operators.merge import union_all
+from siltbed.operators.range_digests import compare_by_ranges, range_digests
 from siltbed.plans.layers import Layers
 from siltbed.registry.core import given, query
 from siltbed.session import work_dir
+from siltbed.sources.layout import write_interleaved
 from siltbed.sources.tables import VersionedTable, compare_versions, file_stats, partition_stats
 
 def new_table(spark, label: str) -> VersionedTable:
@@ -87,6 +89,54 @@ def version_compare(spark, sf_dir):
     return compare_versions(table, first, last).drop("c_mktsegment")
 
 
+@query(
+    "compare_by_ranges",
+    """
+    WITH revised AS (
+        SELECT o_orderkey, o_orderstatus,
+               CASE WHEN o_orderkey % 1000 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+        FROM orders WHERE coalesce(o_orderkey % 1500 <> 7, true)),
+         sides AS (
+        SELECT o_orderkey, o_orderstatus, o_totalprice, -1 AS sign FROM orders
+        UNION ALL SELECT *, 1 FROM revised)
+    SELECT CASE WHEN sum(sign) > 0 THEN 'added' ELSE 'removed' END AS change, CAST(abs(sum(sign)) AS BIGINT) AS times,
+           o_orderkey, o_orderstatus, o_totalprice
+    FROM sides GROUP BY o_orderkey, o_orderstatus, o_totalprice HAVING sum(sign) <> 0
+    """,
+)
+def compare_by_ranges_query(spark, sf_dir):
+    """Orders before and after a revision that few of them change, by digests stored with either state."""
+    orders = given(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    raised = F.when(F.col("o_orderkey") % 1000 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    revised = orders.filter(F.coalesce(F.col("o_orderkey") % 1500 != 7, F.lit(True))).withColumn("o_totalprice", raised)
+    folder = work_dir(spark, "order-digests")
+    digests = []
+    for name, rows in (("before", orders), ("after", revised)):
+        range_digests(rows, ["o_orderkey"]).write.parquet(f"{folder}/{name}")
+        digests.append(spark.read.parquet(f"{folder}/{name}"))
+    return compare_by_ranges(orders, revised, ["o_orderkey"], digests=tuple(digests))
+
+
+@query(
+    "interleaved_layout",
+    """
+    SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM lineitem
+    WHERE l_partkey BETWEEN 10 AND 40 OR (l_shipdate >= TIMESTAMP '1995-03-01' AND l_shipdate < TIMESTAMP '1995-05-01')
+    """,
+)
+def interleaved_layout(spark, sf_dir):
+    """Lines laid out by part and ship date at once, read by a range of either column."""
+    folder = work_dir(spark, "lines-interleaved")
+    lines = given(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+    write_interleaved(lines, ["l_partkey", "l_shipdate"], folder)
+    stored = spark.read.parquet(folder)
+    by_part = F.col("l_partkey").between(10, 40)
+    start, end = (F.lit(day).cast("timestamp_ntz") for day in ("1995-03-01", "1995-05-01"))
+    by_date = (F.col("l_shipdate") >= start) & (F.col("l_shipdate") < end)
+    # Two scans, each pruned by its own column, instead of one that no column prunes.
+    return stored.filter(by_part).unionByName(stored.filter(by_date & ~F.coalesce(by_part, F.lit(False))))
+
+
 @query(
     "schema_evolution_append",
     """
