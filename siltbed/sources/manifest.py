@@ -7,9 +7,9 @@ afterwards, for new files, and take part in no shuffle.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from siltbed.operators.merge import union_all
 from siltbed.session import work_dir
@@ -70,7 +70,9 @@ class Manifest:
     def files(self) -> DataFrame:
         try:
             return self.spark.read.schema(f"{LISTING}, run string").parquet(self.folder)
-        except AnalysisException:
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], f"{LISTING}, run string")
 
     def unseen(self, listing: DataFrame) -> DataFrame:
