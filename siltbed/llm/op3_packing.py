@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltbed.llm.common import power_of_two, with_text_columns, written
+from siltbed.llm.op11_bpe import byte_letters
 
 SEQUENCE = 4096
 #: Fixed values of the contract: the vocabulary and the id that closes a document.
@@ -40,12 +41,13 @@ CLOSING_ID = 2
 #: Bytes of words and their ids that a worker remembers, counting what Python needs for each.
 MEMORY = 200_000_000
 ENTRY = 150
-#: Bytes of text whose words are looked up together: enough to encode new words as one, few enough to stay in a core's cache.
+#: Bytes of text whose words are looked up together, few enough to stay in a core's cache.
 BUNDLE = 1 << 16
-#: New words that are encoded as one text.
-TOGETHER = 1024
+LETTER_OF = {byte: letter for letter, byte in byte_letters().items()}
 #: Lower-cased words, one a line, whose ids are those of the letters, then those of the signs; other words give neither.
 PLAIN = re.compile(r"^(?:([a-z\xdf-\xf6\xf8-\xff]*)([.,;:!?*#$%&|]*)|.+)$", re.MULTILINE)
+#: Letters that are two bytes, as the vocabulary writes them.
+LETTERS = {code: "".join(LETTER_OF[byte] for byte in chr(code).encode()) for code in range(0xDF, 0x100)}
 #: ASCII separators that are white space to ``str.split`` but not to the tokenizer.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 
@@ -73,27 +75,25 @@ def batch_encoder(path: str | None = None, memory: int = MEMORY) -> Callable[[li
 
     The vocabulary's merges never cross white space, nor the border between
     letters and signs, and know no capitals. So ids are remembered by plain word,
-    and many new words are encoded as one text. ``tests/llm`` compares with
-    encoding whole texts.
+    and a new one goes straight to the vocabulary's merges. ``tests/llm`` compares
+    with encoding whole texts.
     """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path or vocabulary_path())
     known: dict[str, bytes] = {}
     kind = id_type(tokenizer.get_vocab_size())
+    stored = [number.to_bytes(kind.itemsize, "little") for number in range(tokenizer.get_vocab_size())]
+    merge = tokenizer.model.tokenize
     used = 0
 
     def ids_of(text: str) -> bytes:
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, kind).tobytes()
 
-    def encoded(parts: list[str], found: dict[str, bytes]) -> None:
-        """Letters alone, or signs alone, are one unit to the tokenizer, so many of them are one text to it."""
-        for at in range(0, len(parts), TOGETHER):
-            some = parts[at : at + TOGETHER]
-            made = tokenizer.encode(" ".join(some), add_special_tokens=False)
-            cuts = (np.searchsorted(np.array(made.word_ids, np.int64), np.arange(len(some) + 1)) * kind.itemsize).tolist()
-            ids = np.array(made.ids, kind).tobytes()
-            found.update(zip(some, [ids[a:b] for a, b in zip(cuts, cuts[1:])]))
+    def encoded(parts: list[str]) -> dict[str, bytes]:
+        """Letters alone, or signs alone, are one unit that needs no normalising, so the merges are all that is left to do."""
+        tokens = map(merge, "\n".join(parts).translate(LETTERS).split("\n")) if parts else ()
+        return {part: b"".join([stored[token.id] for token in made]) for part, made in zip(parts, tokens)}
 
     def learn(words: list[str]) -> dict[str, bytes]:
         """The ids of new words, from their plain parts or from the tokenizer; the memory starts again when it is full."""
@@ -102,8 +102,7 @@ def batch_encoder(path: str | None = None, memory: int = MEMORY) -> Callable[[li
             known.clear()
             used = 0
         plain = PLAIN.findall("\n".join(words).lower())
-        found: dict[str, bytes] = {}
-        encoded(list(dict.fromkeys(p for parts in plain for p in parts if p and p not in known)), found)
+        found = encoded([part for part in {part for parts in plain for part in parts} if part and part not in known])
         used += sum(map(len, found)) + len(found) * ENTRY
         known.update(found)
         for word, (letters, signs) in zip(words, plain):
