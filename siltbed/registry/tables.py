@@ -15,14 +15,15 @@ def new_table(spark, label: str) -> VersionedTable:
 
 
 def orders_by_year(spark, sf_dir) -> VersionedTable:
-    """One append per order year, as loads that follow each other."""
+    """One append per order year, as loads that follow each other; orders without a date come with the first."""
     table = new_table(spark, "orders-by-year")
     orders = given(spark, sf_dir, "orders")
     first, last = orders.agg(F.year(F.min("o_orderdate")), F.year(F.max("o_orderdate"))).first()
     for year in range(first, last + 1):
         # A range of the column itself is pushed to the scan, a function of it is not.
         start, end = (F.lit(f"{y:04d}-01-01 00:00:00").cast("timestamp_ntz") for y in (year, year + 1))
-        table.append(orders.filter((F.col("o_orderdate") >= start) & (F.col("o_orderdate") < end)))
+        loaded = (F.col("o_orderdate") >= start) & (F.col("o_orderdate") < end)
+        table.append(orders.filter(loaded | F.col("o_orderdate").isNull() if year == first else loaded))
     return table
 
 
@@ -32,7 +33,7 @@ def orders_by_year(spark, sf_dir) -> VersionedTable:
     WITH bounds AS (SELECT min(year(o_orderdate)) AS first, max(year(o_orderdate)) AS last FROM orders),
          years AS (SELECT unnest(range(first, last + 1)) AS y, first FROM bounds)
     SELECT CAST(y - first + 1 AS BIGINT) AS version, count(o_orderkey) AS row_count, max(o_orderdate) AS newest
-    FROM years JOIN orders ON year(o_orderdate) <= y GROUP BY y, first
+    FROM years JOIN orders ON coalesce(year(o_orderdate), first) <= y GROUP BY y, first
     """,
 )
 def time_travel_counts(spark, sf_dir):
@@ -53,7 +54,7 @@ def time_travel_counts(spark, sf_dir):
     WITH bounds AS (SELECT min(year(o_orderdate)) AS first, max(year(o_orderdate)) AS last FROM orders),
          years AS (SELECT unnest(range(first, last + 1)) AS y, first FROM bounds),
          loads AS (SELECT y, first, count(o_orderkey) AS n FROM years
-                   LEFT JOIN orders ON year(o_orderdate) = y GROUP BY y, first)
+                   LEFT JOIN orders ON coalesce(year(o_orderdate), first) = y GROUP BY y, first)
     SELECT CAST(y - first + 1 AS BIGINT) AS version,
            CASE WHEN y > first THEN CAST(y - first AS BIGINT) END AS parent_version,
            'append' AS operation, n AS added_records, CAST(sum(n) OVER (ORDER BY y) AS BIGINT) AS total_records,
