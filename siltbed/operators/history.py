@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltbed.operators.as_of import as_of_join
 from siltbed.operators.merge import join_on, latest_per_key
 
 META = ["scd_id", "updated_at", "valid_from", "valid_to"]
@@ -126,7 +125,8 @@ def replay(
     last one has a non-empty interval, so only it is kept.
 
     No task holds all loads of a key: versions are found per key and time
-    bucket, and the buckets of a key are tied together by one summary row each.
+    bucket. Only the first and the last change of a bucket depend on other
+    buckets, and these alone meet per key.
     """
     unit = F.date_trunc(bucket, F.col(at)).alias("_bucket")
     state = F.struct(*checks)
@@ -134,34 +134,28 @@ def replay(
     states = staged.groupBy(*keys, unit, F.col(at).alias("valid_from")).agg(F.max(state).alias("_state"))
 
     in_bucket = Window.partitionBy(*keys, "_bucket").orderBy("valid_from")
-    before = F.lag("_state").over(in_bucket)
     changes = (
-        states.withColumn("_before", before)
-        .filter(F.col("_before").isNull() | ~F.col("_before").eqNullSafe(F.col("_state")))
+        states.withColumn("_before", F.lag("_state").over(in_bucket))
+        .filter(~F.col("_before").eqNullSafe(F.col("_state")))
+        .withColumn("_first", F.col("_before").isNull())
         .drop("_before")
-        .withColumn("_no", F.row_number().over(in_bucket))
         .withColumn("_next", F.lead("valid_from").over(in_bucket))
     )
 
-    summary = changes.groupBy(*keys, "_bucket").agg(
-        F.min(F.when(F.col("_no") == 1, F.col("_state"))).alias("_first_state"),
-        F.min(F.when(F.col("_no") == 1, F.col("valid_from"))).alias("_first_at"),
-        F.min(F.when(F.col("_no") == 2, F.col("valid_from"))).alias("_second_at"),
-        F.max(F.struct("valid_from", "_state"))["_state"].alias("_last_state"),
+    # Changes inside a bucket are settled and stay apart from those that meet per key.
+    inside = F.when(~F.col("_first") & F.col("_next").isNotNull(), F.col("_bucket"))
+    by_key = Window.partitionBy(*keys, "_inside").orderBy("valid_from")
+    starts = ~F.col("_first") | ~F.col("_carried").eqNullSafe(F.col("_state"))
+    linked = (
+        changes.withColumn("_inside", inside)
+        .withColumn("_carried", F.lag("_state").over(by_key))
+        .withColumn("_starts", starts)
+        # A bucket that goes on with the state before it may still bring a change.
+        .filter(F.col("_starts") | F.col("_next").isNotNull())
+        .withColumn("_change_at", F.when(F.col("_starts"), F.col("valid_from")).otherwise(F.col("_next")))
+        .withColumn("_later", F.lead("_change_at").over(by_key))
     )
-    by_key = Window.partitionBy(*keys).orderBy("_bucket")
-    carried = F.lag("_last_state").over(by_key)
-    linked = summary.withColumn("_starts", F.coalesce(~carried.eqNullSafe(F.col("_first_state")), F.lit(True)))
-    linked = linked.withColumn(
-        "_change_at", F.when(F.col("_starts"), F.col("_first_at")).otherwise(F.col("_second_at"))
-    ).select(
-        *keys,
-        "_bucket",
-        "_starts",
-        F.min("_change_at").over(by_key.rowsBetween(1, Window.unboundedFollowing)).alias("_later"),
-    )
-    versions = join_on(changes, linked, [*keys, "_bucket"]).filter((F.col("_no") > 1) | F.col("_starts"))
-    return versions.select(
+    return linked.filter("_starts").select(
         version_id(keys, F.col("valid_from")).alias("scd_id"),
         *keys,
         *[F.col(f"_state.{c}").alias(c) for c in checks],
@@ -183,23 +177,16 @@ def insert_late(
 
     A late record splits the version it falls into: its values hold until the next
     staged record of the key, which may bring the old ones back. Where neighbours
-    agree, versions are stitched together. Staged records are read for the late keys
-    only, and of these the two that follow a late record; versions of all other
-    keys pass through untouched.
+    agree, versions are stitched together. Versions, late and staged records of the
+    late keys go through the one sort per key and time bucket of a replay; staged
+    records are read for these keys only, and versions of all other keys pass through
+    untouched.
     """
     late = late.filter(F.col(at).isNotNull())
     touched = late.select(*keys).distinct()
-    points = late.select(*keys, at, *checks)
-    observed = join_on(staged.select(*keys, at, *checks), touched, keys, "left_semi")
-    # Ties of an instant go by the larger values, as in a replay.
-    observed = observed.groupBy(*keys, at).agg(F.max(F.struct(*checks)).alias("_state")).select(*keys, at, "_state.*")
-    wanted = {f"_c{n}": c for n, c in enumerate([at, *checks])}
-    asked = points.select(*keys, at).distinct()
-    for exact in (True, False):
-        # The record of the same instant, and the one that ends the late values.
-        after = as_of_join(asked, observed, keys, at, at, wanted, bucket=bucket, forward=True, exact=exact)
-        found = after.filter(F.col("_c0").isNotNull()).select(*keys, *[F.col(new).alias(c) for new, c in wanted.items()])
-        points = points.unionByName(found)
+    names = [*keys, at, *checks]
+    observed = join_on(staged.filter(F.col(at).isNotNull()).select(*names), touched, keys, "left_semi")
     of_touched = join_on(history, touched, keys, "left_semi").select(*keys, F.col("valid_from").alias(at), *checks)
-    rebuilt = replay(of_touched.unionByName(points), keys, checks, at, bucket)
+    records = of_touched.unionByName(observed).unionByName(late.select(*names))
+    rebuilt = replay(records, keys, checks, at, bucket)
     return join_on(history, touched, keys, "left_anti").unionByName(rebuilt.select(*history.columns))

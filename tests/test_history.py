@@ -267,3 +267,35 @@ def test_as_of_join_respects_the_end_of_versions(spark):
     assert [r["v"] for r in found.orderBy("at").collect()] == ["a", "a", None, None, "b", "b", "b"]
     assert as_of_join(facts.limit(0), versions, ["k"], "at", "f", {"v": "v"}).count() == 0
     assert as_of_join(facts, versions.limit(0), ["k"], "at", "f", {"v": "v"}).count() == 7
+
+
+def test_late_loads_go_through_one_sort_per_bucket_and_one_per_key(spark, plan):
+    rows = [(n % 7, datetime(2024, 1, 1) + timedelta(hours=n), "abc"[n % 3]) for n in range(60)]
+    first, late = (spark.createDataFrame(part, SCHEMA) for part in (rows[::2], rows[1::2]))
+    versions = history.replay(first, ["k"], ["v"], "at")
+    # Instants, buckets, keys; no join, and no frame that is added up anew for every row.
+    assert plan(versions).count("Exchange hashpartitioning") == 3
+    assert "Join" not in plan(versions)
+    versions = spark.createDataFrame(versions.collect(), versions.schema)
+    found = plan(history.insert_late(versions, late, first, ["k"], ["v"], "at"))
+    assert "unboundedfollowing" not in found.lower()
+    windows = found.count("Window [")
+    assert 0 < windows <= 4
+
+
+@pytest.mark.parametrize("bucket", ["hour", "month"])
+def test_late_loads_with_copies_equal_brute_force(spark, bucket):
+    draw = random.Random(11)
+    rows = [
+        (draw.choice(["a", "b", None]), draw.choice([1.0, None]), draw.choice(["x", "y"]), datetime(2026, 1, 25) + timedelta(minutes=20 * draw.randrange(600)))
+        for _ in range(200)
+    ]
+    rows += rows[::5]
+    loads = [staged(spark, *rows[n::3]) for n in range(3)]
+    versions = history.replay(loads[0], KEYS, CHECKS, "at", bucket)
+    seen = loads[0]
+    for late in loads[1:]:
+        versions = history.insert_late(versions, late, seen, KEYS, CHECKS, "at", bucket)
+        versions = spark.createDataFrame(versions.collect(), versions.schema)
+        seen = seen.unionByName(late)
+    assert sorted([(r.k, r.v, r.w, r.valid_from, r.valid_to) for r in versions.collect()], key=str) == brute_force(rows)
